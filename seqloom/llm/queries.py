@@ -2,10 +2,20 @@
 
 from __future__ import annotations
 
-from seqloom.llm import simhash
+import os
+
+from seqloom.llm import langid, mixing, sharding, simhash, tokenfile
 from seqloom.llm.common import documents
+from seqloom.plans.recovery import fresh_path
+
+#: Folder of the public tokenizer files; another one can be named in the environment.
+TOKENIZERS = os.environ.get("SEQLOOM_TOKENIZERS", "/opt/tokenizers")
 
 QUERIES = {
     "op1_simhash": lambda spark, d: simhash.query(documents(spark, d)),
+    "op3_token_file": lambda spark, d: tokenfile.query(documents(spark, d), fresh_path(spark, "tokens"), f"{TOKENIZERS}/byte_bpe_50k.json"),
+    "op4_sharding": lambda spark, d: sharding.query(documents(spark, d)),
+    "op7_language_id": lambda spark, d: langid.query(documents(spark, d)),
+    "op8_mixing": lambda spark, d: mixing.query(documents(spark, d)),
 }
 ORACLES: dict[str, str] = {}
