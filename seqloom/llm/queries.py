@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from seqloom.llm import langid, mixing, sharding, simhash, tokenfile
+from seqloom.llm import langid, mixing, packing, quality, sharding, simhash, tokenfile, topk
 from seqloom.llm.common import documents
 from seqloom.plans.recovery import fresh_path
 
@@ -13,9 +13,15 @@ TOKENIZERS = os.environ.get("SEQLOOM_TOKENIZERS", "/opt/tokenizers")
 
 QUERIES = {
     "op1_simhash": lambda spark, d: simhash.query(documents(spark, d)),
+    "op2_quality_rules": lambda spark, d: quality.query(documents(spark, d)),
     "op3_token_file": lambda spark, d: tokenfile.query(documents(spark, d), fresh_path(spark, "tokens"), f"{TOKENIZERS}/byte_bpe_50k.json"),
     "op4_sharding": lambda spark, d: sharding.query(documents(spark, d)),
     "op7_language_id": lambda spark, d: langid.query(documents(spark, d)),
     "op8_mixing": lambda spark, d: mixing.query(documents(spark, d)),
+    "op9_top_k": topk.query,
+    "op10_packing": lambda spark, d: packing.query(documents(spark, d), f"{TOKENIZERS}/word_bpe_49k.json"),
+}
+ORACLES: dict[str, str] = {
+    "op2_quality_rules": quality.ORACLE,
+    "op9_top_k": topk.ORACLE,
 }
-ORACLES: dict[str, str] = {}
