@@ -1,14 +1,15 @@
 """Exact, memoised use of a tokenizers file.
 
-Pre-tokens never join what stands before a single space to what stands after it, if both
-neighbours of that space are visible characters.  So a text is encoded word by word,
-each distinct word once; a text where this does not hold is encoded whole.
+Between two visible characters, a pre-token ends before a single space or line feed, and
+between a letter and one stop or comma at a word's end.  So a text is encoded piece by piece,
+each distinct piece once; a text where this does not hold is encoded whole.
 """
 
 from __future__ import annotations
 
 import functools
 import os
+from array import array
 
 import numpy as np
 
@@ -16,42 +17,73 @@ import numpy as np
 ODD = "\u180e\u200b\u2060\ufeff"
 
 
+STOPS = ".,;:!?"
+
+
 def _visible(c: str) -> bool:
     return not c.isspace() and c not in ODD and c.isprintable()
 
 
+def _fit(w: str) -> bool:
+    """Whether a piece, which may begin with one line feed, has visible characters at both ends."""
+    rest = w[1:] if w[:1] == "\n" else w
+    return bool(rest) and _visible(rest[0]) and _visible(rest[-1])
+
+
 class Encoder:
-    """ids of texts as bytes of ``dtype``; ``limit`` bounds the number of remembered words."""
+    """ids of texts as bytes of ``dtype``; beyond ``limit`` pieces, only those of the text at hand stay."""
 
-    def __init__(self, path: str, limit: int = 250_000) -> None:
+    def __init__(self, path: str, limit: int = 500_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.code = "H" if self.dtype.itemsize == 2 else "I"
         self.limit = limit
         self.known: dict[str, bytes | None] = {}
+        self.stops = dict(zip(STOPS, self._ids(list(STOPS)), strict=True))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, dtype=self.dtype).tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+        code = self.code
+        return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, new: set[str]) -> None:
+        known, bases, ended = self.known, set(), []
+        for w in new:
+            if w.isalpha():
+                bases.add(w)
+            elif w[-1:] in self.stops and w[:-1].isalpha():
+                ended.append(w)
+                bases.add(w[:-1])
+            elif _fit(w):
+                bases.add(w)
+            else:
+                known[w] = None
+        bases.difference_update(known)
+        order = list(bases)
+        known.update(zip(order, self._ids([b if b[0] == "\n" else f" {b}" for b in order]), strict=True))
+        for w in ended:
+            known[w] = known[w[:-1]] + self.stops[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.split(" ") for t in texts]
+        split = [t.replace("\n", " \n").split(" ") for t in texts]
+        new: set[str] = set()
+        for ws in split:
+            new.update(ws[1:])
+        if len(self.known) > self.limit:
+            self.known = {w: self.known[w] for w in new if w in self.known}
         known = self.known
-        if len(known) > self.limit:
-            known.clear()
-        new = {w for ws in split for w in ws[1:] if w not in known}
-        fit = [w for w in new if w and _visible(w[0]) and _visible(w[-1])]
-        known.update(dict.fromkeys(new))
-        known.update(zip(fit, self._ids([f" {w}" for w in fit]), strict=True))
+        new.difference_update(known)
+        self._learn(new)
         heads = self._ids([ws[0] for ws in split])
         out: list[bytes] = []
         for text, ws, head in zip(texts, split, heads, strict=True):
             try:
-                if len(ws) > 1 and not (ws[0] and _visible(ws[0][-1])):
+                if len(ws) > 1 and not _fit(ws[0]):
                     raise TypeError
                 out.append(head + b"".join(map(known.__getitem__, ws[1:])))
-            except TypeError:  # a word at whose ends the rule does not hold
+            except TypeError:  # a piece at whose ends the rule does not hold
                 out.append(self._ids([text])[0])
         for w in new:
             if len(w) > 40:
