@@ -155,7 +155,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, most: int = 4) -> DataFrame:
     """The rows of ``docs`` whose id is the smallest of its near-duplicate class; all columns stay.
 
-    A repeated id counts once; rows without an id are kept only as the table has them.
+    Of rows with one id one stays; rows without an id stand for no class and go.
     """
     classes = near_duplicates(docs, id_col, text_col, words, most)
     keep = cut(classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")))

@@ -439,15 +439,21 @@ def spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucke
 def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buckets: int | None = None) -> DataFrame:
     """The rows of ``docs`` with repeated passages taken out of their texts; all columns stay.
 
-    Ids must be unique and not null (earlier stages see to that).  A text of which nothing is
-    left stays as an empty text; null texts stay null.
+    A text of which nothing is left stays as an empty text, and null texts stay null.  Rows
+    with null or repeated ids are documents of their own, in the order that ``spans`` gives them.
     """
-    rows = docs.select(F.col(id_col).cast("long").alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    ids = docs.agg(F.count("*").alias("n"), F.countDistinct(id_col).alias("u")).first()
+    if ids.n == ids.u:
+        numbered = docs.withColumn("__uid", F.col(id_col).cast("long"))
+    else:
+        ranged = docs.repartitionByRange(max(1, docs.rdd.getNumPartitions()), id_col).sortWithinPartitions(id_col, text_col)
+        numbered = table(ranged.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
+    rows = numbered.select(F.col("__uid").alias("uid"), F.col("__uid").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     kept = _solve(rows, _text, TEXTS, "uid long, kept_text string, n_spans long", buckets or _buckets(docs))
-    rest = docs.drop(text_col).withColumn("__id", F.col(id_col).cast("long"))
-    nulls = docs.where(F.col(text_col).isNull()).select(F.col(id_col).cast("long").alias("__no_text"))
-    out = rest.join(kept, F.col("__id") == F.col("uid")).join(nulls, F.col("__id") == F.col("__no_text"), "left")
-    text = F.when(F.col("__no_text").isNull(), F.col("kept_text")).alias(text_col)
+    kept = kept.select(F.col("uid").alias("__kept"), F.col("kept_text").alias("__text"))
+    rest = numbered.withColumn("__null", F.col(text_col).isNull()).drop(text_col)
+    out = rest.join(kept, F.col("__uid") == F.col("__kept"))
+    text = F.when(~F.col("__null"), F.col("__text")).alias(text_col)
     return out.select(*[text if c == text_col else F.col(c) for c in docs.columns])
 
 
