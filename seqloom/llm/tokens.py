@@ -8,6 +8,7 @@ each distinct piece once; a text where this does not hold is encoded whole.
 from __future__ import annotations
 
 import functools
+import gc
 import os
 from array import array
 
@@ -43,30 +44,66 @@ class Encoder:
         self.limit = limit
         self.known: dict[str, bytes | None] = {}
         self.stops = dict(zip(STOPS, self._ids(list(STOPS)), strict=True))
+        # Where one word of letters ends in the ids of many: each has one token that begins with
+        # the mark of a space, or one that ends with the mark of a word's end.
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.starts = np.array([x.startswith("\u0120") for x in names])
+        self.ends = np.array([x.endswith("</w>") for x in names])
+        self.folds = self._ids([" Aa"]) == self._ids([" aA"])
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _words(self, words: list[str], run: int = 64) -> list[bytes]:
+        """ids of words of letters, each after a space; many are encoded at once."""
+        groups = [words[i : i + run] for i in range(0, len(words), run)]
+        out: list[bytes] = []
+        for own, data in zip(groups, self._ids([" " + " ".join(g) for g in groups]), strict=True):
+            ids = np.frombuffer(data, dtype=self.dtype)
+            cuts = np.flatnonzero(self.starts[ids]) if not self.ends.any() else np.flatnonzero(self.ends[ids]) + 1
+            if len(cuts) != len(own):
+                out += self._ids([f" {w}" for w in own])
+                continue
+            cuts = (cuts * self.dtype.itemsize).tolist()
+            cuts = [*cuts, len(data)] if not self.ends.any() else [0, *cuts]
+            out += [data[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+        return out
+
     def _learn(self, new: set[str]) -> None:
-        known, bases, ended = self.known, set(), []
+        known, words, others, ended, folded = self.known, set(), [], [], []
         for w in new:
             if w.isalpha():
-                bases.add(w)
+                words.add(w)
             elif w[-1:] in self.stops and w[:-1].isalpha():
                 ended.append(w)
-                bases.add(w[:-1])
+                words.add(w[:-1])
             elif _fit(w):
-                bases.add(w)
+                others.append(w)
             else:
                 known[w] = None
-        bases.difference_update(known)
-        order = list(bases)
-        known.update(zip(order, self._ids([b if b[0] == "\n" else f" {b}" for b in order]), strict=True))
+        words.difference_update(known)
+        if self.folds:
+            folded = [w for w in words if not w.islower() and w.isascii()]
+            words.difference_update(folded)
+            words.update(x for w in folded if (x := w.lower()) not in known)
+        order = list(words)
+        known.update(zip(order, self._words(order), strict=True))
+        known.update((w, known[w.lower()]) for w in folded)
+        known.update(zip(others, self._ids([w if w[0] == "\n" else f" {w}" for w in others]), strict=True))
         for w in ended:
             known[w] = known[w[:-1]] + self.stops[w[-1]]
 
     def encode(self, texts: list[str]) -> list[bytes]:
+        was = gc.isenabled()
+        gc.disable()  # the many small objects here hold no cycles
+        try:
+            return self._encode(texts)
+        finally:
+            if was:
+                gc.enable()
+
+    def _encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " \n").split(" ") for t in texts]
         new: set[str] = set()
         for ws in split:
