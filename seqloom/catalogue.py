@@ -93,9 +93,9 @@ add("mx2pos_flank", _joined(5), _RUN.format(f=5), ALN)
 add("mx2aln", on(cells, am.to_strings), "SELECT aln, row, seq FROM aligned", ALN)
 add("mx2seq", on(cells, lambda c: am.to_strings(c, False)), "SELECT aln, row, replace(seq, '-', '') AS seq FROM aligned", ALN)
 add("reduce_freq", on(cells, am.frequent_columns), "SELECT aln, row, string_agg(nt, '' ORDER BY col) AS seq FROM (SELECT * FROM mx QUALIFY sum((nt <> '-')::INT) OVER (PARTITION BY aln, col) >= 3) GROUP BY aln, row", ALN)
-add("reduce_flank", on(cells, am.conserved_span), f""", {_PROF},
- fit AS (SELECT aln, col, col - row_number() OVER (PARTITION BY aln ORDER BY col) AS i FROM prof WHERE greatest(a, c, g, t) >= 3 AND greatest(a, c, g, t) / (a + c + g + t)::DOUBLE >= 0.9)
-SELECT aln, min(b) AS first, max(e) AS last FROM (SELECT aln, min(col) AS b, max(col) AS e FROM fit GROUP BY aln, i HAVING count(*) >= 5) GROUP BY aln""", ALN)
+add("reduce_flank", on(cells, lambda c: am.conserved_span(c, 3, 0.5, 3)), f""", {_PROF},
+ fit AS (SELECT aln, col, col - row_number() OVER (PARTITION BY aln ORDER BY col) AS i FROM prof WHERE greatest(a, c, g, t) >= 3 AND greatest(a, c, g, t) / (a + c + g + t)::DOUBLE >= 0.5)
+SELECT aln, min(b) AS first, max(e) AS last FROM (SELECT aln, min(col) AS b, max(col) AS e FROM fit GROUP BY aln, i HAVING count(*) >= 3) GROUP BY aln""", ALN)
 add("msadiff", on(fx.aligned, am.difference), """SELECT m.aln, m.row, string_agg(CASE WHEN m.nt = '-' THEN 'g' WHEN r.nt = '-' OR m.nt = r.nt THEN 's' ELSE 'd' END, '' ORDER BY m.col) AS diff
 FROM mx m JOIN mx r ON r.aln = m.aln AND r.col = m.col AND r.row = 0 GROUP BY m.aln, m.row""", ALN)
 add("row_distances", on(wide, am.distances), """, c AS (SELECT a.aln, a.row AS i, b.row AS j, count(*) FILTER (a.nt <> '-' AND a.nt = b.nt) AS same, count(*) FILTER (a.nt <> '-' AND b.nt <> '-') AS both_, count(*) FILTER (a.nt <> '-' OR b.nt <> '-') AS e,
@@ -257,11 +257,11 @@ add("families", on(fx.edges, gr.families))
 add("communities", on(fx.edges, gr.communities))
 
 # --- similarity ----------------------------------------------------------------------------------
-_DOTS = """wx AS (SELECT id, s1, s2, unnest(range(1, length(s1) - 8)) AS i FROM pairs WHERE length(s1) >= 10), wy AS (SELECT id, s1, s2, i, unnest(range(1, length(s2) - 8)) AS j FROM wx WHERE length(s2) >= 10),
- dots AS (SELECT id, i, j, n FROM (SELECT id, i, j, 10 - hamming(substr(s1, i::INT, 10), substr(s2, j::INT, 10)) AS n FROM wy) WHERE n >= 7)"""
-add("dot_matches", on(fx.pairs_of_text, lambda p: si.dots(p, 10, 7)), f", {_DOTS} SELECT * FROM dots", "pairs")
-add("dot_cover", on(fx.pairs_of_text, lambda p: si.dot_cover(p, 10, 7)), f", {_DOTS} SELECT pairs.id, round(coalesce(k, 0) / greatest(length(s1) - 9, 1)::DOUBLE, 9) AS cover FROM pairs LEFT JOIN (SELECT id, count(DISTINCT i) AS k FROM dots GROUP BY id) d ON d.id = pairs.id", "pairs")
-add("dot_score", on(fx.pairs_of_text, lambda p: si.dot_score(p, 10, 7)), f", {_DOTS} SELECT pairs.id, round(coalesce(k, 0) / nullif((length(s1) + length(s2)) / 2.0::DOUBLE, 0), 9) AS score FROM pairs LEFT JOIN (SELECT id, count(*) AS k FROM dots GROUP BY id) d ON d.id = pairs.id", "pairs")
+_DOTS = """wx AS (SELECT id, s1, s2, unnest(range(1, length(s1) - 4)) AS i FROM pairs WHERE length(s1) >= 6), wy AS (SELECT id, s1, s2, i, unnest(range(1, length(s2) - 4)) AS j FROM wx WHERE length(s2) >= 6),
+ dots AS (SELECT id, i, j, n FROM (SELECT id, i, j, 6 - hamming(substr(s1, i::INT, 6), substr(s2, j::INT, 6)) AS n FROM wy) WHERE n >= 4)"""
+add("dot_matches", on(fx.pairs_of_text, lambda p: si.dots(p, 6, 4)), f", {_DOTS} SELECT * FROM dots", "pairs")
+add("dot_cover", on(fx.pairs_of_text, lambda p: si.dot_cover(p, 6, 4)), f", {_DOTS} SELECT pairs.id, round(coalesce(k, 0) / greatest(length(s1) - 5, 1)::DOUBLE, 9) AS cover FROM pairs LEFT JOIN (SELECT id, count(DISTINCT i) AS k FROM dots GROUP BY id) d ON d.id = pairs.id", "pairs")
+add("dot_score", on(fx.pairs_of_text, lambda p: si.dot_score(p, 6, 4)), f", {_DOTS} SELECT pairs.id, round(coalesce(k, 0) / nullif((length(s1) + length(s2)) / 2.0::DOUBLE, 0), 9) AS score FROM pairs LEFT JOIN (SELECT id, count(*) AS k FROM dots GROUP BY id) d ON d.id = pairs.id", "pairs")
 _KMER = """ug AS (SELECT aln, row, replace(seq, '-', '') AS s FROM aligned WHERE replace(seq, '-', '') <> ''), kw AS (SELECT aln, row, w, count(*) AS n FROM (SELECT aln, row, substr(s, i::INT, 7) AS w FROM (SELECT aln, row, s, unnest(range(1, length(s) - 5)) AS i FROM ug WHERE length(s) >= 7)) GROUP BY ALL),
  pr AS (SELECT a.aln, a.row AS i, b.row AS j, greatest(length(a.s), length(b.s)) AS l FROM ug a JOIN ug b ON a.aln = b.aln AND a.row < b.row),
  df AS (SELECT aln, i, j, l, w, n, 0 AS m FROM pr JOIN kw USING (aln) WHERE kw.row = pr.i UNION ALL SELECT aln, i, j, l, w, 0, n FROM pr JOIN kw USING (aln) WHERE kw.row = pr.j),
@@ -276,7 +276,7 @@ add("col_extremes", on(fx.vectors, lambda v: v.groupBy("col").agg(F.max("value")
 add("clean_overlaps", on(fx.hits, ke.clean_overlaps))
 add("greedy_chain", on(fx.hits, ke.greedy_chains))
 add("shortest_chain", on(fx.hits, ke.shortest_chains))
-add("solve_long", on(fx.intervals, lambda i: ke.solve_long(i, 40)))
+add("solve_long", on(fx.intervals, lambda i: ke.solve_long(i, 8)))
 add("pairwise_align", on(fx.pairs_of_text, ke.pairwise))
 add("local_msa", on(fx.pairs_of_text, lambda p: ke.star_alignments(p.select("id", F.explode(F.array("s1", "s2", F.concat("s1", "s2"))).alias("seq")))))
 add("mask_unaligned", on(fx.aligned, ke.mask_unaligned))

@@ -283,13 +283,16 @@ def unaligned(rows: list[str], most: float = 0.2) -> list[str]:
     for r in range(len(mx)):
         edges = np.flatnonzero(np.diff(np.concatenate(([0], (mx[r] != "-").astype(int), [0]))))
         blocks += [(r, b, e) for b, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
-    while blocks:
-        mixed = ((counts > 0).sum(axis=0) != 1).astype(float)
-        share = [mixed[b:e].mean() for _, b, e in blocks]
-        at = max(range(len(blocks)), key=lambda k: (share[k], -k))
+    begs, ends = np.array([b for _, b, _ in blocks], dtype=int), np.array([e for _, _, e in blocks], dtype=int)
+    live = np.ones(len(blocks), dtype=bool)
+    while live.any():
+        total = np.concatenate(([0], np.cumsum((counts > 0).sum(axis=0) != 1)))
+        share = np.where(live, (total[ends] - total[begs]) / (ends - begs), -1.0)
+        at = int(share.argmax())
         if share[at] <= most:
             break
-        r, b, e = blocks.pop(at)
+        live[at] = False
+        r, b, e = blocks[at]
         for k, x in enumerate("ACGT"):
             counts[k, b:e] -= mx[r, b:e] == x
         mx[r, b:e] = "-"

@@ -12,8 +12,8 @@ def _by(keys: list[str], pos: str) -> WindowSpec:
 
 def runs_of_ones(df: DataFrame, keys: list[str], pos: str = "pos", flag: str = "flag") -> DataFrame:
     """(keys, beg, end, len): maximal runs of consecutive positions with flag 1; other values than 0 and 1 raise."""
-    bad = F.assert_true(F.col(flag).isin(0, 1), F.lit("flags must be 0 or 1"))
-    ones = df.where(bad.isNull()).where(F.col(flag) == 1)
+    checked = F.when(~F.col(flag).isin(0, 1), F.raise_error(F.lit("flags must be 0 or 1")).cast("int")).otherwise(F.col(flag))
+    ones = df.where(checked == 1)
     ones = ones.withColumn("__run", F.col(pos) - F.row_number().over(_by(keys, pos)))
     runs = ones.groupBy(*keys, "__run").agg(F.min(pos).alias("beg"), F.max(pos).alias("end")).drop("__run")
     return runs.withColumn("len", F.col("end") - F.col("beg") + 1)
