@@ -185,7 +185,7 @@ _LIFT = """SELECT chr, id, beg, "end", strand, beg2::BIGINT AS beg2, end2::BIGIN
  CASE WHEN yb >= 0 THEN strand WHEN strand = '+' THEN '-' ELSE '+' END AS strand2 FROM f WHERE sign(yb * ye) = 1 AND bb = be) WHERE beg2 <= end2"""
 add("liftover_exact", on(fx.positions, lambda a: co.lift(_genes(a), a, 1, 2)), f""", {_MAP}, f AS (SELECT i.*, b.y AS yb, e.y AS ye, b.block AS bb, e.block AS be FROM items i JOIN m b ON b.chr = i.chr AND b.x = i.beg JOIN m e ON e.chr = i.chr AND e.x = i."end") {_LIFT}""", "positions")
 add("liftover_nearest", on(fx.positions, lambda a: co.lift(_genes(a), a, 1, 2, False)), f""", {_MAP}, f AS (SELECT i.*, b.y AS yb, e.y AS ye, b.block AS bb, e.block AS be FROM items i ASOF JOIN m b ON b.chr = i.chr AND b.x >= i.beg ASOF JOIN m e ON e.chr = i.chr AND e.x <= i."end") {_LIFT}""", "positions")
-add("region_positions", on(fx.positions, lambda a: co.region(a, 1, 3, 5, 90)), "SELECT chr, acc, pan, own FROM pos WHERE chr = 1 AND pan BETWEEN (SELECT min(pan) FROM pos WHERE chr = 1 AND acc = 3 AND abs(own) IN (5, 90)) AND (SELECT max(pan) FROM pos WHERE chr = 1 AND acc = 3 AND abs(own) IN (5, 90))", "positions")
+add("region_positions", on(fx.positions, lambda a: co.region(a, 1, 3, 5, 90)), "SELECT chr, acc, pan, own FROM pos WHERE chr = 1 AND pan BETWEEN (SELECT min(pan) FROM pos WHERE chr = 1 AND acc = 3 AND abs(own) IN (5, 90)) AND (SELECT max(pan) FROM pos WHERE chr = 1 AND acc = 3 AND abs(own) IN (5, 90)) AND (SELECT count(*) FROM pos WHERE chr = 1 AND acc = 3 AND abs(own) IN (5, 90)) = 2", "positions")
 add("two_ref_concordance", on(fx.positions, lambda a: co.concordant(a, 0, 1)), """, f AS (SELECT a.chr, a.acc, a.pan, (a.own * sign(r0.own))::BIGINT AS own, CASE WHEN r1.own IS NULL THEN 1 ELSE 2 END AS trust FROM pos a JOIN pos r0 ON r0.acc = 0 AND r0.chr = a.chr AND r0.pan = a.pan LEFT JOIN pos r1 ON r1.acc = 1 AND r1.chr = a.chr AND r1.pan = a.pan
  WHERE a.acc NOT IN (0, 1) AND (r1.own IS NULL OR sign(r0.own) = sign(r1.own))) SELECT * FROM f QUALIFY count(*) OVER (PARTITION BY chr, acc, own) = 1""", "positions")
 

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators.components import connected_components
+from seqloom.plans.groups import solve
 from seqloom.plans.recovery import cut
 
 
@@ -58,9 +59,62 @@ def _reach(edges: DataFrame, seeds: DataFrame) -> DataFrame:
         last = mark
 
 
-def strong_components(edges: DataFrame) -> DataFrame:
+def tarjan(pairs: list[tuple[int, int]]) -> dict[int, int]:
+    """Each node's strongly connected component, named by its smallest member, in one process."""
+    near: dict[int, list[int]] = {}
+    for a, b in pairs:
+        near.setdefault(a, []).append(b)
+        near.setdefault(b, [])
+    index: dict[int, int] = {}
+    low: dict[int, int] = {}
+    out: dict[int, int] = {}
+    path: list[int] = []
+    for root in near:
+        if root in index:
+            continue
+        index[root] = low[root] = len(index)
+        path.append(root)
+        work = [(root, iter(near[root]))]
+        while work:
+            v, rest = work[-1]
+            for w in rest:
+                if w not in index:
+                    index[w] = low[w] = len(index)
+                    path.append(w)
+                    work.append((w, iter(near[w])))
+                    break
+                if w not in out:
+                    low[v] = min(low[v], index[w])
+            else:
+                work.pop()
+                if work:
+                    low[work[-1][0]] = min(low[work[-1][0]], low[v])
+                if low[v] == index[v]:
+                    at = path.index(v) if len(path) < 64 else len(path) - 1 - path[::-1].index(v)
+                    members = path[at:]
+                    del path[at:]
+                    out.update(dict.fromkeys(members, min(members)))
+    return out
+
+
+def strong_components(edges: DataFrame, small: int = 200_000) -> DataFrame:
     """(name, node): each node's strongly connected component, named by its smallest member.
 
+    A weakly connected part with up to ``small`` edges is solved in one task; larger ones by
+    ``strong_components_by_colour``.
+    """
+    e = cut(edges.select("src", "dst").where("src <> dst").distinct())
+    tagged = e.join(connected_components(e).select(F.col("node").alias("src"), "component"), "src")
+    tagged = cut(tagged.withColumn("n", F.count("*").over(Window.partitionBy("component"))))
+    near = tagged.where(F.col("n") <= small).select("component", "src", "dst")
+    found = solve(near, ["component"], lambda key, rows: tarjan(rows).items(), "name long, node long")
+    large = tagged.where(F.col("n") > small).select("src", "dst")
+    return found.unionByName(strong_components_by_colour(large)) if large.limit(1).count() else found
+
+
+def strong_components_by_colour(edges: DataFrame) -> DataFrame:
+    """The same for graphs of any size.
+
     Rounds of trimming (nodes without a way in or out are alone) and colouring: labels flow
     forward from every node, then backward from each colour's root within the colour.
     Every step is a join and an aggregation over the edges that are left.

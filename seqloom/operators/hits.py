@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators.intervals import union_length
+from seqloom.plans.groups import solve
 
 PAIR = ["q_id", "s_id", "strand"]
 
@@ -171,14 +171,15 @@ def merged_hits(hits: DataFrame, similarity: float, coverage: float | None = Non
     full = h.where(whole).withColumn("cover", F.col("q_end") - F.col("q_beg") + 1).select(*names)
     part = h.where(~whole).withColumn("__n", F.count("*").over(Window.partitionBy(*PAIR))).where("__n > 1").drop("__n")
 
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf.iloc[0]
-        rows = [(int(r.q_beg), int(r.q_end), *((int(r.s_beg), int(r.s_end)) if head.strand == "+" else (-int(r.s_beg), -int(r.s_end))), float(r.pident)) for r in pdf.itertuples()]
-        found = chain_pair(rows, int(head.q_len), cov, similarity)
-        side = 1 if head.strand == "+" else -1
-        return pd.DataFrame([(head.q_id, a, b, side * c, side * d, i, n, head.s_id, head.q_len, head.strand) for a, b, c, d, i, n in found], columns=names)
+    def kernel(key: tuple, rows: list[tuple]) -> list[tuple]:
+        q, s, side = key
+        sign = 1 if side == "+" else -1
+        q_len = rows[0][-1]
+        found = chain_pair([(a, b, *((c, d) if sign == 1 else (-c, -d)), i) for a, b, c, d, i, _ in rows], q_len, cov, similarity)
+        return [(q, a, b, sign * c, sign * d, i, n, s, q_len, side) for a, b, c, d, i, n in found]
 
-    return full.unionByName(part.groupBy(*PAIR).applyInPandas(kernel, cols))
+    part = part.select(*PAIR, "q_beg", "q_end", "s_beg", "s_end", "pident", "q_len")
+    return full.unionByName(solve(part, PAIR, kernel, cols))
 
 
 def to_gff(hits: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.plans.groups import solve
+
 Hit = tuple[int, int, int, int]  # q_beg, q_end, s_beg, s_end on forward axes
 
 
@@ -106,19 +108,17 @@ def shortest(hits: list[Hit]) -> list[Hit]:
     return out[::-1]
 
 
-def _per_pair(hits: DataFrame, solve) -> DataFrame:
-    """``solve`` over each query, target and strand; minus-strand subjects are mirrored to a forward axis."""
-    h = hits.withColumn("strand", F.when(F.col("s_beg") > F.col("s_end"), "-").otherwise("+")).select("q_id", "s_id", "strand", "q_beg", "q_end", "s_beg", "s_end").distinct()
-    names = ["q_id", "s_id", "strand", "q_beg", "q_end", "s_beg", "s_end"]
+def _per_pair(hits: DataFrame, find) -> DataFrame:
+    """``find`` over each query, target and strand; minus-strand subjects are mirrored to a forward axis."""
+    keys = ["q_id", "s_id", "strand"]
+    h = hits.withColumn("strand", F.when(F.col("s_beg") > F.col("s_end"), "-").otherwise("+")).select(*keys, "q_beg", "q_end", "s_beg", "s_end").distinct()
 
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        head = pdf.iloc[0]
-        top = int(max(pdf.s_beg.max(), pdf.s_end.max())) + 1
-        flip = (lambda x: x) if head.strand == "+" else (lambda x: top - x)
-        found = solve([(int(r.q_beg), int(r.q_end), flip(int(r.s_beg)), flip(int(r.s_end))) for r in pdf.itertuples()])
-        return pd.DataFrame([(head.q_id, head.s_id, head.strand, a, b, flip(c), flip(d)) for a, b, c, d in found], columns=names)
+    def kernel(key: tuple, rows: list[tuple]) -> list[tuple]:
+        top = max(max(r[2], r[3]) for r in rows) + 1
+        flip = (lambda x: x) if key[2] == "+" else (lambda x: top - x)
+        return [(*key, a, b, flip(c), flip(d)) for a, b, c, d in find([(a, b, flip(c), flip(d)) for a, b, c, d in rows])]
 
-    return h.groupBy("q_id", "s_id", "strand").applyInPandas(kernel, "q_id long, s_id long, strand string, q_beg long, q_end long, s_beg long, s_end long")
+    return solve(h, keys, kernel, "q_id long, s_id long, strand string, q_beg long, q_end long, s_beg long, s_end long")
 
 
 def clean_overlaps(hits: DataFrame) -> DataFrame:
@@ -171,11 +171,10 @@ def solve_long(intervals: DataFrame, most: int) -> DataFrame:
     span = Window.partitionBy("key", "g")
     long = g.withColumn("len", F.max("end").over(span) - F.min("beg").over(span) + 1).where(F.col("len") > most)
 
-    def kernel(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = excluded(list(zip(pdf.beg.tolist(), pdf.end.tolist(), strict=True)), most)
-        return pd.DataFrame([(pdf.key.iloc[0], b, e) for b, e in found], columns=["key", "beg", "end"])
+    def kernel(key: tuple, rows: list[tuple]) -> list[tuple]:
+        return [(key[0], b, e) for b, e in excluded(rows, most)]
 
-    return long.select("key", "g", "beg", "end").groupBy("key", "g").applyInPandas(kernel, "key long, beg long, end long")
+    return solve(long.select("key", "g", "beg", "end"), ["key", "g"], kernel, "key long, beg long, end long")
 
 
 # --- alignment ------------------------------------------------------------------------------------

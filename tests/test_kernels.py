@@ -110,10 +110,25 @@ def test_chains():
         ht.cutoff_share(5)
 
 
+def test_tarjan():
+    rng = random.Random(7)
+    for _ in range(50):
+        edges = [(rng.randrange(9), rng.randrange(9)) for _ in range(14)]
+        reach = {v: {v} for e in edges for v in e}
+        for _ in range(9):
+            for a, b in edges:
+                for own in reach.values():
+                    if a in own:
+                        own.add(b)
+        assert gr.tarjan(edges) == {v: min(w for w in reach[v] if v in reach[w]) for v in reach}
+
+
 def test_graphs(spark):
     e = lambda *p: spark.createDataFrame(list(p), "src long, dst long")
     g = e((1, 2), (2, 3), (3, 1), (3, 4), (4, 5), (5, 4), (5, 6))
     assert {tuple(r) for r in gr.strong_components(g).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6)}
+    assert {tuple(r) for r in gr.strong_components_by_colour(g).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6)}
+    assert {tuple(r) for r in gr.strong_components(g, 2).collect()} == {(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 6)}
     assert {tuple(r) for r in gr.bridges(e((1, 2), (2, 3), (3, 1), (3, 4))).collect()} == {(3, 4)}
     assert {tuple(r) for r in gr.peeled(e((1, 2), (2, 3), (3, 1), (3, 4), (4, 5))).collect()} == {(1, 2, 0), (2, 3, 0), (3, 1, 0), (3, 4, 2), (4, 5, 1)}
     known = spark.createDataFrame([(1, 9), (2, 9)], "node long, component long")

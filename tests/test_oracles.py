@@ -9,7 +9,6 @@ import pytest
 from seqloom import catalogue
 
 D = "/root/testdata/sf0.001"
-SLOW = {"scc_nodes"}
 
 
 @pytest.fixture(scope="module")
@@ -25,7 +24,7 @@ def shape(rows, at):
     return sorted((tuple(fix(r[i]) for i in at) for r in rows), key=str)
 
 
-@pytest.mark.parametrize("name", sorted(set(catalogue.QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(catalogue.QUERIES))
 def test_query(spark, duck, name):
     df = catalogue.QUERIES[name](spark, D)
     got = df.collect()
