@@ -38,8 +38,8 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table(df: DataFrame, name: str) -> DataFrame:
+def table(df: DataFrame, name: str, level: int = 3) -> DataFrame:
     """Compute ``df`` once into a compressed Parquet table in the shared folder."""
     path = fresh_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").option("parquet.compression.codec.zstd.level", level).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
