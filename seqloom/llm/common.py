@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +31,15 @@ def text_of(value: str | None) -> bytes:
     return b"" if value is None else value.encode("utf-8", "surrogatepass")
 
 
-def sliced(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20) -> Iterator[pa.RecordBatch]:
+def give_back() -> None:
+    """Return what a kernel no longer needs to the system: workers live on between tasks."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library than glibc
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def sliced(batches: Iterator[pa.RecordBatch], column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches whose column ``column`` holds about ``limit`` bytes, or one row."""
     for batch in batches:
         sizes = np.asarray(pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
@@ -38,6 +49,8 @@ def sliced(batches: Iterator[pa.RecordBatch], column: int, limit: int = 8 << 20)
         at = np.flatnonzero(np.diff(part, prepend=-1))
         for lo, hi in zip(at, [*at[1:], len(sizes)], strict=True):
             yield batch.slice(lo, hi - lo)
+    batch = None
+    give_back()
 
 
 def sorted_groups(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[pa.Table]:
@@ -57,3 +70,5 @@ def sorted_groups(batches: Iterator[pa.RecordBatch], key: int = 0) -> Iterator[p
             last = keys[lo]
     if held:
         yield pa.Table.from_batches(held)
+    held = batch = None
+    give_back()

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import remainder, sliced
+from seqloom.llm.tokens import forget
 
 TOP = 400
 #: Training texts for each language, about: they are chosen by the hash of their ids.
@@ -130,6 +131,7 @@ def accepted(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
     at = [i for i, n in enumerate(names) if n == text_col][0]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in sliced(batches, at):
             found = [profiles.classify(t) for t in batch.column(at).to_pylist()]
             yield batch.filter(pa.array([lang != UNKNOWN and score >= least for lang, score in found], pa.bool_()))

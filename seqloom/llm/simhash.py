@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from seqloom.llm.common import sliced, sorted_groups, text_of
+from seqloom.llm.tokens import forget
 from seqloom.operators.components import connected_components
 from seqloom.plans.recovery import cut
 
@@ -52,6 +53,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """(doc_id, fp): one row for each row of ``docs``; fp holds the 64 bits as a signed long."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         for batch in sliced(batches, 1):
             found = [fingerprint(text_of(t), words) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(found, dtype=np.uint64).view(np.int64))], ["doc_id", "fp"])

@@ -30,16 +30,17 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import sliced, sorted_groups, text_of
+from seqloom.llm.common import give_back, sliced, sorted_groups, text_of
 from seqloom.llm.sharding import mix
 from seqloom.llm.suffixes import repeated
+from seqloom.llm.tokens import forget
 from seqloom.plans.recovery import table
 
 WIDTH, SEED, HOT = 100, 32, 512
 REACH = WIDTH - SEED  # a string begins up to this many bytes before its anchor
-PIECE, SHARD = 4 << 20, 3 << 20
+PIECE, SHARD = 2 << 20, 2 << 20  # bytes that a task scans or orders at a time
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
-RECORD = np.dtype([("low", "<u4"), ("high", "<u2"), ("context", "<u8"), ("doc", "<u2"), ("start", "<u4"), ("more", "u1")])
+RECORD = np.dtype([("low", "<u4"), ("high", "<u2"), ("context", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("more", "u1")])
 RANGE = np.dtype([("uid", "<i8"), ("start", "<u4"), ("more", "<u4")])
 CHECK = np.dtype([("uid", "<i8"), ("start", "<u4"), ("more", "u1"), ("hot", "u1"), ("anchor", "<u8")])
 ROW = "bucket int, kind int, target int, data binary"
@@ -132,10 +133,13 @@ def _scan(buckets: int):
     """Step 1: (uid, text) to records by anchor, and ranges that repeat in their batch."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in sliced(batches, 1):
+        forget()
+        for batch in sliced(batches, 1, PIECE):
             who, base, pieces = _cut(_uids(batch), [text_of(t) for t in batch.column(1).to_pylist()])
-            for lo in range(0, len(who), 1 << 16):  # so many documents fit a record's number
-                anchor, held, piece, start, more = contexts(pieces[lo : lo + (1 << 16)])
+            ends = np.cumsum([len(p) for p in pieces])
+            at = np.flatnonzero(np.diff(ends // PIECE, prepend=-1))
+            for lo, hi in zip(at.tolist(), [*at[1:].tolist(), len(pieces)], strict=True):
+                anchor, held, piece, start, more = contexts(pieces[lo:hi])
                 uid, start = who[lo + piece], start + base[lo + piece]
                 order = np.lexsort((start, uid, held, anchor))
                 anchor, held, piece, uid, start, more = (x[order] for x in (anchor, held, piece, uid, start, more))
@@ -302,6 +306,8 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
         held[k].append(d.as_py())
     if now is not None:
         yield held
+    held = None
+    give_back()
 
 
 def _shards(buckets: int):
@@ -324,6 +330,7 @@ def _shards(buckets: int):
         return [(b, DUP, 0, x.tobytes()) for b, x in _dealt(dup, home(dup["uid"], buckets))]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        forget()
         held: list[list] = [[], [], [], []]
         size, plain = 0, []
         for group in sorted_groups(batches):

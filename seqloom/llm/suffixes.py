@@ -8,8 +8,8 @@ import numpy as np
 def kinds(text: np.ndarray) -> np.ndarray:
     """True where the suffix is smaller than the next one (S-type); the last symbol is unique and least."""
     n = len(text)
-    step = np.sign(text[1:].astype(np.int64) - text[:-1])
-    at = np.where(step != 0, np.arange(n - 1), n)
+    step = np.sign(text[1:].astype(np.int32) - text[:-1])
+    at = np.where(step != 0, np.arange(n - 1, dtype=np.int32), np.int32(n))
     nxt = np.minimum.accumulate(at[::-1])[::-1]  # where the symbols next differ
     out = np.ones(n, dtype=bool)
     out[:-1] = step[np.minimum(nxt, n - 2)] > 0
@@ -27,7 +27,7 @@ def _deal(items: np.ndarray, symbols: np.ndarray, queues: list[list[np.ndarray]]
         queues[symbols[lo]].append(items[lo:hi])
 
 
-_NONE = np.zeros(0, dtype=np.int64)
+_NONE = np.zeros(0, dtype=np.int32)
 
 
 def _joined(parts: list[np.ndarray]) -> np.ndarray:
@@ -74,7 +74,7 @@ def induce(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) ->
             wave = wave[own]
         found = before(ups[c][::-1], True)
         _deal(found, text[found], queues)
-        downs = _joined(done)[::-1] if c else np.array([len(text) - 1])
+        downs = _joined(done)[::-1] if c else np.array([len(text) - 1], dtype=np.int32)
         out[c] = np.concatenate((ups[c], downs))
     return np.concatenate(out)
 
@@ -82,7 +82,7 @@ def induce(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) ->
 def _names(text: np.ndarray, heads: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """The rank of each leftmost S-type substring, by text position; equal substrings share one."""
     ends = np.append(heads[1:], len(text) - 1)
-    length = np.zeros(len(text), dtype=np.int64)
+    length = np.zeros(len(text), dtype=np.int32)
     length[heads] = ends - heads + 1
     a, b = ordered[:-1], ordered[1:]
     differ = length[a] != length[b]
@@ -92,7 +92,7 @@ def _names(text: np.ndarray, heads: np.ndarray, ordered: np.ndarray) -> np.ndarr
         off = text[a[live] + k] != text[b[live] + k]
         differ[live[off]] = True
         live, k = live[~off], k + 1
-    rank = np.zeros(len(text), dtype=np.int64)
+    rank = np.zeros(len(text), dtype=np.int32)
     rank[ordered] = np.concatenate(([0], np.cumsum(differ)))
     return rank[heads]
 
@@ -134,7 +134,7 @@ def suffix_array(text: np.ndarray, size: int, most: int = 2048) -> np.ndarray:
     if len(text) == 1:
         return np.zeros(1, dtype=np.int64)
     small = kinds(text)
-    heads = np.flatnonzero(small[1:] & ~small[:-1]) + 1
+    heads = (np.flatnonzero(small[1:] & ~small[:-1]) + 1).astype(np.int32)
     ordered = induce(text, small, heads, size)
     is_head = np.zeros(len(text), dtype=bool)
     is_head[heads] = True
@@ -152,7 +152,7 @@ def common(data: np.ndarray, order: np.ndarray, valid: np.ndarray, width: int) -
 
     ``data`` holds ``width`` more bytes than positions; only pairs of ``valid`` positions count.
     """
-    before = np.full(len(order), -1, dtype=np.int64)
+    before = np.full(len(order), -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
     at = np.flatnonzero(valid & (before >= 0))
     at = at[valid[before[at]]]
@@ -174,8 +174,7 @@ def repeated(pieces: list[bytes], width: int) -> np.ndarray:
     text[ends] = 1
     text = np.append(text, np.int16(0))
     valid = np.zeros(n + 1, dtype=bool)
-    left = np.repeat(ends, sizes + 1) - np.arange(n)
-    valid[:n] = left >= width
+    valid[:n] = np.repeat(ends.astype(np.int32), sizes + 1) - np.arange(n, dtype=np.int32) >= width
     order = suffix_array(text, 258)
     same = common(np.append(joined, np.zeros(width + 8, np.uint8)), order, valid, width)
     group = np.cumsum(~same[order])
