@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import sliced
+from seqloom.llm.common import give_back, sliced
 from seqloom.llm.tokens import encoder
 from seqloom.plans.recovery import cut, table
 
@@ -42,11 +42,12 @@ class Lane:
 
     def pieces(self) -> Iterator[tuple]:
         """(doc_id, start, ids, doc_tokens, sequence, offset) until the queues are empty."""
-        idle = np.array([0.0 if q else -np.inf for q in self.queues])
+        # A source without documents stands at minus infinity, whatever is added.
+        deficits = np.where([bool(q) for q in self.queues], self.deficits, -np.inf)
         at = [0] * len(self.queues)
         open_piece: list | None = None
         while self.left:
-            s = int(np.argmax(self.deficits + idle))
+            s = int(deficits.argmax())
             doc = self.queues[s][0]
             n = min(self.quantum, len(doc[1]) - at[s], self.window - self.used)
             if open_piece and open_piece[0] is doc:
@@ -55,8 +56,8 @@ class Lane:
                 if open_piece:
                     yield self._piece(open_piece)
                 open_piece = [doc, at[s], at[s] + n, self.sequence, self.used]
-            self.deficits += self.shares * n
-            self.deficits[s] -= n
+            deficits += self.shares * n
+            deficits[s] -= n
             at[s] += n
             self.used += n
             self.left -= n
@@ -64,7 +65,7 @@ class Lane:
                 self.queues[s].popleft()
                 at[s] = 0
                 if not self.queues[s]:
-                    idle[s] = -np.inf
+                    deficits[s] = -np.inf
             if self.used == self.window:
                 yield self._piece(open_piece)
                 open_piece, self.used = None, 0
@@ -80,18 +81,19 @@ class Lane:
 
 def _batch(held: list[tuple]) -> pa.RecordBatch:
     cols = list(zip(*held, strict=True))
-    crc = [zlib.crc32(ids.astype("<u4").tobytes()) for ids in cols[2]]
+    crc = [zlib.crc32(ids.astype("<u4")) for ids in cols[2]]
     values = [cols[0], cols[1], [len(x) for x in cols[2]], crc, *cols[3:]]
     return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, quantum: int = 512, weights: dict | None = None, lanes: int | None = None, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, quantum: int = 512, weights: dict | None = None, lanes: int | None = None, remember: int = 500_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row for each piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     ``weights`` gives sources' target shares of the tokens; by default each source has the
     share that it holds.  Null texts count as empty (one end token), null sources as one
     source, null ids as one id.  Repeated rows are packed as often as they come.  Only the last window
-    of each lane may be short.  What a task holds is one lane's ids.
+    of each lane may be short.  What a task holds is one lane's ids, and each worker ``remember``
+    pieces of text with their ids.
     """
     lanes = lanes or 4 * max(1, docs.rdd.getNumPartitions())
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
@@ -99,14 +101,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, q
     rows = docs.select(F.pmod(F.xxhash64(doc_id, F.lit("lane")), F.lit(lanes)).cast("int").alias("lane"), doc_id.alias("doc_id"), F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("")).alias("source"), text.alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, remember)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for batch in sliced(batches, 3, 4 << 20):
             data = [d + end for d in enc.encode(batch.column(3).to_pylist())]
             sizes = pa.array([len(d) // enc.dtype.itemsize for d in data], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], sizes, pa.array(data, pa.binary())], ["lane", "doc_id", "source", "n", "ids"])
 
-    coded = table(rows.mapInArrow(encode, "lane int, doc_id long, source string, n long, ids binary"), "packing")
+    coded = table(rows.mapInArrow(encode, "lane int, doc_id long, source string, n long, ids binary"), "packing", 1)
     # One row for each lane and source, whatever the number of documents.
     counts = cut(coded.groupBy("lane", "source").agg(F.sum("n").alias("n")))
     before = Window.orderBy("lane").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,7 +129,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, q
     dealt = heads.unionByName(body).repartition("lane").sortWithinPartitions("lane", "kind", "source", "doc_id", F.xxhash64("ids"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        dtype = encoder(tokenizer).dtype
+        dtype = encoder(tokenizer, remember).dtype
         lane, now, number, heads = None, -1, {}, []
 
         def drained() -> Iterator[pa.RecordBatch]:
@@ -154,6 +156,8 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, q
                     lane = Lane(np.array([h[0] for h in heads]), np.array([h[1] for h in heads]), heads[0][2], window, quantum)
                 lane.add(number[source], (doc, np.frombuffer(ids, dtype=dtype)))
         yield from drained()
+        lane = None
+        give_back()
 
     return dealt.mapInArrow(kernel, PIECES)
 

@@ -50,6 +50,7 @@ class Encoder:
         self.starts = np.array([x.startswith("\u0120") for x in names])
         self.ends = np.array([x.endswith("</w>") for x in names])
         self.folds = self._ids([" Aa"]) == self._ids([" aA"])
+        self.heads: dict[str, bytes] = {}  # first pieces, which have no space before them
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = self.code
@@ -82,7 +83,7 @@ class Encoder:
                 others.append(w)
             else:
                 known[w] = None
-        words.difference_update(known)
+        words = {w for w in words if w not in known}
         if self.folds:
             folded = [w for w in words if not w.islower() and w.isascii()]
             words.difference_update(folded)
@@ -105,30 +106,43 @@ class Encoder:
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " \n").split(" ") for t in texts]
+        first = [ws.pop(0) for ws in split]
         new: set[str] = set()
         for ws in split:
-            new.update(ws[1:])
+            new.update(ws)
         if len(self.known) > self.limit:
             self.known = {w: self.known[w] for w in new if w in self.known}
         known = self.known
-        new.difference_update(known)
+        new = {w for w in new if w not in known}  # one look-up for each of the few new ones, not for each known one
         self._learn(new)
-        heads = self._ids([ws[0] for ws in split])
+        if len(self.heads) > self.limit // 8:
+            self.heads = {}
+        heads = self.heads
+        order = list({w for w in first if w not in heads})
+        heads.update(zip(order, self._ids(order), strict=True))
         out: list[bytes] = []
-        for text, ws, head in zip(texts, split, heads, strict=True):
+        for text, one, ws in zip(texts, first, split, strict=True):
             try:
-                if len(ws) > 1 and not _fit(ws[0]):
+                if ws and not _fit(one):
                     raise TypeError
-                out.append(head + b"".join(map(known.__getitem__, ws[1:])))
+                out.append(heads[one] + b"".join(map(known.__getitem__, ws)))
             except TypeError:  # a piece at whose ends the rule does not hold
                 out.append(self._ids([text])[0])
         for w in new:
             if len(w) > 40:
                 del known[w]
+        for w in order:
+            if len(w) > 40:
+                del heads[w]
         return out
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
-    """One encoder for each file and Python worker."""
-    return Encoder(path)
+def encoder(path: str, limit: int = 500_000) -> Encoder:
+    """One encoder for each file and Python worker; ``limit`` pieces take about 200 bytes each."""
+    return Encoder(path, limit)
+
+
+def forget() -> None:
+    """Drop the encoders that a worker holds from an earlier stage: they are of no use to the next one."""
+    encoder.cache_clear()
