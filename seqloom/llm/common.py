@@ -13,6 +13,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from seqloom.plans.recovery import table
+
 #: A word is a maximal run of characters other than these white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]+"
@@ -27,6 +29,16 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``docs`` with a unique ``__uid`` that follows the id; nulls come last, rows of one id in an order that their texts decide."""
+    ids = docs.agg(F.count("*").alias("n"), F.countDistinct(F.col(id_col).cast("long")).alias("u")).first()
+    if ids.n == ids.u:
+        return docs.withColumn("__uid", F.col(id_col).cast("long"))
+    order = [F.col(id_col).cast("long").asc_nulls_last(), F.xxhash64(text_col)]  # the hash parts the rows of one id
+    ranged = docs.repartitionByRange(max(1, docs.rdd.getNumPartitions()), *order).sortWithinPartitions(*order, text_col)
+    return table(ranged.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
+
+
 def text_of(value: str | None) -> bytes:
     return b"" if value is None else value.encode("utf-8", "surrogatepass")
 

@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import sliced, sorted_groups, text_of
+from seqloom.llm.common import numbered, sliced, sorted_groups, text_of
 from seqloom.llm.tokens import forget
 from seqloom.operators.components import connected_components
 from seqloom.plans.recovery import cut
@@ -155,15 +155,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, most: int = 4) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its near-duplicate class; all columns stay.
+    """The first row of each near-duplicate class; all columns stay.
 
-    Of rows with one id one stays; rows without an id stand for no class and go.
+    Rows with null or repeated ids are documents of their own, in the order of ``numbered``.
     """
-    classes = near_duplicates(docs, id_col, text_col, words, most)
-    keep = cut(classes.where("doc_id = component_id").groupBy("doc_id").agg(F.count("*").alias("n")))
-    ids = keep.select(F.col("doc_id").alias("__keep"))
-    kept = docs.join(ids, docs[id_col] == F.col("__keep"), "left_semi")
-    return kept.dropDuplicates([id_col]) if keep.where("n > 1").limit(1).count() else kept
+    rows = numbered(docs, id_col, text_col)
+    classes = near_duplicates(rows, "__uid", text_col, words, most)
+    keep = cut(classes.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")))
+    return rows.join(keep, F.col("__uid") == F.col("__keep"), "left_semi").select(*docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:
