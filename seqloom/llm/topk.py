@@ -63,7 +63,7 @@ class Tree:
         self.radii = np.array([p.radius for p in self.pages])
 
     def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """(score, id) of the ``k`` best other rows, ties to the smaller id."""
+        """(score, id) of the ``k`` best rows with other ids than ``own``, ties to the smaller id."""
         q = query.astype(np.float64)
         base = float(q @ q) + self.top
         point = np.append(q, 0.0)
@@ -77,19 +77,18 @@ class Tree:
             page = self.pages[at]
             lo, hi = np.searchsorted(page.apart, [to[at] - reach, to[at] + reach]) if reach < np.inf else (0, len(page.rows))
             rows = page.rows[lo : hi + 1]
+            rows = rows[self.ids[rows] != own]
             scores = self.vectors[rows] @ q
             if len(best) == k:
                 fit = scores >= best[0][0]
                 rows, scores = rows[fit], scores[fit]
-            if len(rows) > k + 1:  # one of them may be the query
-                least_fit = np.partition(scores, -k - 1)[-k - 1]
+            if len(rows) > k:
+                least_fit = np.partition(scores, -k)[-k]
                 rows, scores = rows[scores >= least_fit], scores[scores >= least_fit]
-                order = np.lexsort((self.ids[rows], -scores))[: k + 1]
+                order = np.lexsort((self.ids[rows], -scores))[:k]
                 rows, scores = rows[order], scores[order]
             for row, score in zip(rows, scores, strict=True):
                 item = (int(score), -int(self.ids[row]))
-                if -item[1] == own:
-                    continue
                 if len(best) < k:
                     heapq.heappush(best, item)
                 elif item > best[0]:
@@ -105,6 +104,8 @@ def search(vectors: DataFrame, every: int = 50, k: int = 5, group: int = 8192, b
     Components become floor(256 x).  Queries are the rows whose id is divisible by
     ``every``.  Vectors that are null, empty or hold null or non-finite components, and rows with a
     null id, take no part; rows of other lengths than the query's are no candidates; rows with the query's id are its own.
+    As in SQL, ranks count pairs of rows: a repeated candidate takes a rank for each of its rows,
+    and the rows of a repeated query id are ranked together, each with its own results.
     Rows go to page groups of about ``group`` by hash; each meets every block of about ``block``
     queries and keeps ``k`` results for each, so a task holds one group and one block.
     """
