@@ -252,7 +252,7 @@ add("dominant_edges", on(fx.edges, lambda e: gr.dominant(e, _tens(e), 0.5)), """
 SELECT c.* FROM c JOIN sz x ON x.node = c.src JOIN sz y ON y.node = c.dst WHERE n_src / x.s::DOUBLE >= 0.5 AND n_dst / y.s::DOUBLE >= 0.5""", "edges")
 add("leaf_peel", on(fx.edges, gr.peeled))
 add("bridges", on(fx.edges, gr.bridges))
-add("attribute_nodes", on(fx.edges, lambda e: gr.attributed(e, connected_components(gr.without_shortcuts(e)).where("component < 40"), 0.6)))
+add("attribute_nodes", on(fx.edges, lambda e: gr.attributed(e, connected_components(gr.without_shortcuts(e)), 0.6)))
 add("families", on(fx.edges, gr.families))
 add("communities", on(fx.edges, gr.communities))
 
