@@ -2,9 +2,9 @@
 
 Inner products become distances by one more coordinate: with the longest vector's norm m,
 the points (x, sqrt(m^2 - |x|^2)) stand at the squared distance |q|^2 + m^2 - 2 q.x from the
-query (q, 0).  Each page group is bulk-loaded into a tree of metric nodes: leaf pages of
-points below routing points, each with its covering radius and every point's distance to
-its routing point.  A search visits pages by their least possible distance, stops where no
+query (q, 0).  Each page group is bulk-loaded by halves into one level of leaf pages, each with
+its routing point, its covering radius and every point's distance to the routing point; the
+nodes that were halved are not kept.  A search compares the query to every routing point, visits pages by their least possible distance, stops where no
 page can better its k-th result, and skips the points that the triangle inequality with
 the stored distances excludes.  Bounds are taken with a margin for rounding; scores are integers.
 """
