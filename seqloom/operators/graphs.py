@@ -222,18 +222,28 @@ def bridges(edges: DataFrame) -> DataFrame:
     return tagged.select("src", "dst", "component").groupBy("component").applyInPandas(kernel, "src long, dst long")
 
 
-def communities(edges: DataFrame, rounds: int = 10) -> DataFrame:
+def communities(edges: DataFrame) -> DataFrame:
     """(node, community) by label propagation: each node takes its neighbours' most frequent label, ties to the smaller.
 
-    A deterministic stand-in for randomised modularity search.
+    A deterministic stand-in for randomised modularity search.  All nodes move at once, until a round repeats the labels of
+    an earlier one; where that was not the round before, each node gets the smallest of its labels since.
     """
     both = cut(edges.select("src", "dst").unionByName(edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))).where("src <> dst").distinct())
     labels = cut(both.select(F.col("src").alias("node")).distinct().withColumn("community", F.col("node")))
-    for _ in range(rounds):
+    states: list[DataFrame] = []
+    marks: list[tuple] = []
+    while True:
+        mark = tuple(labels.agg(F.count("*"), F.bit_xor(F.xxhash64("node", "community")), F.sum(F.pmod(F.xxhash64("community", "node"), F.lit(1 << 40)))).first())
+        if mark in marks:
+            break
+        marks.append(mark)
+        states.append(labels)
         votes = both.join(labels.select(F.col("node").alias("dst"), "community"), "dst").unionByName(labels.select(F.lit(None).cast("long").alias("dst"), F.col("node").alias("src"), "community"))
         n = votes.groupBy("src", "community").agg(F.count("*").alias("n"))
         labels = cut(n.groupBy("src").agg(F.max_by("community", F.struct("n", -F.col("community"))).alias("community")).select(F.col("src").alias("node"), "community"))
-    return labels
+    for state in states[marks.index(mark) + 1 :]:
+        labels = labels.unionByName(state)
+    return labels.groupBy("node").agg(F.min("community").alias("community"))
 
 
 def families(edges: DataFrame, least: int = 3, share: float = 0.7) -> DataFrame:
