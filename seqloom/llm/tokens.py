@@ -1,8 +1,10 @@
 """Exact, memoised use of a tokenizers file.
 
 Between two visible characters, a pre-token ends before a single space or line feed, and
-between a letter and one stop or comma at a word's end.  So a text is encoded piece by piece,
-each distinct piece once; a text where this does not hold is encoded whole.
+between a plain letter and one stop or comma at a word's end.  So a text is encoded piece by piece,
+each distinct piece once; a text where this does not hold is encoded whole.  Which letters are
+plain is asked of the tokenizer itself, once for each character that comes up: some letters
+change into a letter and a mark, which would hold on to a stop.
 """
 
 from __future__ import annotations
@@ -51,6 +53,29 @@ class Encoder:
         self.ends = np.array([x.endswith("</w>") for x in names])
         self.folds = self._ids([" Aa"]) == self._ids([" aA"])
         self.heads: dict[str, bytes] = {}  # first pieces, which have no space before them
+        self.plain: set[str] = set()
+        self.met: set[str] = set()
+
+    def _meet(self, chars: set[str]) -> None:
+        """Find out which of some new characters are letters that end before a stop, alone and after other letters."""
+        self.met |= chars
+        order = [c for c in chars if c.isalpha()]
+        asked = [f" {form}{stop}" for c in order for form in (c, f"e{c}", f"{c}e") for stop in ["", *STOPS]]
+        found = self._ids(asked)
+        width = 3 * (len(STOPS) + 1)
+        for at, c in enumerate(order):
+            own = found[at * width : (at + 1) * width]
+            bare = own[:: len(STOPS) + 1]
+            whole = [x for b in bare for x in (b, *(b + self.stops[s] for s in STOPS))]
+            if own == whole and all(self._words_in(b) == 1 for b in bare):
+                self.plain.add(c)
+
+    def _words_in(self, data: bytes) -> int:
+        ids = np.frombuffer(data, dtype=self.dtype)
+        return int((self.ends if self.ends.any() else self.starts)[ids].sum())
+
+    def _is_plain(self, w: str) -> bool:
+        return w.isalpha() and (w.isascii() or self.plain.issuperset(w))
 
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = self.code
@@ -73,10 +98,11 @@ class Encoder:
 
     def _learn(self, new: set[str]) -> None:
         known, words, others, ended, folded = self.known, set(), [], [], []
+        self._meet(set("".join(w for w in new if not w.isascii())) - self.met)
         for w in new:
-            if w.isalpha():
+            if self._is_plain(w):
                 words.add(w)
-            elif w[-1:] in self.stops and w[:-1].isalpha():
+            elif w[-1:] in self.stops and self._is_plain(w[:-1]):
                 ended.append(w)
                 words.add(w[:-1])
             elif _fit(w):

@@ -2,11 +2,12 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import public_tokenizers
 from tokenizers import Tokenizer
 
 from seqloom.llm import packing
 
-FILE = "/opt/tokenizers/word_bpe_49k.json"
+FILE = public_tokenizers.path("word_bpe_49k.json")
 
 
 def whole(docs):
