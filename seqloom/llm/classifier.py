@@ -18,16 +18,17 @@ from pyspark.sql import functions as F
 
 from seqloom.llm.common import remainder, sliced, text_of
 
-#: Labelled texts that are learned from, at most, and bytes of each that count there; the model's
-#: broadcast size follows from LABELLED, TERMS and DIMENSIONS alone.
+#: Labelled texts that are learned from, at most.  What reaches the driver and what is broadcast are
+#: LABELLED rows of TERMS or DIMENSIONS numbers, however long the texts are.
 LABELLED = 3000
 TERMS = 2048
 DIMENSIONS = 48
 NEIGHBOURS = 15
 STEPS = 16  # repeat terms
+CHUNK = 1 << 20  # symbols that are counted at a time
 _FOLD = np.uint32(0x9E3779B1)
 #: Bytes as shapes: small letters and what is beyond ASCII 1, capitals 2, digits 3, all others themselves.
-_SHAPE = np.array([2 if 65 <= b <= 90 else 1 if 97 <= b <= 122 or b > 127 else 3 if 48 <= b <= 57 else b if b > 3 else 4 for b in range(256)], dtype=np.uint32)
+_SHAPE = np.array([2 if 65 <= b <= 90 else 1 if 97 <= b <= 122 or b > 127 else 3 if 48 <= b <= 57 else b if b > 3 else 4 for b in range(256)], dtype=np.uint8)
 
 
 def _repeats(data: bytes) -> list[int]:
@@ -35,29 +36,52 @@ def _repeats(data: bytes) -> list[int]:
     words = data.split()
     if not words:
         return [3 * STEPS]
-    runs = list(zip(words, words[1:], words[2:], strict=False))
+    runs = len(set(zip(words, words[1:], words[2:], strict=False)))
     lines = [x for x in data.split(b"\n") if x.strip()]
-    share = lambda xs: min(STEPS - 1, STEPS * (len(xs) - len(set(xs))) // max(1, len(xs)))
-    return [share(words), STEPS + share(runs), 2 * STEPS + share(lines)]
+    share = lambda n, distinct: min(STEPS - 1, STEPS * (n - distinct) // max(1, n))
+    return [share(len(words), len(set(words))), STEPS + share(max(0, len(words) - 2), runs), 2 * STEPS + share(len(lines), len(set(lines)))]
+
+
+def _tally(symbols: np.ndarray, row: np.ndarray, live: np.ndarray, rows: int, half: int) -> np.ndarray:
+    """Counts, by row, of the terms of three symbols that begin at ``live`` ones."""
+    wide = symbols.astype(np.uint32)
+    h = (wide[:-2] | (wide[1:-1] << np.uint32(8)) | (wide[2:] << np.uint32(16)) | np.uint32(half << 24)) * _FOLD
+    h ^= h >> np.uint32(15)
+    h *= np.uint32(0x85EBCA6B)
+    at = (h >> np.uint32(16)).astype(np.int64) % (TERMS // 2) + half * (TERMS // 2) + row[:-2].astype(np.int64) * TERMS
+    return np.bincount(at[live[:-2]], minlength=rows * TERMS).reshape(rows, TERMS)
+
+
+def _grouped(texts: list[bytes]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about CHUNK bytes, or of one text."""
+    lo = size = 0
+    for hi, t in enumerate(texts):
+        if hi > lo and size + len(t) > CHUNK:
+            yield lo, hi
+            lo, size = hi, 0
+        size += len(t)
+    if texts:
+        yield lo, len(texts)
 
 
 def counts(texts: list[bytes]) -> np.ndarray:
-    """Damped term counts, one row for each text, of unit length before rarity weights."""
-    width = TERMS + 3 * STEPS + 1
-    out = np.zeros((len(texts), width), dtype=np.float32)
-    data = b"".join(t + b"\0\0" for t in texts)
-    sizes = np.array([len(t) + 2 for t in texts], dtype=np.int64)
-    row = np.repeat(np.arange(len(texts), dtype=np.int64), sizes)
-    raw = np.frombuffer(data, dtype=np.uint8).astype(np.uint32)
-    shape = _SHAPE[raw]
-    keep = np.concatenate(([True], (shape[1:] != shape[:-1]) | (shape[1:] > 2)))
-    for symbols, at, half in ((raw, row, 0), (shape[keep], row[keep], 1)):
-        if len(symbols) > 2:
-            h = (symbols[:-2] | (symbols[1:-1] << np.uint32(8)) | (symbols[2:] << np.uint32(16)) | np.uint32(half << 24)) * _FOLD
-            h ^= h >> np.uint32(15)
-            h *= np.uint32(0x85EBCA6B)
-            at = (h >> np.uint32(16)).astype(np.int64) % (TERMS // 2) + half * (TERMS // 2) + at[:-2] * TERMS
-            out[:, :TERMS] += np.bincount(at, minlength=len(texts) * TERMS).reshape(len(texts), TERMS)
+    """Damped term counts, one row for each text, of unit length before rarity weights.
+
+    A row depends on its own whole text alone.  A long text takes about ten times its size, and its
+    words as objects while their repeats are counted.
+    """
+    out = np.zeros((len(texts), TERMS + 3 * STEPS + 1), dtype=np.float32)
+    for lo, hi in _grouped(texts):
+        raw = np.frombuffer(b"".join(t + b"\0\0" for t in texts[lo:hi]), dtype=np.uint8)
+        sizes = np.array([len(t) + 2 for t in texts[lo:hi]], dtype=np.int64)
+        ends = np.cumsum(sizes)
+        row, live = np.repeat(np.arange(hi - lo, dtype=np.int32), sizes), np.ones(len(raw), dtype=bool)
+        live[ends - 1] = live[ends - 2] = False
+        shape = _SHAPE[raw]
+        keep = np.concatenate(([True], (shape[1:] != shape[:-1]) | (shape[1:] > 2)))
+        for half, parts in enumerate(((raw, row, live), (shape[keep], row[keep], live[keep]))):
+            for at in range(0, len(parts[0]) - 2, CHUNK):
+                out[lo:hi, :TERMS] += _tally(*(x[at : at + CHUNK + 2] for x in parts), hi - lo, half)
     out = np.log1p(out)
     norm = np.sqrt((out**2).sum(axis=1, keepdims=True))
     out /= np.maximum(norm, 1e-9)
@@ -69,13 +93,12 @@ def counts(texts: list[bytes]) -> np.ndarray:
 class Model:
     """Rarity weights, the projection, and the labelled vectors (unit length) with their labels."""
 
-    def __init__(self, texts: list[bytes], labels: list[int]) -> None:
-        self.empty = not texts
+    def __init__(self, terms: np.ndarray, labels: list[int]) -> None:
+        self.empty = not len(terms)
         if self.empty:
             return
-        terms = np.vstack([counts(texts[i : i + 256]) for i in range(0, len(texts), 256)])
-        self.rarity = np.log((1 + len(texts)) / (1 + (terms > 0).sum(axis=0))).astype(np.float32) + 1
-        terms *= self.rarity
+        self.rarity = np.log((1 + len(terms)) / (1 + (terms > 0).sum(axis=0))).astype(np.float32) + 1
+        terms = terms * self.rarity
         self.mean = terms.mean(axis=0)
         terms -= self.mean
         values, vectors = np.linalg.eigh((terms.T @ terms).astype(np.float64))
@@ -106,21 +129,31 @@ def learn(docs: DataFrame, labels: DataFrame, held_out: int = 0, modulus: int =
     """A model from up to ``most`` labelled rows, those whose ids have the least hashes.
 
     Rows whose crc32(doc_id as text) mod ``modulus`` is ``held_out`` are not used, nor are null
-    ids, texts or labels; of a repeated id the smallest label counts.  Of a very long text,
-    64 KiB around its middle stand for it here; scores see whole texts.
+    ids, texts or labels; of a repeated id the smallest label and the smallest text count.  Whole texts
+    are counted where they lie, and only the counts go to the driver.
     """
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label_col).cast("int").alias("label")).where("doc_id is not null and label is not null")
     known = known.where(remainder(F.col("doc_id"), modulus) != held_out).groupBy("doc_id").agg(F.min("label").alias("label"))
     known = known.orderBy(F.xxhash64("doc_id", F.lit("label")), "doc_id").limit(most)  # a top-k: each task sends its own ``most`` rows
-    text = F.col("text").cast("string")
-    middle = F.when(F.length(text) > 1 << 16, F.substr(text, F.floor(F.length(text) / 2).cast("int") - (1 << 15), F.lit(1 << 16))).otherwise(text)
-    rows = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), middle.alias("text")).join(F.broadcast(known), "doc_id")
-    found = sorted(((r.doc_id, r.text, r.label) for r in rows.collect()))
-    return Model([text_of(t) for _, t, _ in found], [1 if x == 1 else 0 for _, _, x in found])
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).where("text is not null")
+    rows = texts.join(F.broadcast(known), "doc_id").groupBy("doc_id").agg(F.first("label").alias("label"), F.min("text").alias("text"))
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in sliced(batches, 2):
+            held = [x.tobytes() for x in counts([text_of(t) for t in batch.column(2).to_pylist()])]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(held, pa.binary())], ["doc_id", "label", "terms"])
+
+    found = sorted((r.doc_id, r.label, bytes(r.terms)) for r in rows.mapInArrow(kernel, "doc_id long, label int, terms binary").collect())
+    terms = np.frombuffer(b"".join(t for _, _, t in found), dtype=np.float32).reshape(len(found), -1) if found else np.zeros((0, 0), np.float32)
+    return Model(terms, [1 if x == 1 else 0 for _, x, _ in found])
 
 
 def classify(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
-    """(doc_id, score, predicted) for each row; null texts are scored as empty ones."""
+    """(doc_id, score, predicted) for each row; null texts are scored as empty ones.
+
+    Equal texts get equal scores.  Where several labelled vectors are equally near at the end of the
+    vote, which of them count is left to numpy's partition, the same on every run.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -46,6 +46,24 @@ def test_held_out_labels_are_not_seen(tables):
     assert (a.labels == b.labels).all() and np.allclose(a.points, b.points)
 
 
+def test_long_texts_count_whole(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    texts = [bytes(rng.choice(list(b"abcZ9 .\n\xc3\xa9"), n)) for n in (0, 1, 2, 50, 3000, 700, 5)]
+    want = classifier.counts(texts)
+    for chunk in (1, 7, 640):
+        monkeypatch.setattr(classifier, "CHUNK", chunk)
+        assert np.allclose(classifier.counts(texts), want)
+    monkeypatch.undo()
+    assert all(np.allclose(classifier.counts([t])[0], w) for t, w in zip(texts, want, strict=True))
+    # The marks of a label stand at the ends of texts of 200,000 characters; ids repeat.
+    long = "plain words " * 17000
+    rows = [(i, long + ("good " * 3000 if i % 2 else "#$% " * 3000)) for i in range(40)] + [(3, None), (3, "~")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)] + [(3, 1), (5, None)], "doc_id long, quality int")
+    got = {r.doc_id: r.score for r in classifier.classify(docs, classifier.learn(docs, labels)).collect() if r.doc_id != 3}
+    assert all((s > 0.5) == (i % 2 == 1) for i, s in got.items())
+
+
 def test_odd_and_empty(odd, empty, tables):
     model = classifier.learn(*tables)
     rows = classifier.classify(odd, model).collect()
