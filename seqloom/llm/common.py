@@ -29,14 +29,25 @@ def remainder(doc_id: Column, modulus: int) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % modulus
 
 
+def packed(docs: DataFrame, without: tuple[str, ...] = ()) -> Column:
+    """All columns of ``docs`` as one, so that no name of theirs meets a name of the operator; ``row.*`` takes them out."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns if c not in without])
+
+
+def if_small(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` with a hint to broadcast it if it has at most ``most`` rows; a larger one is joined by its keys."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
 def numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``docs`` with a unique ``__uid`` that follows the id; nulls come last, rows of one id in an order that their texts decide."""
-    ids = docs.agg(F.count("*").alias("n"), F.countDistinct(F.col(id_col).cast("long")).alias("u")).first()
+    """(row, uid, text): ``uid`` is unique and follows the id; nulls come last, rows of one id in an order that their texts decide."""
+    doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    ids = docs.agg(F.count("*").alias("n"), F.countDistinct(doc_id).alias("u")).first()
     if ids.n == ids.u:
-        return docs.withColumn("__uid", F.col(id_col).cast("long"))
-    order = [F.col(id_col).cast("long").asc_nulls_last(), F.xxhash64(text_col)]  # the hash parts the rows of one id
-    ranged = docs.repartitionByRange(max(1, docs.rdd.getNumPartitions()), *order).sortWithinPartitions(*order, text_col)
-    return table(ranged.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
+        return docs.select(packed(docs).alias("row"), doc_id.alias("uid"), text.alias("text"))
+    order = [doc_id.asc_nulls_last(), F.xxhash64(text)]  # the hash parts the rows of one id
+    ranged = docs.repartitionByRange(max(1, docs.rdd.getNumPartitions()), *order).sortWithinPartitions(*order, text)
+    return table(ranged.select(packed(docs).alias("row"), F.monotonically_increasing_id().alias("uid"), text.alias("text")), "numbered")
 
 
 def text_of(value: str | None) -> bytes:

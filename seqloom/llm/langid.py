@@ -14,8 +14,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import remainder, sliced
+from seqloom.llm.common import if_small, remainder, sliced
 from seqloom.llm.tokens import forget
+from seqloom.plans.recovery import cut
 
 TOP = 400
 #: Training texts for each language, about: they are chosen by the hash of their ids.
@@ -87,13 +88,14 @@ def learn(docs: DataFrame, held_out: int = 2, modulus: int = 4, top: int = TOP,
 
     Rows whose crc32(id as text) mod ``modulus`` is ``held_out``, and null texts or languages,
     are not used.  The profiles, ``top`` n-grams for each language, are all that
-    reaches the driver.
+    reaches the driver.  N-grams of one count stand by their codes.  An empty table, or texts without
+    letters, give no profiles, and then every text is ``und``.
     """
     doc_id = F.col(id_col)
     rows = docs.where(remainder(doc_id, modulus) != held_out).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(doc_id, F.lit("language")), F.lit(1 << 30)).alias("draw"))
     sizes = rows.groupBy("lang").count().withColumn("below", F.ceil(F.lit(float(1 << 30)) * F.least(F.lit(1.0), F.lit(float(train)) / F.col("count"))))
-    chosen = rows.join(F.broadcast(sizes), "lang").where("draw < below")
+    chosen = rows.join(if_small(cut(sizes)), "lang").where("draw < below")
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 1, 4 << 20):
@@ -126,7 +128,10 @@ def identify(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_c
 
 
 def accepted(docs: DataFrame, profiles: Profiles, id_col: str = "doc_id", text_col: str = "text", least: float = 0.0) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text has a language by a score of ``least`` or more."""
+    """The rows of ``docs``, all columns, whose text has a language by a score of ``least`` or more.
+
+    Null and empty texts and texts without letters go; repeated rows and null ids stay as they are.
+    """
     names = [f.name for f in docs.schema.fields]
     at = [i for i, n in enumerate(names) if n == text_col][0]
 

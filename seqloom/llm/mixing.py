@@ -5,20 +5,23 @@ sum of r ln r - r, under 0 <= r <= cap and sum of r * size = target.  The dual i
 convex in one multiplier a source and gives r = min(cap, exp(a * size / mean size)).  Newton
 steps, kept inside a shrinking bracket, solve all sources at once; every step is one
 aggregation over (source, size) classes.  Rates become copies by a hashed rounding whose offset
-is searched per source, and a few documents then take up what is left.
+is searched per source, and a few documents then take up what is left.  What decides a document's
+copies is its id, source and size and a few numbers a source, so texts never move.
 """
 
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import WORD
+from seqloom.llm.common import WORD, packed
 from seqloom.plans.recovery import cut
 
 CAP = 3
+MANY = 100_000  # rows that are broadcast, at most
 
 
 def targets(sizes: dict, cycle: tuple[int, ...] = (1, 2, 3), cap: float = CAP) -> dict:
@@ -42,10 +45,15 @@ def targets(sizes: dict, cycle: tuple[int, ...] = (1, 2, 3), cap: float = CAP) -
     return out
 
 
+def _hinted(table: DataFrame, values) -> DataFrame:
+    """``table``, which holds a row for each of ``values``, to be broadcast unless they are many."""
+    return F.broadcast(table) if len(values) <= MANY else table
+
+
 def _per_source(rows: DataFrame, params: dict, names: list[str]) -> DataFrame:
-    """``rows`` with each source's parameters; one row a source is broadcast."""
+    """``rows`` with each source's parameters, one row a source."""
     table = rows.sparkSession.createDataFrame([(s, *map(float, v)) for s, v in params.items()], "s string, " + ", ".join(f"{n} double" for n in names))
-    return rows.join(F.broadcast(table), rows["source"].eqNullSafe(table["s"])).drop("s")
+    return rows.join(_hinted(table, params), rows["source"].eqNullSafe(table["s"])).drop("s")
 
 
 def _rate(tilt: Column, size: Column, cap: float) -> Column:
@@ -114,22 +122,61 @@ def _settle(found: list[tuple], lack: float, cap: int, most: int = 8) -> dict:
     return more
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", cycle: tuple[int, ...] = (1, 2, 3), cap: int = CAP, fine: int = 32, rounds: int = 4, repairs: int = 48) -> DataFrame:
-    """(doc_id, source, size, source_size, target, copies, taken), one row for each row of ``docs``.
+@dataclass(frozen=True)
+class Plan:
+    """What the mix needs to know of each source, and the few documents whose copies are changed after rounding."""
 
-    A null text has size 0 and a null source is a source of its own.  Rows of equal
-    id, source and size get equal copies.  Texts without words are taken once.  The result
-    depends on nothing but the rows.  The number of sources bounds what the driver holds.
+    params: dict  # source: (tilt, offset, size of the source, target)
+    changed: list[tuple]  # (doc_id, source, size, more)
+    cap: int
+
+
+def _size(text_col: str) -> Column:
+    return F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def _draw() -> Column:
+    return F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 40)) / float(1 << 40)
+
+
+def _few(fixed: DataFrame, lacking: dict, repairs: int) -> dict:
+    """By source, some ``repairs`` documents whose weight is nearest to what lacks, and as many others.
+
+    Counts by source and power of two of the distance say which hashes are low enough to come to the driver.
     """
-    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    rows = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), size.alias("size")))
+    near = _per_source(fixed, {s: (v,) for s, v in lacking.items()}, ["lack"])
+    near = near.withColumn("far", F.floor(F.log2(F.abs(F.col("weight") - F.abs("lack")) + 1)).cast("int"))
+    near = near.withColumn("lot", F.pmod(F.xxhash64("doc_id", "size", F.lit("few")), F.lit(1 << 30)) / float(1 << 30))
+    below, seen, total = [], {}, {}
+    counts = sorted(near.groupBy("source", "far").count().collect(), key=lambda r: (str(r.source), r.far))
+    for r in counts:
+        total[r.source] = total.get(r.source, 0) + r["count"]
+    for r in counts:
+        own = 4 * repairs / r["count"] if seen.get(r.source, 0) < repairs else 0.0
+        below.append((r.source, r.far, max(own, 2 * repairs / total[r.source])))
+        seen[r.source] = seen.get(r.source, 0) + r["count"]
+    limits = near.sparkSession.createDataFrame(below, "s string, f int, below double") if below else None
+    by: dict = {}
+    if limits is not None:
+        chosen = near.join(_hinted(limits, below), near["source"].eqNullSafe(limits["s"]) & (near["far"] == limits["f"])).where("lot < below")
+        for r in chosen.select("doc_id", "source", "size", "weight", "copies", "far", "lot").collect():
+            by.setdefault(r.source, []).append(r)
+    out = {}
+    for s, rows in by.items():
+        close = sorted(rows, key=lambda r: (abs(r.weight - abs(lacking[s])), str(r.doc_id), r["size"]))[:repairs]
+        others = sorted(rows, key=lambda r: (r.lot, str(r.doc_id), r["size"]))[:repairs]
+        out[s] = [(r.doc_id, r["size"], r.weight, r.copies) for r in dict.fromkeys([*close, *others])]
+    return out
+
+
+def plan(rows: DataFrame, cycle: tuple[int, ...] = (1, 2, 3), cap: int = CAP, fine: int = 32, rounds: int = 4, repairs: int = 48) -> Plan:
+    """The mix of ``rows`` (doc_id, source, size)."""
     totals = {r.source: (r.tokens, r.docs) for r in rows.groupBy("source").agg(F.sum("size").alias("tokens"), F.count("*").alias("docs")).collect()}
     goal = targets({s: t for s, (t, _) in totals.items()}, cycle, cap)
     classes = cut(rows.groupBy("source", "size").agg(F.count("*").alias("n")))
     tilt = multipliers(classes, totals, goal, cap)
 
-    draw = F.pmod(F.xxhash64("doc_id", F.lit("copies")), F.lit(1 << 40)) / float(1 << 40)
-    rate = _rate(F.col("tilt"), F.col("size"), cap)
+    draw, rate = _draw(), _rate(F.col("tilt"), F.col("size"), cap)
     units = cut(rows.groupBy("doc_id", "source", "size").agg(F.count("*").alias("n")))
     offset, low, width = dict.fromkeys(tilt, 0.0), dict.fromkeys(tilt, -1.0), 2.0
     got: dict = {}
@@ -149,37 +196,49 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
 
     fixed = _per_source(units, {s: (tilt[s], offset[s]) for s in tilt}, ["tilt", "offset"])
     fixed = fixed.withColumns({"copies": copies(rate, draw, F.col("offset"), cap), "weight": F.col("n") * F.col("size")}).where("weight > 0")
-    lacking = {s: (goal[s] - got.get(s, 0),) for s in goal}
-    # The documents whose size is nearest to what lacks, and a few others for pairs of moves.
-    near = _per_source(fixed, lacking, ["lack"])
-    rank = F.row_number().over(Window.partitionBy("source").orderBy(F.abs(F.col("weight") - F.abs("lack")), "doc_id", "size"))
-    other = F.row_number().over(Window.partitionBy("source").orderBy(F.xxhash64("doc_id", "size"), "doc_id", "size"))
-    shown = ["doc_id", "source", "size", "weight", "copies"]
-    moves = near.withColumn("r", rank).where(F.col("r") <= repairs).select(*shown).union(near.withColumn("r", other).where(F.col("r") <= repairs).select(*shown)).distinct()
-    by: dict = {}
-    for r in moves.collect():
-        by.setdefault(r.source, []).append((r.doc_id, r["size"], r.weight, r.copies))
-    changed = [(d, s, z, more) for s, found in by.items() for (d, z), more in _settle(found, lacking[s][0], cap).items() if more]
-
-    params = {s: (tilt[s], offset[s], totals[s][0], goal[s]) for s in tilt}
-    done = _per_source(rows, params, ["tilt", "offset", "source_size", "target"]).withColumn("copies", copies(rate, draw, F.col("offset"), cap))
-    if changed:
-        # Twice ``repairs`` rows a source at most.
-        fix = F.broadcast(rows.sparkSession.createDataFrame(changed, "doc_id long, source string, size long, more long").alias("b"))
+    lacking = {s: float(goal[s] - got.get(s, 0)) for s in goal}
+    # Twice ``repairs`` documents a source at most.
+    changed = [(d, s, z, more) for s, found in _few(fixed, lacking, repairs).items() for (d, z), more in _settle(found, lacking[s], cap).items() if more]
+    return Plan({s: (tilt[s], offset[s], totals[s][0], goal[s]) for s in tilt}, changed, cap)
+
+
+def counted(rows: DataFrame, made: Plan) -> DataFrame:
+    """``rows``, which hold doc_id, source and size, with source_size, target and copies; nothing is shuffled."""
+    done = _per_source(rows, made.params, ["tilt", "offset", "source_size", "target"])
+    done = done.withColumn("copies", copies(_rate(F.col("tilt"), F.col("size"), made.cap), _draw(), F.col("offset"), made.cap))
+    if made.changed:
+        fix = _hinted(rows.sparkSession.createDataFrame(made.changed, "doc_id long, source string, size long, more long"), made.changed).alias("b")
         same = F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")) & F.col("a.source").eqNullSafe(F.col("b.source")) & (F.col("a.size") == F.col("b.size"))
-        done = done.alias("a").join(fix, same, "left").select("a.*", "b.more").withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0)))
-    done = done.withColumn("copies", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("long"))
+        done = done.alias("a").join(fix, same, "left").select("a.*", "b.more").withColumn("copies", F.col("copies") + F.coalesce("more", F.lit(0))).drop("more")
+    return done.withColumn("copies", F.when(F.col("size") == 0, 1).otherwise(F.col("copies")).cast("long")).drop("tilt", "offset")
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str) -> list[Column]:
+    return [F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), _size(text_col).alias("size")]
+
+
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """(doc_id, source, size, source_size, target, copies, taken), one row for each row of ``docs``.
+
+    A null text has size 0 and a null source is a source of its own.  Rows of equal
+    id, source and size, null ids too, get equal copies.  Texts without words are taken once.  The result
+    depends on nothing but the rows; an empty table gives an empty result.  The number of sources bounds
+    what the driver holds.  ``how`` goes to ``plan``.
+    """
+    rows = cut(docs.select(*_sized(docs, id_col, text_col, source_col)))
+    done = counted(rows, plan(rows, **how))
     return done.select("doc_id", "source", "size", F.col("source_size").cast("long").alias("source_size"), "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """The rows of ``docs``, each repeated as often as the mix takes it; all columns stay."""
-    found = mix(docs, id_col, text_col, source_col)
-    times = found.groupBy("doc_id", "source", "size").agg(F.first("copies").alias("__copies")).select(F.col("doc_id").alias("__id"), F.col("source").alias("__source"), F.col("size").alias("__size"), "__copies")
-    size = F.coalesce(F.regexp_count(F.col(text_col).cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
-    same = docs[id_col].cast("long").eqNullSafe(F.col("__id")) & docs[source_col].cast("string").eqNullSafe(F.col("__source")) & (size == F.col("__size"))
-    rows = docs.join(times, same).where("__copies > 0")
-    return rows.withColumn("__copies", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__copies")))).drop("__id", "__source", "__size", "__copies")
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **how) -> DataFrame:
+    """The rows of ``docs``, each repeated as often as ``mix`` takes it, with all their columns under their own names.
+
+    Each row's copies are computed where it lies.  Nulls, ties, repeated rows and empty tables are
+    as in ``mix``.
+    """
+    made = plan(cut(docs.select(*_sized(docs, id_col, text_col, source_col))), **how)
+    rows = counted(docs.select(packed(docs).alias("row"), *_sized(docs, id_col, text_col, source_col)), made).where("copies > 0")
+    return rows.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -151,7 +151,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     nodes = fps.where("doc_id is not null").groupBy("fp").agg(F.min("doc_id").alias("node"))
     found = connected_components(links(nodes, most, bucket))
     named = nodes.join(found, "node", "left").select("fp", F.coalesce("component", "node").alias("component_id"))
-    return fps.join(named, "fp", "left").select("doc_id", "fp", "component_id")
+    # Fingerprints that hold over a thousandth of the rows each, so under a thousand of them, are not dealt by their value.
+    counted = fps.groupBy("fp").agg(F.count("*").alias("n"))
+    hot = cut(counted.where(1000 * F.col("n") > fps.count()).select("fp"))
+    out = fps.join(F.broadcast(hot), "fp", "left_anti").join(named, "fp", "left")
+    out = out.unionByName(fps.join(F.broadcast(cut(hot.join(named, "fp", "left"))), "fp"))
+    return out.select("doc_id", "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, most: int = 4) -> DataFrame:
@@ -160,9 +165,8 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Rows with null or repeated ids are documents of their own, in the order of ``numbered``.
     """
     rows = numbered(docs, id_col, text_col)
-    classes = near_duplicates(rows, "__uid", text_col, words, most)
-    keep = cut(classes.where("doc_id = component_id").select(F.col("doc_id").alias("__keep")))
-    return rows.join(keep, F.col("__uid") == F.col("__keep"), "left_semi").select(*docs.columns)
+    classes = near_duplicates(rows, "uid", "text", words, most)
+    return rows.join(cut(classes.where("doc_id = component_id").select(F.col("doc_id").alias("uid"))), "uid", "left_semi").select("row.*")
 
 
 def query(docs: DataFrame) -> DataFrame:

@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import give_back, sliced, sorted_groups, text_of
+from seqloom.llm.common import give_back, packed, sliced, sorted_groups, text_of
 from seqloom.llm.sharding import mix
 from seqloom.llm.suffixes import repeated
 from seqloom.llm.tokens import forget
@@ -449,19 +449,18 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buc
     A text of which nothing is left stays as an empty text, and null texts stay null.  Rows
     with null or repeated ids are documents of their own, in the order that ``spans`` gives them.
     """
-    ids = docs.agg(F.count("*").alias("n"), F.countDistinct(id_col).alias("u")).first()
+    doc_id, text = F.col(id_col).cast("long"), F.col(text_col).cast("string")
+    rest = F.struct(packed(docs, (text_col,)).alias("row"), text.isNull().alias("null")) if len(docs.columns) > 1 else F.struct(text.isNull().alias("null"))
+    ids = docs.agg(F.count("*").alias("n"), F.countDistinct(doc_id).alias("u")).first()
     if ids.n == ids.u:
-        numbered = docs.withColumn("__uid", F.col(id_col).cast("long"))
+        rows = docs.select(rest.alias("rest"), doc_id.alias("uid"), text.alias("text"))
     else:
-        ranged = docs.repartitionByRange(max(1, docs.rdd.getNumPartitions()), id_col).sortWithinPartitions(id_col, text_col)
-        numbered = table(ranged.withColumn("__uid", F.monotonically_increasing_id()), "numbered")
-    rows = numbered.select(F.col("__uid").alias("uid"), F.col("__uid").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    kept = _solve(rows, _text, TEXTS, "uid long, kept_text string, n_spans long", buckets or _buckets(docs))
-    kept = kept.select(F.col("uid").alias("__kept"), F.col("kept_text").alias("__text"))
-    rest = numbered.withColumn("__null", F.col(text_col).isNull()).drop(text_col)
-    out = rest.join(kept, F.col("__uid") == F.col("__kept"))
-    text = F.when(~F.col("__null"), F.col("__text")).alias(text_col)
-    return out.select(*[text if c == text_col else F.col(c) for c in docs.columns])
+        ranged = docs.repartitionByRange(max(1, docs.rdd.getNumPartitions()), doc_id, F.xxhash64(text)).sortWithinPartitions(doc_id, text)
+        rows = table(ranged.select(rest.alias("rest"), F.monotonically_increasing_id().alias("uid"), text.alias("text")), "numbered")
+    kept = _solve(rows.select("uid", F.col("uid").alias("doc_id"), "text"), _text, TEXTS, "uid long, kept_text string, n_spans long", buckets or _buckets(docs))
+    out = rows.select("uid", "rest").join(kept, "uid")
+    new = F.when(~F.col("rest.null"), F.col("kept_text")).alias(text_col)
+    return out.select(*[new if c == text_col else F.col("rest.row").getField(c).alias(c) for c in docs.columns])
 
 
 def query(docs: DataFrame) -> DataFrame:

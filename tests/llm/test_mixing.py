@@ -1,6 +1,9 @@
+import math
+import random
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from seqloom.llm import mixing
 
@@ -54,6 +57,31 @@ def test_repeated_rows_come_out(odd):
     assert out.columns == odd.columns and Counter(r.doc_id for r in out.collect()) == want
 
 
+def test_rates_are_the_convex_optimum(spark):
+    rng = random.Random(8)
+    sizes = {s: [rng.choice([1, 5, 40, 300, 2500]) * rng.randrange(1, 9) for _ in range(n)] for s, n in (("a", 400), ("b", 50), (None, 900))}
+    rows = spark.createDataFrame([(s, z) for s, own in sizes.items() for z in own], "source string, size long")
+    totals = {s: (sum(own), len(own)) for s, own in sizes.items()}
+    goal = {"a": 2.4 * sum(sizes["a"]), "b": 0.3 * sum(sizes["b"]), None: 1.1 * sum(sizes[None])}
+    tilt = mixing.multipliers(rows.groupBy("source", "size").agg(F.count("*").alias("n")), totals, goal)
+    for s, own in sizes.items():
+        rate = lambda a: [min(3.0, math.exp(min(a * z, 60))) for z in own]  # noqa: E731, B023
+        assert sum(r * z for r, z in zip(rate(tilt[s]), own, strict=True)) == pytest.approx(goal[s], rel=1e-5)
+        # No exchange of tokens between two documents lowers the relative entropy: at the optimum ln r / size is one number below the cap.
+        inner = [math.log(r) / z for r, z in zip(rate(tilt[s]), own, strict=True) if r < 3]
+        assert max(inner) == pytest.approx(min(inner), rel=1e-6)
+
+
+def test_clashing_names(small):
+    names = ["tilt", "offset", "copies", "more", "source_size", "target", "size", "row", "col", "s", "n", "draw", "rate"]
+    other = small.withColumns({n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    out = mixing.mixed(other)
+    assert out.columns == other.columns
+    assert all(r[n] == f"{n}{r.doc_id}" for r in out.collect() for n in names)
+    assert Counter(r.doc_id for r in out.collect()) == Counter(r.doc_id for r in mixing.mixed(small).collect())
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString().replace("BroadcastExchange", "")
+
+
 def test_empty(empty):
     assert mixing.query(empty).collect() == []
     assert mixing.mixed(empty).collect() == []

@@ -62,7 +62,9 @@ def test_one_of_each(both):
     kept = simhash.one_of_each(both)
     assert kept.columns == both.columns
     classes = simhash.near_duplicates(both).where("doc_id is not null")
-    assert sorted(r.doc_id for r in kept.collect()) == sorted({r.component_id for r in classes.collect()})
+    rows = kept.collect()
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted({r.component_id for r in classes.collect()})
+    assert [r.text for r in rows if r.doc_id is None] == ["a b c d e f"]
 
 
 def test_empty(empty):

@@ -4,6 +4,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from seqloom.llm import spans, suffixes
 
@@ -87,6 +88,15 @@ def test_texts_that_remain(small):
     assert got.count() == small.count()
 
 
+def test_clashing_names(odd):
+    names = ["uid", "rest", "row", "null", "kept_text", "n_spans", "__uid", "__null", "__kept", "__text", "data", "bucket"]
+    other = odd.withColumns({n: F.lit(n) for n in names})
+    out = spans.removed(other)
+    assert out.columns == other.columns and all(r[n] == n for r in out.collect() for n in names)
+    assert Counter(str(r) for r in out.select(*odd.columns).collect()) == Counter(str(r) for r in spans.removed(odd).collect())
+    assert Counter(r.text for r in spans.removed(odd.select("doc_id", "text")).collect()) == Counter(r.text for r in spans.removed(odd).collect())
+
+
 def test_empty(empty):
     assert spans.query(empty).collect() == []
     assert spans.removed(empty).collect() == []
