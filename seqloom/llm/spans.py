@@ -6,8 +6,10 @@ which depends on the string alone.  Consecutive strings with one anchor form a c
 
 1. Map: contexts of each document become records (anchor, hash of the context, place).  Of equal
    contexts in a batch only the first is sent; the others are repeated whatever stands elsewhere.
-2. Records meet by anchor.  Of equal contexts only the first goes on, and only if its
-   anchor has another context too: nearly all text is decided here.
+   A context that comes twice in a batch is remembered for the rest of the task, so what all documents
+   hold makes a record a task, not one a batch.
+2. Records meet by anchor.  Equal contexts (64 bits of hash for the anchor and 64 for the whole) are
+   aggregated to the first of them, which goes on only if its anchor has another context too.
 3. The bytes of what is left are fetched from their documents and meet by anchor in shards, each
    ordered by induced sorting; permuted common prefixes of ``WIDTH`` bytes or more show the
    repeats.  An anchor with over ``HOT`` contexts is cut into parts by how far a string reaches to
@@ -23,6 +25,8 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import chain, groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -129,11 +133,40 @@ def _uids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column(0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+class Frequent:
+    """Contexts that a task has met twice, with the first place of each: a task sends them once, not once a batch.
+
+    Beyond ``most`` contexts, new ones are sent with every batch; results do not change.
+    """
+
+    def __init__(self, most: int = 1 << 16) -> None:
+        self.most, self.places, self.held = most, {}, np.zeros(0, np.uint64)
+
+    def meet(self, anchor: np.ndarray, held: np.ndarray, uid: np.ndarray, start: np.ndarray, among: np.ndarray) -> np.ndarray:
+        """Which contexts have an earlier place here; an earlier one of theirs replaces that."""
+        out = np.zeros(len(held), dtype=bool)
+        for i in np.flatnonzero(among & np.isin(held, self.held)).tolist():
+            key, place = (int(anchor[i]), int(held[i])), (int(uid[i]), int(start[i]))
+            old = self.places.get(key)
+            if old is not None and old < place:
+                out[i] = True
+            elif old is not None:
+                self.places[key] = place
+        return out
+
+    def add(self, anchor: np.ndarray, held: np.ndarray, uid: np.ndarray, start: np.ndarray) -> None:
+        for key, place in zip(zip(anchor.tolist(), held.tolist(), strict=True), zip(uid.tolist(), start.tolist(), strict=True), strict=True):
+            if len(self.places) < self.most:
+                self.places.setdefault(key, place)
+        self.held = np.array([k[1] for k in self.places], dtype=np.uint64)
+
+
 def _scan(buckets: int):
-    """Step 1: (uid, text) to records by anchor, and ranges that repeat in their batch."""
+    """Step 1: (uid, text) to records by anchor, and ranges that repeat in their task."""
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         forget()
+        frequent = Frequent()
         for batch in sliced(batches, 1, PIECE):
             who, base, pieces = _cut(_uids(batch), [text_of(t) for t in batch.column(1).to_pylist()])
             ends = np.cumsum([len(p) for p in pieces])
@@ -145,6 +178,9 @@ def _scan(buckets: int):
                 anchor, held, piece, uid, start, more = (x[order] for x in (anchor, held, piece, uid, start, more))
                 again = np.zeros(len(order), dtype=bool)
                 again[1:] = (anchor[1:] == anchor[:-1]) & (held[1:] == held[:-1])
+                twice = np.flatnonzero(~again & np.append(again[1:], False))
+                again |= frequent.meet(anchor, held, uid, start, ~again)
+                frequent.add(anchor[twice], held[twice], uid[twice], start[twice])
                 dup = _ranges(uid[again], start[again], more[again])
                 out = [(b % buckets, DUP, b, x.tobytes()) for b, x in _dealt(dup, home(dup["uid"], buckets))]
                 first = ~again
@@ -294,17 +330,15 @@ def _fetch(buckets: int):
 
 
 def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
-    """Rows of each bucket; texts come last, one at a time."""
-    held: dict = {DUP: [], ASK: [], TEXT: []}
+    """Rows of each bucket by kind; texts come last, and one blob of them at a time."""
     rows = ((b, k, d) for batch in batches for b, k, d in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(3), strict=True))
-    now = None
-    for b, k, d in rows:
-        if now is not None and b != now:
-            yield held
-            held = {DUP: [], ASK: [], TEXT: []}
-        now = b
-        held[k].append(d.as_py())
-    if now is not None:
+    for _, own in groupby(rows, key=itemgetter(0)):
+        held: dict = {DUP: [], ASK: [], TEXT: iter(())}
+        for _, kind, data in own:
+            if kind == TEXT:
+                held[TEXT] = chain((data.as_py(),), (x.as_py() for _, _, x in own))
+                break
+            held[kind].append(data.as_py())
         yield held
     held = None
     give_back()

@@ -1,4 +1,11 @@
-"""Suffix arrays of byte shards by induced sorting, with capped permuted common prefixes."""
+"""Suffix arrays of byte shards by induced sorting, with permuted common prefixes up to a width.
+
+Suffixes are classified as smaller or larger than their followers; the leftmost smaller (LMS)
+substrings are sorted by one induction, named, and the text of their names is sorted in turn, as
+deep as names repeat; the order of its suffixes induces the order of all.  Induction is
+linear in the text at every level: over a small alphabet bucket by bucket with arrays, over the large
+alphabets of names item by item with one offset a bucket.
+"""
 
 from __future__ import annotations
 
@@ -34,12 +41,8 @@ def _joined(parts: list[np.ndarray]) -> np.ndarray:
     return parts[0] if len(parts) == 1 else np.concatenate(parts) if parts else _NONE
 
 
-def induce(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) -> np.ndarray:
-    """All suffixes in order, from the leftmost S-type ones ``heads`` in order.
-
-    The larger (L-type) suffixes follow from a scan upwards and the S-type ones from a scan
-    downwards.  A bucket is handled in waves: what it induces in itself is its next wave.
-    """
+def _by_buckets(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) -> np.ndarray:
+    """``induce`` in waves: what a bucket induces in itself is its next wave."""
     large: list[list[np.ndarray]] = [[] for _ in range(size)]
     lms: list[list[np.ndarray]] = [[] for _ in range(size)]
     _deal(heads, text[heads], lms)
@@ -79,6 +82,55 @@ def induce(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) ->
     return np.concatenate(out)
 
 
+def _by_items(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) -> np.ndarray:
+    """``induce`` over one flat array with an offset for each bucket."""
+    n = len(text)
+    ends = np.cumsum(np.bincount(text, minlength=size))
+    starts = np.concatenate(([0], ends[:-1]))
+    symbols = text[heads]
+    order = np.argsort(symbols, kind="stable")
+    symbols = symbols[order]
+    place = np.full(n, n, dtype=np.int64)  # n: nothing here yet
+    place[ends[symbols] - np.searchsorted(symbols, symbols, side="right") + np.arange(len(heads))] = heads[order]
+    place[0] = n - 1
+    # By suffix, the bucket of the suffix before it, if that is of the kind that the scan looks for.
+    before = np.concatenate(([-1], text[:-1], [-1]))
+    is_small = np.concatenate(([False], small[:-1], [False]))
+    out, to, at = place.tolist(), np.where(is_small, -1, before).tolist(), starts.tolist()
+    for i in out:  # grows ahead of the scan
+        c = to[i]
+        if c >= 0:
+            k = at[c]
+            out[k] = i - 1
+            at[c] = k + 1
+    place = np.array(out, dtype=np.int64)
+    gone = np.concatenate((small, [True]))
+    place[gone[place]] = n  # the S-type suffixes are placed anew, all of them
+    place[0] = n - 1
+    place = place[::-1]
+    out, to, at = place.tolist(), np.where(is_small, before, -1).tolist(), (n - ends).tolist()
+    for i in out:
+        c = to[i]
+        if c >= 0:
+            k = at[c]
+            out[k] = i - 1
+            at[c] = k + 1
+    return np.array(out, dtype=np.int32)[::-1]
+
+
+#: Alphabets up to this size are induced bucket by bucket.
+BUCKETS = 512
+
+
+def induce(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) -> np.ndarray:
+    """All suffixes in order, from the leftmost S-type ones ``heads`` in order.
+
+    The larger (L-type) suffixes follow from a scan upwards and the S-type ones from a scan
+    downwards.
+    """
+    return (_by_buckets if size <= BUCKETS else _by_items)(text, small, heads, size)
+
+
 def _names(text: np.ndarray, heads: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     """The rank of each leftmost S-type substring, by text position; equal substrings share one."""
     ends = np.append(heads[1:], len(text) - 1)
@@ -97,40 +149,13 @@ def _names(text: np.ndarray, heads: np.ndarray, ordered: np.ndarray) -> np.ndarr
     return rank[heads]
 
 
-def _doubled(ranks: np.ndarray) -> np.ndarray:
-    """Suffixes of a text over a large alphabet: only ties are compared again, twice as deep each time."""
-    n, depth = len(ranks), 1
-    order = np.argsort(ranks, kind="stable")
-    while True:
-        sorted_ = ranks[order]
-        new = np.concatenate(([True], sorted_[1:] != sorted_[:-1]))
-        first = np.flatnonzero(new)
-        if len(first) == n:
-            return order
-        rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.repeat(first, np.diff(np.append(first, n)))
-        ranks = rank
-        size = np.diff(np.append(first, n))
-        tied = np.flatnonzero(np.repeat(size, size) > 1)
-        items = order[tied]
-        follow = np.where(items + depth < n, ranks[np.minimum(items + depth, n - 1)] + 1, 0)
-        key = np.lexsort((follow, ranks[items]))
-        order[tied] = items[key]
-        ranks = ranks.copy()
-        items, follow = items[key], follow[key]
-        split = np.concatenate(([False], (follow[1:] != follow[:-1]) | (ranks[items[1:]] != ranks[items[:-1]])))
-        place = np.where(split | (np.arange(len(items)) == 0), tied, 0)
-        ranks[items] = np.maximum.accumulate(place)
-        depth *= 2
-
-
-def suffix_array(text: np.ndarray, size: int, most: int = 2048) -> np.ndarray:
+def suffix_array(text: np.ndarray, size: int, levels: list | None = None) -> np.ndarray:
     """The suffixes of ``text`` (symbols under ``size``, the last one 0 and unique) in order.
 
-    The leftmost S-type substrings are ordered by one induction over them, named, and the text of
-    their names is ordered in turn: again by induction while its alphabet has up to ``most``
-    symbols, by doubling beyond that.
+    Length and alphabet of the text of each level are added to ``levels``.
     """
+    if levels is not None:
+        levels.append((len(text), size))
     if len(text) == 1:
         return np.zeros(1, dtype=np.int64)
     small = kinds(text)
@@ -142,26 +167,29 @@ def suffix_array(text: np.ndarray, size: int, most: int = 2048) -> np.ndarray:
     names = _names(text, heads, ordered)
     count = int(names.max()) + 1
     if count < len(heads):
-        ordered = heads[suffix_array(names, count, most) if count <= most else _doubled(names)]
-        return induce(text, small, ordered, size)
+        ordered = heads[suffix_array(names, count, levels)]
     return induce(text, small, ordered, size)
 
 
-def common(data: np.ndarray, order: np.ndarray, valid: np.ndarray, width: int) -> np.ndarray:
-    """Permuted common prefixes, capped: for each text position, whether it shares ``width`` bytes with its predecessor in ``order``.
+def common(data: np.ndarray, order: np.ndarray, room: np.ndarray, width: int) -> np.ndarray:
+    """Permuted common prefixes: for each text position, how many bytes, at most ``width``, it shares with its predecessor in ``order``.
 
-    ``data`` holds ``width`` more bytes than positions; only pairs of ``valid`` positions count.
+    ``room`` gives the bytes from each position to the end of its piece, where every prefix ends;
+    ``data`` holds ``width`` + 8 more bytes than positions.
     """
     before = np.full(len(order), -1, dtype=np.int32)
     before[order[1:]] = order[:-1]
-    at = np.flatnonzero(valid & (before >= 0))
-    at = at[valid[before[at]]]
+    out = np.zeros(len(order), dtype=np.int32)
+    at = np.flatnonzero((before >= 0) & (room > 0)).astype(np.int32)
     eight = np.ndarray((len(data) - 7,), "<u8", data.tobytes(), 0, (1,))
-    for k in [*range(0, width - 7, 8), width - 8]:
-        at = at[eight[at + k] == eight[before[at] + k]]
-    out = np.zeros(len(order), dtype=bool)
-    out[at] = True
-    return out
+    for k in range(0, width, 8):
+        x = eight[at + k] ^ eight[before[at] + k]
+        off = np.flatnonzero(x)
+        lowest = x[off] & (~x[off] + np.uint64(1))
+        out[at[off]] = k + (np.log2(lowest.astype(np.float64)) // 8).astype(np.int32)
+        at = at[x == 0]
+    out[at] = width
+    return np.minimum(out, np.minimum(np.minimum(room, room[before]), width))
 
 
 def repeated(pieces: list[bytes], width: int) -> np.ndarray:
@@ -173,13 +201,13 @@ def repeated(pieces: list[bytes], width: int) -> np.ndarray:
     ends = np.cumsum(sizes + 1) - 1
     text[ends] = 1
     text = np.append(text, np.int16(0))
-    valid = np.zeros(n + 1, dtype=bool)
-    valid[:n] = np.repeat(ends.astype(np.int32), sizes + 1) - np.arange(n, dtype=np.int32) >= width
+    room = np.zeros(n + 1, dtype=np.int32)
+    room[:n] = np.repeat(ends, sizes + 1) - np.arange(n)
     order = suffix_array(text, 258)
-    same = common(np.append(joined, np.zeros(width + 8, np.uint8)), order, valid, width)
-    group = np.cumsum(~same[order])
+    lcp = common(np.append(joined, np.zeros(width + 9, np.uint8)), order, room, width)
+    group = np.cumsum(lcp[order] < width)
     first = np.flatnonzero(np.diff(group, prepend=0))
     least = np.repeat(np.minimum.reduceat(order, first), np.diff(np.append(first, len(order))))
     out = np.zeros(n + 1, dtype=bool)
     out[order] = order != least
-    return out[:n] & valid[:n]
+    return out[:n] & (room[:n] >= width)

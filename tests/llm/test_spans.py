@@ -27,15 +27,51 @@ def plain(rows, width=100):
     return Counter(out)
 
 
-def test_suffix_arrays():
+@pytest.mark.parametrize("buckets", [0, 512])
+def test_suffix_arrays(monkeypatch, buckets):
+    monkeypatch.setattr(suffixes, "BUCKETS", buckets)
     rng = random.Random(1)
     for _ in range(200):
         k = rng.choice([1, 2, 3, 200])
         t = [rng.randrange(1, k + 1) for _ in range(rng.randrange(60))] + [0]
-        got = suffixes.suffix_array(np.array(t, dtype=np.int16), k + 1, most=rng.choice([1, 2048]))
+        got = suffixes.suffix_array(np.array(t, dtype=np.int16), k + 1)
         assert got.tolist() == sorted(range(len(t)), key=lambda i: t[i:])
 
 
+def test_common_prefixes():
+    rng = random.Random(5)
+    for _ in range(100):
+        pieces = [bytes(rng.choice(b"ab\0") for _ in range(rng.randrange(40))) for _ in range(4)]
+        joined = b"\0".join(pieces) + b"\0"
+        room = np.array([*(len(p) - i for p in pieces for i in range(len(p) + 1)), 0], dtype=np.int32)
+        order = sorted(range(len(joined) + 1), key=lambda i: joined[i:])
+        got = suffixes.common(np.frombuffer(joined + b"\0" * 30, np.uint8), np.array(order), room, 20)
+        for a, b in zip(order, order[1:], strict=False):
+            n = 0
+            while n < min(20, room[a], room[b]) and joined[a + n] == joined[b + n]:
+                n += 1
+            assert got[b] == n
+
+
+def test_a_full_shard_by_recursion():
+    """2 MiB of text: three levels and more, and neighbours in order."""
+    import pyarrow.parquet as pq
+
+    texts = [(t or "").encode() for t in pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()]
+    joined = (b"\0".join(texts) * 2)[: spans.SHARD]
+    text = np.append(np.frombuffer(joined, np.uint8).astype(np.int16) + 1, np.int16(0))
+    levels = []
+    order = suffixes.suffix_array(text, 258, levels)
+    assert len(levels) >= 3 and levels[1][1] > 2048 and levels[1][0] > 500_000
+    assert np.array_equal(np.sort(order), np.arange(len(text)))
+    rank = np.empty(len(text), dtype=np.int64)
+    rank[order] = np.arange(len(text))
+    # Each suffix is above its neighbour by its first symbol, or by the order of the two that follow.
+    a, b = order[:-1], order[1:]
+    follow = np.append(rank, -1)
+    assert ((text[a] < text[b]) | ((text[a] == text[b]) & (follow[a + 1] < follow[b + 1]))).all()
+
+
 def test_repeated():
     rng = random.Random(2)
     for _ in range(60):
