@@ -1,12 +1,17 @@
-"""Exact top-k inner products by best-first search over paged metric trees.
+"""Exact top-k inner products by best-first search over M-trees.
 
 Inner products become distances by one more coordinate: with the longest vector's norm m,
 the points (x, sqrt(m^2 - |x|^2)) stand at the squared distance |q|^2 + m^2 - 2 q.x from the
-query (q, 0).  Each page group is bulk-loaded by halves into one level of leaf pages, each with
-its routing point, its covering radius and every point's distance to the routing point; the
-nodes that were halved are not kept.  A search compares the query to every routing point, visits pages by their least possible distance, stops where no
-page can better its k-th result, and skips the points that the triangle inequality with
-the stored distances excludes.  Bounds are taken with a margin for rounding; scores are integers.
+query (q, 0).  A tree's nodes are pages of at most ``PAGE`` entries.  An entry of an inner page is a
+routing point, which is one of the points, with the covering radius of its subtree and the distance to the
+routing point of its page; an entry of a leaf is a point with that distance.  A search keeps a
+heap of pages by their least possible distance, stops where no page can better its k-th result, and
+computes distances only for entries that the triangle inequality with the stored distances to the
+routing point does not exclude.  Bounds are taken with a margin for rounding; scores are integers.
+
+Rows are dealt to the nearest of a bounded number of pivots, and large cells are cut into groups
+of a page tree each.  A query first searches one group of its own cell, which seeds its k-th score, and then
+visits the groups whose covering radius allows a better one.
 """
 
 from __future__ import annotations
@@ -19,123 +24,281 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import sorted_groups
-from seqloom.plans.recovery import cut
+from seqloom.llm.common import if_small, sorted_groups
+from seqloom.plans.recovery import cut, table
 
 SLACK = 1e-6
+PAGE, FAN = 128, 16
+#: Pivots for each vector length, and lengths with pivots, at most: what is broadcast is bounded by them.
+PIVOTS, LENGTHS = 256, 16
+EXACT = float(1 << 53)
+
+
+def _apart(points: np.ndarray, point: np.ndarray) -> np.ndarray:
+    return np.sqrt(((points - point) ** 2).sum(axis=1))
 
 
-class Page:
-    """A leaf: its points' row numbers, ordered by distance to the routing point."""
+class Node:
+    """A page: entries with their distances to its routing point; inner pages also have radii and children."""
 
-    def __init__(self, rows: np.ndarray, apart: np.ndarray) -> None:
-        order = np.argsort(apart, kind="stable")
-        self.rows, self.apart = rows[order], apart[order]
-        self.radius = float(apart.max())
+    __slots__ = ("apart", "children", "radii", "rows")
+
+    def __init__(self, rows: np.ndarray, apart: np.ndarray, radii: np.ndarray | None = None, children: list[Node] | None = None) -> None:
+        self.rows, self.apart, self.radii, self.children = rows, apart, radii, children
 
 
 class Tree:
-    """A metric tree over integer vectors; ``page`` bounds a leaf's points."""
+    """An M-tree over integer vectors."""
 
-    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = 256) -> None:
-        self.ids, self.vectors = ids, vectors.astype(np.float64)
+    def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE, fan: int = FAN) -> None:
+        self.ids, self.whole, self.vectors = ids, vectors, vectors.astype(np.float64)
         square = (self.vectors**2).sum(axis=1)
         self.top = float(square.max())
         self.points = np.hstack((self.vectors, np.sqrt(np.maximum(self.top - square, 0.0))[:, None]))
-        self.pages: list[Page] = []
-        routes: list[np.ndarray] = []
-        todo = [np.arange(len(ids))]
-        while todo:
-            rows = todo.pop()
-            center = self.points[rows].mean(axis=0)
-            apart = np.sqrt(((self.points[rows] - center) ** 2).sum(axis=1))
-            if len(rows) <= page:
-                self.pages.append(Page(rows, apart))
-                routes.append(center)
-                continue
-            far = self.points[rows[apart.argmax()]]
-            to_far = np.sqrt(((self.points[rows] - far) ** 2).sum(axis=1))
-            other = self.points[rows[to_far.argmax()]]
-            lean = ((self.points[rows] - other) ** 2).sum(axis=1) - to_far**2
-            order = np.argsort(lean, kind="stable")  # an even cut, also where all points are equal
-            todo += [rows[order[: len(rows) // 2]], rows[order[len(rows) // 2 :]]]
-        self.routes = np.array(routes)
-        self.radii = np.array([p.radius for p in self.pages])
-
-    def search(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
-        """(score, id) of the ``k`` best rows with other ids than ``own``, ties to the smaller id."""
+        self.page, self.fan = page, fan
+        self.computed = 0  # distances and scores of searches so far
+        rows = np.arange(len(ids))
+        self.route = 0
+        self.apart = _apart(self.points, self.points[0])
+        self.radius = float(self.apart.max())
+        self.root = self._built(rows, self.apart)
+
+    def _built(self, rows: np.ndarray, apart: np.ndarray) -> Node:
+        """The page over ``rows``, which stand ``apart`` from its routing point."""
+        if len(rows) <= self.page:
+            order = np.argsort(apart, kind="stable")
+            return Node(rows[order], apart[order])
+        # Routing points far from each other: each is the farthest from those before it.
+        chosen, near = [int(apart.argmax())], np.full(len(rows), np.inf)
+        owner = np.zeros(len(rows), dtype=np.int64)
+        for k in range(self.fan):
+            to = _apart(self.points[rows], self.points[rows[chosen[k]]])
+            owner[to < near] = k
+            near = np.minimum(near, to)
+            if k + 1 < self.fan:
+                if near.max() <= 0:
+                    break
+                chosen.append(int(near.argmax()))
+        if len(chosen) == 1 or np.bincount(owner).max() > 0.9 * len(rows):
+            owner = np.arange(len(rows)) * self.fan // len(rows)  # nothing parts them: even runs
+            chosen = [int(np.flatnonzero(owner == k)[0]) for k in range(self.fan)]
+        parts = [np.flatnonzero(owner == k) for k in range(len(chosen))]
+        at = np.array([chosen[k] for k in range(len(chosen)) if len(parts[k])])
+        routes, parts = rows[at], [p for p in parts if len(p)]
+        radii, children = [], []
+        for route, own in zip(routes, parts, strict=True):
+            to = _apart(self.points[rows[own]], self.points[route])
+            radii.append(float(to.max()))
+            children.append(self._built(rows[own], to))
+        return Node(routes, apart[at], np.array(radii), children)
+
+    def search(self, query: np.ndarray, own: int, k: int, floor: float = -np.inf) -> list[tuple[int, int]]:
+        """(score, id) of the ``k`` best rows with other ids than ``own`` and scores of ``floor`` or more, ties to the smaller id."""
         q = query.astype(np.float64)
+        if float(q @ q) * self.top > EXACT**2:
+            return self._large(query, own, k)
         base = float(q @ q) + self.top
         point = np.append(q, 0.0)
-        to = np.sqrt(((self.routes - point) ** 2).sum(axis=1))
-        least = np.maximum(to - self.radii, 0.0)
+        bound = lambda score: np.sqrt(max(base - 2 * score, 0.0)) * (1 + SLACK) + SLACK
         best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst first
-        reach = np.inf
-        for at in np.argsort(least, kind="stable"):
-            if least[at] > reach:
-                break
-            page = self.pages[at]
-            lo, hi = np.searchsorted(page.apart, [to[at] - reach, to[at] + reach]) if reach < np.inf else (0, len(page.rows))
-            rows = page.rows[lo : hi + 1]
-            rows = rows[self.ids[rows] != own]
+        reach = bound(floor) if floor > -np.inf else np.inf
+        to = float(np.sqrt(((self.points[self.route] - point) ** 2).sum()))
+        self.computed += 1
+        heap = [(max(to - self.radius, 0.0), 0, to, self.root)]
+        pushed = 1
+        while heap and heap[0][0] <= reach:
+            _, _, to, node = heapq.heappop(heap)
+            spread = 0.0 if node.radii is None else node.radii
+            some = np.flatnonzero(np.abs(to - node.apart) - spread <= reach)
+            rows = node.rows[some]
+            self.computed += len(rows)
+            if node.children is not None:
+                far = _apart(self.points[rows], point)
+                least = np.maximum(far - node.radii[some], 0.0)
+                for i in np.flatnonzero(least <= reach).tolist():
+                    heapq.heappush(heap, (float(least[i]), pushed, float(far[i]), node.children[some[i]]))
+                    pushed += 1
+                continue
             scores = self.vectors[rows] @ q
-            if len(best) == k:
-                fit = scores >= best[0][0]
-                rows, scores = rows[fit], scores[fit]
+            least_fit = max(best[0][0], floor) if len(best) == k else floor
+            fit = (scores >= least_fit) & (self.ids[rows] != own)
+            rows, scores = rows[fit], scores[fit]
             if len(rows) > k:
-                least_fit = np.partition(scores, -k)[-k]
-                rows, scores = rows[scores >= least_fit], scores[scores >= least_fit]
+                kth = np.partition(scores, -k)[-k]
+                rows, scores = rows[scores >= kth], scores[scores >= kth]
                 order = np.lexsort((self.ids[rows], -scores))[:k]
                 rows, scores = rows[order], scores[order]
-            for row, score in zip(rows, scores, strict=True):
+            for row, score in zip(rows.tolist(), scores.tolist(), strict=True):
                 item = (int(score), -int(self.ids[row]))
                 if len(best) < k:
                     heapq.heappush(best, item)
                 elif item > best[0]:
                     heapq.heapreplace(best, item)
             if len(best) == k:
-                reach = np.sqrt(max(base - 2 * best[0][0], 0.0)) * (1 + SLACK) + SLACK
-        return [(s, -i) for s, i in best]
+                reach = min(reach, bound(max(best[0][0], floor)))
+        return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
+
+    def _large(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:
+        """``search`` where scores may be beyond what doubles hold: in integers, without bounds."""
+        if float(np.linalg.norm(query.astype(np.float64))) * self.top**0.5 >= float(1 << 62):
+            raise OverflowError("an inner product does not fit into 64 bits")
+        self.computed += len(self.ids)
+        scores = self.whole @ query
+        order = np.lexsort((self.ids, -scores))
+        return [(int(scores[i]), int(self.ids[i])) for i in order[self.ids[order] != own][:k].tolist()]
+
+
+class Cells:
+    """The pivots of one vector length."""
+
+    def __init__(self, sample: np.ndarray, pivots: int) -> None:
+        sample = sample.astype(np.float64)
+        chosen, near = [0], np.full(len(sample), np.inf)
+        while len(chosen) < min(pivots, len(sample)):
+            near = np.minimum(near, _apart(sample, sample[chosen[-1]]))
+            if near.max() <= 0:
+                break
+            chosen.append(int(near.argmax()))
+        self.pivots = sample[chosen]
+
+    def nearest(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest pivot of each vector and the distance to it."""
+        cell, far = np.zeros(len(vectors), dtype=np.int64), np.full(len(vectors), np.inf)
+        for k, p in enumerate(self.pivots):
+            to = _apart(vectors, p)
+            cell[to < far] = k
+            far = np.minimum(far, to)
+        return cell, far
+
+    def best(self, vectors: np.ndarray, radii: np.ndarray) -> np.ndarray:
+        """The largest score that each query may have in each cell: q.p + |q| radius, with a margin."""
+        size = np.sqrt((vectors**2).sum(axis=1))[:, None]
+        most = vectors @ self.pivots.T + size * radii
+        return most + np.abs(most) * SLACK + size * radii * SLACK + 1
+
+
+def _matrices(dims: np.ndarray, vectors: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(length, rows, their vectors) for each vector length of a batch."""
+    for dim in np.unique(dims).tolist():
+        at = np.flatnonzero(dims == dim)
+        yield dim, at, vectors.take(pa.array(at)).flatten().to_numpy().reshape(len(at), dim)
+
+
+def _dealt(rows: DataFrame, cells: dict[int, Cells]) -> DataFrame:
+    """``rows`` (vec_id, v) with dim, cell and the distance to the cell's pivot; lengths without pivots are one cell without bounds."""
+    shared = rows.sparkSession.sparkContext.broadcast(cells)
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            dims = batch.column(2).to_numpy()
+            cell, far = np.zeros(len(dims), dtype=np.int64), np.full(len(dims), np.inf)
+            for dim, at, vectors in _matrices(dims, batch.column(1)):
+                if dim in shared.value:
+                    cell[at], far[at] = shared.value[dim].nearest(vectors.astype(np.float64))
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cell), pa.array(far)], ["vec_id", "v", "dim", "cell", "far"])
+
+    return rows.withColumn("dim", F.size("v").cast("long")).mapInArrow(kernel, "vec_id long, v array<long>, dim long, cell long, far double")
+
+
+def _visited(points: DataFrame, asked: DataFrame, k: int, block: int) -> DataFrame:
+    """(quid, query_id, vec_id, score, times): the ``k`` best rows of a group for each query that is sent there.
+
+    ``asked`` is (dim, cell, part, quid, query_id, times, floor, v).  A group meets its queries in
+    blocks of about ``block``, so its rows are copied once for each block.
+    """
+    group = ["dim", "cell", "part"]
+    blocks = asked.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    blocks = if_small(cut(blocks))
+    sent = asked.join(blocks, group)
+    sent = sent.withColumn("b", F.pmod(F.xxhash64("quid"), F.col("blocks")).cast("int"))
+    held = points.join(blocks, group).withColumn("b", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    key, none = F.xxhash64(*group, "b").alias("key"), F.lit(None).cast("long")
+    both = held.select(key, F.lit(0).alias("asked"), none.alias("quid"), "vec_id", none.alias("times"), F.lit(None).cast("double").alias("floor"), "v")
+    both = both.unionByName(sent.select(key, F.lit(1).alias("asked"), "quid", F.col("query_id").alias("vec_id"), "times", "floor", "v"))
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in sorted_groups(batches):
+            n = int((part.column("asked").to_numpy() == 0).sum())
+            ids = part.column("vec_id").to_numpy()
+            flat = part.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
+            tree = Tree(ids[:n], flat[:n])
+            rest = zip(part.column("quid").to_pylist()[n:], ids[n:].tolist(), part.column("times").to_pylist()[n:], part.column("floor").to_pylist()[n:], flat[n:], strict=True)
+            found = [(quid, own, i, s, times) for quid, own, times, floor, v in rest for s, i in tree.search(v, own, k, floor)]
+            if found:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["quid", "query_id", "vec_id", "score", "times"])
+
+    dealt = both.repartition("key").sortWithinPartitions("key", "asked", "vec_id")
+    return dealt.mapInArrow(kernel, "quid long, query_id long, vec_id long, score long, times long")
 
 
-def search(vectors: DataFrame, every: int = 50, k: int = 5, group: int = 8192, block: int = 512, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
+def search(vectors: DataFrame, every: int = 50, k: int = 5, group: int | None = None, block: int = 1 << 15, pivots: int = PIVOTS, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's ``k`` best rows by integer inner product.
 
     Components become floor(256 x).  Queries are the rows whose id is divisible by
     ``every``.  Vectors that are null, empty or hold null or non-finite components, and rows with a
     null id, take no part; rows of other lengths than the query's are no candidates; rows with the query's id are its own.
     As in SQL, ranks count pairs of rows: a repeated candidate takes a rank for each of its rows,
-    and the rows of a repeated query id are ranked together, each with its own results.
-    Rows go to page groups of about ``group`` by hash; each meets every block of about ``block``
-    queries and keeps ``k`` results for each, so a task holds one group and one block.
+    and the rows of a repeated query id are ranked together, each with its own results; equal ones are searched once.
+    An inner product that 64 bits may not hold raises OverflowError.  An empty table gives an empty result.
+
+    A task holds one group of about ``group`` rows (by default 32768, or fewer if there are fewer rows
+    than tasks could use) and ``block`` queries.
     """
     bad = F.exists(vec_col, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
     ints = F.transform(vec_col, lambda x: F.floor(x.cast("double") * 256).cast("long"))
     rows = vectors.where(F.col(vec_col).isNotNull() & F.col(id_col).isNotNull()).where((F.size(vec_col) > 0) & ~bad)
     rows = cut(rows.select(F.col(id_col).cast("long").alias("vec_id"), ints.alias("v")))
-    groups = max(1, -(-rows.count() // group))
-    queries = rows.where(F.col("vec_id") % every == 0)
-    blocks = max(1, -(-queries.count() // block))
-    dim = F.size("v")
-    points = rows.select(F.pmod(F.xxhash64("vec_id", F.lit("group")), F.lit(groups)).cast("int").alias("g"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("b"), F.lit(0).alias("asked"), dim.alias("dim"), "vec_id", "v")
-    asked = queries.select(F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("g"), F.pmod(F.xxhash64("vec_id", F.lit("block")), F.lit(blocks)).cast("int").alias("b"), F.lit(1).alias("asked"), dim.alias("dim"), "vec_id", "v")
-    dealt = points.unionByName(asked).withColumn("key", F.xxhash64("dim", "g", "b"))
-    dealt = dealt.select("key", "asked", "vec_id", "v").repartition("key").sortWithinPartitions("key", "asked", "vec_id")
+    lengths = rows.groupBy(F.size("v").cast("long").alias("dim")).count().orderBy(F.desc("count"), "dim").limit(LENGTHS).collect()
+    if group is None:
+        group = min(32768, max(1024, sum(r["count"] for r in lengths) // (2 * rows.sparkSession.sparkContext.defaultParallelism)))
+    cells = {}
+    for r in lengths:
+        wanted = min(pivots, -(-r["count"] // group))
+        if wanted > 1:
+            some = rows.where(F.size("v") == r.dim).where(F.rand(7) < 16 * wanted / r["count"]).limit(16 * wanted).collect()
+            if some:
+                cells[r.dim] = Cells(np.array([x.v for x in some]), wanted)
+    dealt = table(_dealt(rows, cells).withColumn("uid", F.monotonically_increasing_id()), "top-k-cells")
+    sizes = cut(dealt.groupBy("dim", "cell").agg(F.ceil(F.count("*") / group).cast("int").alias("parts"), F.max("far").alias("radius")))
+    placed = dealt.join(if_small(sizes), ["dim", "cell"]).withColumn("part", F.pmod(F.xxhash64("uid"), F.col("parts")).cast("int"))
+    points = placed.select("dim", "cell", "part", "vec_id", "v")
+    queries = placed.where(F.col("vec_id") % every == 0).groupBy("vec_id", "dim", "v").agg(F.min("cell").alias("cell"), F.min("part").alias("part"), F.min("uid").alias("quid"), F.count("*").alias("times"))
+    queries = cut(queries.withColumnRenamed("vec_id", "query_id"))
+    first = cut(_visited(points, queries.withColumn("floor", F.lit(float("-inf"))), k, block))
+
+    floors = first.groupBy("quid").agg(F.when(F.count("*") >= k, F.min("score")).cast("double").alias("floor"))
+    seeded = queries.join(floors, "quid", "left").withColumn("floor", F.coalesce("floor", F.lit(float("-inf"))))
+    # Other parts of bounded cells by their radii; lengths without pivots are one cell, of which every part is met.
+    known = {r.dim: {} for r in lengths}
+    for r in sizes.where(F.col("dim").isin(list(cells))).collect() if cells else []:
+        known[r.dim][r.cell] = (r.radius, r.parts)
+    shared = rows.sparkSession.sparkContext.broadcast((cells, known))
+    names = ["quid", "query_id", "times", "floor", "dim", "cell", "part", "v"]
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in sorted_groups(batches):
-            asked = part.column("asked").to_numpy()
-            n = int((asked == 0).sum())
-            if n == 0 or n == len(asked):
-                continue
-            ids = part.column("vec_id").to_numpy()
-            flat = part.column("v").combine_chunks().flatten().to_numpy().reshape(len(ids), -1)
-            tree = Tree(ids[:n], flat[:n])
-            found = [(int(ids[i]), i_, s) for i in range(n, len(ids)) for s, i_ in tree.search(flat[i], int(ids[i]), k)]
-            if found:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], ["query_id", "vec_id", "score"])
+        cells, known = shared.value
+        for batch in batches:
+            dims, floor, own = batch.column(4).to_numpy(), batch.column(3).to_numpy(), list(zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True))
+            for dim, at, vectors in _matrices(dims, batch.column(7)):
+                radii = np.array([known[dim].get(c, (-np.inf, 0))[0] for c in range(len(cells[dim].pivots))])
+                most = cells[dim].best(vectors.astype(np.float64), np.where(radii < 0, 0.0, radii))
+                hit, cell = np.nonzero((most >= floor[at][:, None]) & (radii >= 0))
+                for c in np.unique(cell).tolist():
+                    for part in range(known[dim][c][1]):
+                        out = [i for i in at[hit[cell == c]].tolist() if own[i] != (c, part)]
+                        if out:
+                            cut_ = batch.take(pa.array(out))
+                            where = [pa.array([c] * len(out), pa.int64()), pa.array([part] * len(out), pa.int32())]
+                            yield pa.RecordBatch.from_arrays([*cut_.columns[:5], *where, cut_.column(7)], names)
 
-    found = dealt.mapInArrow(kernel, "query_id long, vec_id long, score long")
+    seeded = seeded.select(*names)
+    bounded = F.col("dim").isin(list(cells)) if cells else F.lit(False)
+    asked = seeded.where(bounded).mapInArrow(kernel, "quid long, query_id long, times long, floor double, dim long, cell long, part int, v array<long>")
+    others = seeded.where(~bounded).join(sizes.select("dim", "cell", "parts"), ["dim", "cell"])
+    others = others.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).where("other <> part")
+    asked = table(asked.unionByName(others.withColumn("part", F.col("other")).select(*names)), "top-k-asked")
+    found = first.unionByName(_visited(points, asked, k, block))
+    found = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.least(F.col("times"), F.lit(k)).cast("int"))))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
