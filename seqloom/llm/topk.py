@@ -17,6 +17,7 @@ visits the groups whose covering radius allows a better one.
 from __future__ import annotations
 
 import heapq
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ from seqloom.llm.common import if_small, sorted_groups
 from seqloom.plans.recovery import cut, table
 
 SLACK = 1e-6
-PAGE, FAN = 128, 16
+PAGE, FAN = 512, 16
 #: Pivots for each vector length, and lengths with pivots, at most: what is broadcast is bounded by them.
 PIVOTS, LENGTHS = 256, 16
 EXACT = float(1 << 53)
@@ -38,104 +39,122 @@ def _apart(points: np.ndarray, point: np.ndarray) -> np.ndarray:
     return np.sqrt(((points - point) ** 2).sum(axis=1))
 
 
-class Node:
-    """A page: entries with their distances to its routing point; inner pages also have radii and children."""
+class Leaf:
+    """A page of points: rows ``lo`` and on of the tree, by their distance to the page's routing point."""
 
-    __slots__ = ("apart", "children", "radii", "rows")
+    __slots__ = ("apart", "lo", "rows")
 
-    def __init__(self, rows: np.ndarray, apart: np.ndarray, radii: np.ndarray | None = None, children: list[Node] | None = None) -> None:
-        self.rows, self.apart, self.radii, self.children = rows, apart, radii, children
+    def __init__(self, rows: np.ndarray, apart: np.ndarray) -> None:
+        order = np.argsort(apart, kind="stable")
+        self.rows, self.apart, self.lo = rows[order], apart[order], 0
+
+
+class Inner:
+    """A page of routing points, each with its distance to this page's own, its subtree's radius and its page."""
+
+    __slots__ = ("apart", "children", "points", "radii", "rows")
+
+    def __init__(self, rows: np.ndarray, points: np.ndarray, apart: np.ndarray, radii: np.ndarray, children: list) -> None:
+        self.rows, self.points, self.apart, self.radii, self.children = rows, points, apart, radii, children
 
 
 class Tree:
-    """An M-tree over integer vectors."""
+    """An M-tree over integer vectors; rows are put in the order of its leaves."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, page: int = PAGE, fan: int = FAN) -> None:
-        self.ids, self.whole, self.vectors = ids, vectors, vectors.astype(np.float64)
-        square = (self.vectors**2).sum(axis=1)
+        wide = vectors.astype(np.float64)
+        square = (wide**2).sum(axis=1)
         self.top = float(square.max())
-        self.points = np.hstack((self.vectors, np.sqrt(np.maximum(self.top - square, 0.0))[:, None]))
+        self.points = np.hstack((wide, np.sqrt(np.maximum(self.top - square, 0.0))[:, None]))
         self.page, self.fan = page, fan
         self.computed = 0  # distances and scores of searches so far
-        rows = np.arange(len(ids))
-        self.route = 0
-        self.apart = _apart(self.points, self.points[0])
-        self.radius = float(self.apart.max())
-        self.root = self._built(rows, self.apart)
-
-    def _built(self, rows: np.ndarray, apart: np.ndarray) -> Node:
+        self.route = self.points[0]
+        apart = _apart(self.points, self.route)
+        self.radius = float(apart.max())
+        self.leaves: list[Leaf] = []
+        self.root = self._built(np.arange(len(ids)), apart)
+        order = np.concatenate([leaf.rows for leaf in self.leaves])
+        at = np.cumsum([0, *(len(leaf.rows) for leaf in self.leaves)])
+        for leaf, lo in zip(self.leaves, at.tolist(), strict=False):
+            leaf.lo = lo
+        self.ids, self.whole, self.vectors = ids[order], vectors[order], wide[order]
+
+    def _built(self, rows: np.ndarray, apart: np.ndarray) -> Leaf | Inner:
         """The page over ``rows``, which stand ``apart`` from its routing point."""
         if len(rows) <= self.page:
-            order = np.argsort(apart, kind="stable")
-            return Node(rows[order], apart[order])
+            self.leaves.append(Leaf(rows, apart))
+            return self.leaves[-1]
         # Routing points far from each other: each is the farthest from those before it.
+        fan = min(self.fan, max(2, -(-2 * len(rows) // self.page)))
+        points = self.points[rows]
         chosen, near = [int(apart.argmax())], np.full(len(rows), np.inf)
         owner = np.zeros(len(rows), dtype=np.int64)
-        for k in range(self.fan):
-            to = _apart(self.points[rows], self.points[rows[chosen[k]]])
+        for k in range(fan):
+            to = _apart(points, points[chosen[k]])
             owner[to < near] = k
             near = np.minimum(near, to)
-            if k + 1 < self.fan:
+            if k + 1 < fan:
                 if near.max() <= 0:
                     break
                 chosen.append(int(near.argmax()))
         if len(chosen) == 1 or np.bincount(owner).max() > 0.9 * len(rows):
-            owner = np.arange(len(rows)) * self.fan // len(rows)  # nothing parts them: even runs
-            chosen = [int(np.flatnonzero(owner == k)[0]) for k in range(self.fan)]
-        parts = [np.flatnonzero(owner == k) for k in range(len(chosen))]
-        at = np.array([chosen[k] for k in range(len(chosen)) if len(parts[k])])
-        routes, parts = rows[at], [p for p in parts if len(p)]
+            owner = np.arange(len(rows)) * fan // len(rows)  # nothing parts them: even runs
+            chosen = [int(np.flatnonzero(owner == k)[0]) for k in range(fan)]
         radii, children = [], []
-        for route, own in zip(routes, parts, strict=True):
-            to = _apart(self.points[rows[own]], self.points[route])
+        for k, c in enumerate(chosen):
+            own = np.flatnonzero(owner == k)
+            to = _apart(points[own], points[c])
             radii.append(float(to.max()))
             children.append(self._built(rows[own], to))
-        return Node(routes, apart[at], np.array(radii), children)
+        return Inner(rows[chosen], points[chosen], apart[chosen], np.array(radii), children)
 
     def search(self, query: np.ndarray, own: int, k: int, floor: float = -np.inf) -> list[tuple[int, int]]:
         """(score, id) of the ``k`` best rows with other ids than ``own`` and scores of ``floor`` or more, ties to the smaller id."""
         q = query.astype(np.float64)
-        if float(q @ q) * self.top > EXACT**2:
+        norm = float(q @ q)
+        if norm * self.top > EXACT**2:
             return self._large(query, own, k)
-        base = float(q @ q) + self.top
+        base = norm + self.top
         point = np.append(q, 0.0)
-        bound = lambda score: np.sqrt(max(base - 2 * score, 0.0)) * (1 + SLACK) + SLACK
         best: list[tuple[int, int]] = []  # a heap of (score, -id): the worst first
-        reach = bound(floor) if floor > -np.inf else np.inf
-        to = float(np.sqrt(((self.points[self.route] - point) ** 2).sum()))
+        reach = math.sqrt(max(base - 2 * floor, 0.0)) * (1 + SLACK) + SLACK if floor > -np.inf else math.inf
+        to = float(_apart(self.route[None], point)[0])
         self.computed += 1
         heap = [(max(to - self.radius, 0.0), 0, to, self.root)]
         pushed = 1
         while heap and heap[0][0] <= reach:
             _, _, to, node = heapq.heappop(heap)
-            spread = 0.0 if node.radii is None else node.radii
-            some = np.flatnonzero(np.abs(to - node.apart) - spread <= reach)
-            rows = node.rows[some]
-            self.computed += len(rows)
-            if node.children is not None:
-                far = _apart(self.points[rows], point)
+            if isinstance(node, Inner):
+                some = np.flatnonzero(np.abs(to - node.apart) - node.radii <= reach)
+                far = _apart(node.points[some], point)
+                self.computed += len(some)
                 least = np.maximum(far - node.radii[some], 0.0)
-                for i in np.flatnonzero(least <= reach).tolist():
-                    heapq.heappush(heap, (float(least[i]), pushed, float(far[i]), node.children[some[i]]))
-                    pushed += 1
+                for i, x, y in zip(some.tolist(), least.tolist(), far.tolist(), strict=True):
+                    if x <= reach:
+                        heapq.heappush(heap, (x, pushed, y, node.children[i]))
+                        pushed += 1
+                continue
+            lo, hi = node.apart.searchsorted((to - reach, to + reach)).tolist() if reach < math.inf else (0, len(node.apart))
+            lo, hi = node.lo + lo, node.lo + min(hi + 1, len(node.apart))
+            scores = self.vectors[lo:hi] @ q
+            self.computed += hi - lo
+            fit = np.flatnonzero(scores >= (max(best[0][0], floor) if len(best) == k else floor))
+            if not len(fit):
                 continue
-            scores = self.vectors[rows] @ q
-            least_fit = max(best[0][0], floor) if len(best) == k else floor
-            fit = (scores >= least_fit) & (self.ids[rows] != own)
-            rows, scores = rows[fit], scores[fit]
-            if len(rows) > k:
-                kth = np.partition(scores, -k)[-k]
-                rows, scores = rows[scores >= kth], scores[scores >= kth]
-                order = np.lexsort((self.ids[rows], -scores))[:k]
-                rows, scores = rows[order], scores[order]
-            for row, score in zip(rows.tolist(), scores.tolist(), strict=True):
-                item = (int(score), -int(self.ids[row]))
+            scores, ids = scores[fit], self.ids[lo + fit]
+            if (ids == own).any():
+                scores, ids = scores[ids != own], ids[ids != own]
+            if len(scores) > k:
+                order = np.lexsort((ids, -scores))[:k]
+                scores, ids = scores[order], ids[order]
+            for score, i in zip(scores.tolist(), ids.tolist(), strict=True):
+                item = (int(score), -i)
                 if len(best) < k:
                     heapq.heappush(best, item)
                 elif item > best[0]:
                     heapq.heapreplace(best, item)
             if len(best) == k:
-                reach = min(reach, bound(max(best[0][0], floor)))
+                reach = min(reach, math.sqrt(max(base - 2 * max(best[0][0], floor), 0.0)) * (1 + SLACK) + SLACK)
         return sorted(((s, -i) for s, i in best), key=lambda x: (-x[0], x[1]))
 
     def _large(self, query: np.ndarray, own: int, k: int) -> list[tuple[int, int]]:

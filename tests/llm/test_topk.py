@@ -43,7 +43,7 @@ def test_the_tree_computes_few_distances():
     ids = np.arange(6000)
     tree = topk.Tree(ids, vectors, page=32, fan=8)
     depth, node = 1, tree.root
-    while node.children:
+    while isinstance(node, topk.Inner):
         depth, node = depth + 1, node.children[0]
     assert depth >= 3
     for q in range(0, 6000, 60):
@@ -60,13 +60,14 @@ def test_every_page_covers_its_points():
     tree = topk.Tree(np.arange(3000), np.vstack((clustered(rng, 2000, 9), np.tile(clustered(rng, 1, 1), (1000, 1)))), page=16, fan=4)
 
     def below(node):
-        return node.rows.tolist() if node.children is None else [r for c in node.children for r in below(c)]
+        return node.rows.tolist() if isinstance(node, topk.Leaf) else [r for c in node.children for r in below(c)]
 
     def check(node, route):
-        assert np.allclose(node.apart, np.linalg.norm(tree.points[node.rows] - tree.points[route], axis=1))
-        for i, c in enumerate(node.children or []):
-            assert np.linalg.norm(tree.points[below(c)] - tree.points[node.rows[i]], axis=1).max() <= node.radii[i] + 1e-9
-            check(c, node.rows[i])
+        assert np.allclose(node.apart, np.linalg.norm(tree.points[node.rows] - route, axis=1))
+        if isinstance(node, topk.Inner):
+            for i, c in enumerate(node.children):
+                assert np.linalg.norm(tree.points[below(c)] - node.points[i], axis=1).max() <= node.radii[i] + 1e-9
+                check(c, node.points[i])
 
     check(tree.root, tree.route)
     assert sorted(below(tree.root)) == list(range(3000))
