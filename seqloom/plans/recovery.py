@@ -20,6 +20,8 @@ def shared_dir(spark: SparkSession) -> str:
         held = spark.sparkContext._jsc.sc().getCheckpointDir()
         found = held.get() if held.isDefined() else None
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="seqloom-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
