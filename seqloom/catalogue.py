@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from seqloom.functions import sequence as sq
+from seqloom.functions.alphabet import AMINO
 from seqloom.operators import alignment as am
 from seqloom.operators import coordinates as co
 from seqloom.operators import graphs as gr
@@ -64,9 +65,9 @@ add("kmer_words", on(fx.seqs, lambda s: si.kmer_counts(s, 6, []).select("w", "n"
 add("repeat_score", on(fx.seqs, lambda s: s.select("name", F.round(sq.repeat_score(F.col("seq")), 9).alias("score"))), """,
  w AS (SELECT name, substr(seq, i::INT, 11) AS w FROM (SELECT name, seq, unnest(range(1, length(seq) - 9)) AS i FROM seqs WHERE length(seq) >= 11)),
  n AS (SELECT name, w, count(*) AS n FROM w GROUP BY ALL), s AS (SELECT name, round(sum(CASE WHEN n > 2 THEN n ELSE 0 END) / sum(n)::DOUBLE, 9) AS score FROM n GROUP BY name)
-SELECT seqs.name, CASE WHEN length(seq) > 10 THEN score WHEN length(seq) < 10 THEN -0.0 ELSE NULL END AS score FROM seqs LEFT JOIN s ON s.name = seqs.name""", "seqs")
+SELECT seqs.name, score FROM seqs LEFT JOIN s ON s.name = seqs.name""", "seqs")
 add("translate_aa", on(fx.seqs, lambda s: s.select("name", sq.translate_seq(F.col("seq")).alias("aa"))), f"""SELECT name, array_to_string(list_transform(range(0, length(seq) // 3),
-  lambda k: substr('{sq.AMINO}', 16 * (instr('TCAG', substr(seq, (3 * k + 1)::INT, 1)) - 1) + 4 * (instr('TCAG', substr(seq, (3 * k + 2)::INT, 1)) - 1) + instr('TCAG', substr(seq, (3 * k + 3)::INT, 1)), 1)), '') AS aa FROM seqs""", "seqs")
+  lambda k: substr('{AMINO}', 16 * (instr('TCAG', substr(seq, (3 * k + 1)::INT, 1)) - 1) + 4 * (instr('TCAG', substr(seq, (3 * k + 2)::INT, 1)) - 1) + instr('TCAG', substr(seq, (3 * k + 3)::INT, 1)), 1)), '') AS aa FROM seqs""", "seqs")
 add("seq_clean", on(fx.aligned, lambda a: a.select("aln", "row", sq.clean(F.col("seq"), 3).alias("clean"))), "SELECT aln, row, substr(replace(seq, '-', ''), 4, greatest(length(replace(seq, '-', '')) - 6, 0)) AS clean FROM aligned", ALN)
 add("name_fields", lambda spark, d: spark.read.parquet(f"{d}/customer.parquet").select(
         "c_custkey", sq.field(F.col("c_name"), 2, "#").cast("long").alias("number"), sq.last_n(F.col("c_name"), 4).alias("tail"),
@@ -81,10 +82,10 @@ add("base_content", on(fx.seqs, rn.symbol_content), "SELECT name, k AS wnd, " +
 # --- alignments ----------------------------------------------------------------------------------
 _PROF = "prof AS (SELECT aln, col, " + ", ".join(f"count(*) FILTER (nt = '{x}') AS {y}" for x, y in zip([*am.NUCLEOTIDES, "-"], "acgtx", strict=True)) + " FROM mx GROUP BY aln, col)"
 _BEST = "CASE greatest(a, c, g, t) WHEN a THEN 'A' WHEN c THEN 'C' WHEN g THEN 'G' ELSE 'T' END"
-add("profile", on(cells, am.profile), f', {_PROF} SELECT aln, col, a, c, g, t, x AS gap FROM prof', ALN)
-add("consensus", on(cells, am.consensus), f", {_PROF} SELECT aln, col, {_BEST} AS nt FROM prof", ALN)
-add("consensus_n_rule", on(cells, lambda c: am.consensus(c, "N")), f", {_PROF} SELECT aln, col, CASE WHEN greatest(a, c, g, t) = 0 THEN 'N' ELSE {_BEST} END AS nt FROM prof", ALN)
-add("consensus_multi", on(cells, lambda c: am.consensus_rows(c, 3)), f""", {_PROF}
+add("profile", on(fx.aligned, am.profile), f', {_PROF} SELECT aln, col, a, c, g, t, x AS gap FROM prof', ALN)
+add("consensus", on(fx.aligned, am.consensus), f", {_PROF} SELECT aln, col, {_BEST} AS nt FROM prof", ALN)
+add("consensus_n_rule", on(fx.aligned, lambda c: am.consensus(c, "N")), f", {_PROF} SELECT aln, col, CASE WHEN greatest(a, c, g, t) = 0 THEN 'N' ELSE {_BEST} END AS nt FROM prof", ALN)
+add("consensus_multi", on(fx.aligned, lambda c: am.consensus_rows(c, 3)), f""", {_PROF}
 SELECT aln, r AS row, string_agg(CASE WHEN round_even((a + c + g + t) / (a + c + g + t + x)::DOUBLE * 3, 0) >= r THEN {_BEST} ELSE '-' END, '' ORDER BY col) AS seq FROM prof, range(1, 4) u(r) GROUP BY aln, r""", ALN)
 _RUN = "SELECT aln, row, array_to_string(list(p ORDER BY col), ',') AS pos FROM (SELECT aln, row, col, CASE WHEN nt <> '-' AND n > {f} AND n <= m - {f} THEN n - {f} ELSE 0 END AS p FROM (SELECT *, sum((nt <> '-')::INT) OVER (PARTITION BY aln, row ORDER BY col) AS n, sum((nt <> '-')::INT) OVER (PARTITION BY aln, row) AS m FROM mx)) GROUP BY aln, row"
 _joined = lambda f: on(fx.aligned, lambda a: am.positions(a, f).select("aln", "row", F.array_join("pos", ",").alias("pos")))
@@ -92,8 +93,8 @@ add("aln2pos", _joined(0), _RUN.format(f=0), ALN)
 add("mx2pos_flank", _joined(5), _RUN.format(f=5), ALN)
 add("mx2aln", on(cells, am.to_strings), "SELECT aln, row, seq FROM aligned", ALN)
 add("mx2seq", on(cells, lambda c: am.to_strings(c, False)), "SELECT aln, row, replace(seq, '-', '') AS seq FROM aligned", ALN)
-add("reduce_freq", on(cells, am.frequent_columns), "SELECT aln, row, string_agg(nt, '' ORDER BY col) AS seq FROM (SELECT * FROM mx QUALIFY sum((nt <> '-')::INT) OVER (PARTITION BY aln, col) >= 3) GROUP BY aln, row", ALN)
-add("reduce_flank", on(cells, lambda c: am.conserved_span(c, 3, 0.5, 3)), f""", {_PROF},
+add("reduce_freq", on(fx.aligned, am.frequent_columns), "SELECT aln, row, coalesce(string_agg(nt, '' ORDER BY col) FILTER (n >= 3), '') AS seq FROM (SELECT *, sum((nt <> '-')::INT) OVER (PARTITION BY aln, col) AS n FROM mx) GROUP BY aln, row", ALN)
+add("reduce_flank", on(fx.aligned, lambda c: am.conserved_span(c, 3, 0.5, 3)), f""", {_PROF},
  fit AS (SELECT aln, col, col - row_number() OVER (PARTITION BY aln ORDER BY col) AS i FROM prof WHERE greatest(a, c, g, t) >= 3 AND greatest(a, c, g, t) / (a + c + g + t)::DOUBLE >= 0.5)
 SELECT aln, min(b) AS first, max(e) AS last FROM (SELECT aln, min(col) AS b, max(col) AS e FROM fit GROUP BY aln, i HAVING count(*) >= 3) GROUP BY aln""", ALN)
 add("msadiff", on(fx.aligned, am.difference), """SELECT m.aln, m.row, string_agg(CASE WHEN m.nt = '-' THEN 'g' WHEN r.nt = '-' OR m.nt = r.nt THEN 's' ELSE 'd' END, '' ORDER BY m.col) AS diff
@@ -101,7 +102,7 @@ FROM mx m JOIN mx r ON r.aln = m.aln AND r.col = m.col AND r.row = 0 GROUP BY m.
 add("row_distances", on(wide, am.distances), """, c AS (SELECT a.aln, a.row AS i, b.row AS j, count(*) FILTER (a.nt <> '-' AND a.nt = b.nt) AS same, count(*) FILTER (a.nt <> '-' AND b.nt <> '-') AS both_, count(*) FILTER (a.nt <> '-' OR b.nt <> '-') AS e,
   count(*) FILTER (a.nt <> '-') AS ni, count(*) FILTER (b.nt <> '-') AS nj FROM mx a JOIN mx b ON a.aln = b.aln AND a.col = b.col AND a.row < b.row GROUP BY ALL)
 SELECT aln, i, j, 1 - round(same / nullif(least(ni, nj), 0)::DOUBLE, 9) AS shared, round((both_ - same) / nullif(both_, 0)::DOUBLE, 9) AS p, round((e - same) / nullif(e, 0)::DOUBLE, 9) AS union_ FROM c""", WIDE)
-add("bad_alignment", on(cells, am.bad_alignments), """, k AS (SELECT aln, col, (count(DISTINCT nt) FILTER (nt <> '-') <> 1)::INT AS mixed FROM mx GROUP BY aln, col),
+add("bad_alignment", on(fx.aligned, am.bad_alignments), """, k AS (SELECT aln, col, (count(DISTINCT nt) FILTER (nt <> '-') <> 1)::INT AS mixed FROM mx GROUP BY aln, col),
  r AS (SELECT mx.aln, row, mx.col, mixed, mx.col - row_number() OVER (PARTITION BY mx.aln, row ORDER BY mx.col) AS run FROM mx JOIN k ON k.aln = mx.aln AND k.col = mx.col WHERE nt <> '-')
 SELECT aln, max(s) > 0.2 AS bad FROM (SELECT aln, avg(mixed) AS s FROM r GROUP BY aln, row, run) GROUP BY aln""", ALN)
 
@@ -225,7 +226,7 @@ add("sv_len_freq", on(fx.positions, lambda a: va.sv_length_by_frequency(_classes
 add("sv_gff", on(fx.positions, lambda a: va.sv_gff(g := va.sv_genotypes(a), va.sv_classes(g, 8))), f""", {_CLASS} SELECT g.chr, acc, least(abs(own_b), abs(own_e)) + 1 AS beg, greatest(abs(own_b), abs(own_e)) - 1 AS "end", CASE WHEN own_b < 0 THEN '-' ELSE '+' END AS strand, name FROM geno g JOIN cls ON cls.chr = g.chr AND cls.beg = g.beg AND cls."end" = g."end" WHERE len_acc > 0""", "positions")
 
 # --- reading frames ------------------------------------------------------------------------------
-_AA = lambda s: f"array_to_string(list_transform(range(0, length({s}) // 3), lambda k: substr('{sq.AMINO}', 16 * (instr('TCAG', substr({s}, (3 * k + 1)::INT, 1)) - 1) + 4 * (instr('TCAG', substr({s}, (3 * k + 2)::INT, 1)) - 1) + instr('TCAG', substr({s}, (3 * k + 3)::INT, 1)), 1)), '')"
+_AA = lambda s: f"array_to_string(list_transform(range(0, length({s}) // 3), lambda k: substr('{AMINO}', 16 * (instr('TCAG', substr({s}, (3 * k + 1)::INT, 1)) - 1) + 4 * (instr('TCAG', substr({s}, (3 * k + 2)::INT, 1)) - 1) + instr('TCAG', substr({s}, (3 * k + 3)::INT, 1)), 1)), '')"
 _SPLIT = """pc AS (SELECT *, string_split(aa, '*') AS l FROM fr), pe AS (SELECT * EXCLUDE (l, aa), unnest(l) AS aa, unnest(range(1, len(l) + 1)) AS k FROM pc),
  po AS (SELECT *, coalesce(sum(length(aa) + 1) OVER (PARTITION BY name, strand, shift ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM pe),
  orf AS (SELECT name, strand, shift, CASE strand WHEN '+' THEN b ELSE n - b + 1 END AS beg, CASE strand WHEN '+' THEN e ELSE n - e + 1 END AS "end", e - b + 1 AS len, length(aa) AS aalen, aa FROM (SELECT *, (3 * before + 1 + shift)::BIGINT AS b, (3 * (before + length(aa)) + shift)::BIGINT AS e FROM po WHERE length(aa) >= 25))"""

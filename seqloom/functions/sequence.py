@@ -1,17 +1,15 @@
-"""Column functions over sequence strings; everything stays in JVM expressions."""
+"""Column functions over sequence strings: JVM expressions, and Arrow kernels where those would go symbol by symbol."""
 
 from __future__ import annotations
 
 from itertools import permutations
 
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# The IUPAC complement pairs and the standard genetic code (codons in TCAG order).
-IUPAC = "ACGTRYSWKMBDHVN"
-PAIRED = "TGCAYRSWMKVHDBN"
-BASES = "TCAG"
-AMINO = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
+from seqloom.functions import codes
+from seqloom.functions.alphabet import IUPAC, PAIRED
 
 
 def complement(seq: Column) -> Column:
@@ -54,10 +52,7 @@ def clean(seq: Column, flank: int = 0) -> Column:
 
 def translate_seq(seq: Column) -> Column:
     """Amino acids of frame 0; an unknown codon is ``-``, a partial last one is ignored."""
-    table = ".".join(a + b + c for a in BASES for b in BASES for c in BASES)
-    codons = F.regexp_extract_all(F.upper(seq), F.lit("(?s).{3}"), F.lit(0))
-    amino = lambda c: F.substr(F.lit("-" + AMINO), F.floor((F.instr(F.lit(table), c) + 7) / 4).cast("int"), F.lit(1))
-    return F.array_join(F.transform(codons, amino), "")
+    return codes.of_text("string", pa.string(), codes.amino)(seq)
 
 
 def last_n(text: Column, n: int) -> Column:
@@ -103,16 +98,14 @@ def inverse_mask(to: str, bases: str = "ACGT") -> str:
 
 
 def repeat_score(seq: Column, size: int = 11, cutoff: int = 2) -> Column:
-    """Share of the words of ``size`` that occur over ``cutoff`` times; null without words.
-
-    Words are sorted as two-bit codes, so equal ones form runs; no row leaves its task.
-    """
-    def runs(w: Column) -> Column:
-        start = F.struct(F.lit("").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("hit"))
-        def step(a: Column, x: Column) -> Column:
-            run = F.when(a["last"] == x, a["run"] + 1).otherwise(F.lit(1))
-            more = F.when(run == cutoff + 1, run).when(run > cutoff + 1, F.lit(1)).otherwise(F.lit(0))
-            return F.struct(x.alias("last"), run.alias("run"), (a["hit"] + more).alias("hit"))
-        return F.aggregate(w, start, step, lambda a: a["hit"])
-    found = F.sort_array(words(seq, size))
-    return runs(found) / F.nullif(F.length(seq) - (size - 1), F.lit(0))
+    """Share of the words of ``size`` that occur over ``cutoff`` times; null without words."""
+    return codes.of_text("double", pa.float64(), lambda text: codes.repeated_share(text, size, cutoff))(seq)
+
+
+def complexity(seq: Column, sizes: tuple[int, ...] = (2, 4, 6, 8)) -> Column:
+    """The product over ``sizes`` of the share of distinct words among all that a sequence could hold; null where it is shorter than a word."""
+    out = F.lit(1.0)
+    for k in sizes:
+        n = F.length(seq) - (k - 1)
+        out = out * F.when(n > 0, F.size(F.array_distinct(words(F.upper(seq), k))) / F.least(F.lit(float(4**k)), n.cast("double")))
+    return out

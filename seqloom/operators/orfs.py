@@ -2,42 +2,75 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.functions.sequence import rev_compl, translate_seq
+from seqloom.functions import codes
+
+
+STOP = ord("*")
+ORF = "strand string, shift long, beg long, end long, len long, aalen long, aa string"
+
+
+def _stretches(aa: np.ndarray, least: int) -> list[tuple[int, int, str]]:
+    """(first, last, amino acids) from 1 of the stretches between stops, with ``least`` or more known ones."""
+    stops = np.concatenate(([-1], np.flatnonzero(aa == STOP), [len(aa)]))
+    out = []
+    for k in np.flatnonzero(np.diff(stops) > least).tolist():
+        lo, hi = int(stops[k]) + 1, int(stops[k + 1])
+        own = aa[lo:hi]
+        own = own[own != codes.GAP]
+        if len(own) >= least:
+            out.append((lo + 1, hi, own.tobytes().decode()))
+    return out
+
+
+def _frames(text: str, least: int, strands: str, shifts: int) -> list[tuple]:
+    """Rows of ORF for one sequence, whose frames are read off base codes that are computed once a strand."""
+    seq, out = codes.symbols(text), []
+    for strand in strands:
+        own = codes.base_codes(seq if strand == "+" else codes.opposite(seq))
+        for shift in range(shifts):
+            for first, last, aa in _stretches(codes.codons(own, shift), least):
+                beg, end = 3 * first - 2 + shift, 3 * last + shift
+                place = (beg, end) if strand == "+" else (len(seq) - beg + 1, len(seq) - end + 1)
+                out.append((strand, shift, *place, end - beg + 1, len(aa), aa))
+    return out
 
 
-def _stretches(frames: DataFrame, least: int) -> DataFrame:
-    """``frames`` (.., aa) to one row for each stretch of ``least`` or more amino acids: (.., first, last, aa)."""
-    keys = [c for c in frames.columns if c != "aa"]
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int,aa:string>>").alias("out"))
+def _found(seqs: DataFrame, least: int, strands: str, shifts: int) -> DataFrame:
+    """(name, strand, shift, beg, end, len, aalen, aa); nothing is shuffled."""
+    schema = pa.schema([("strand", pa.string()), *((c, pa.int64()) for c in ("shift", "beg", "end", "len", "aalen")), ("aa", pa.string())])
 
-    def step(a, piece):
-        n = F.length(piece)
-        own = F.struct((a["at"] + 1).cast("int").alias("first"), (a["at"] + n).cast("int").alias("last"), F.replace(piece, F.lit("-"), F.lit("")).alias("aa"))
-        out = F.when(n >= least, F.array_append(a["out"], own)).otherwise(a["out"])
-        return F.struct((a["at"] + n + 1).cast("int").alias("at"), out.alias("out"))
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                at, rows = [], []
+                for i, text in enumerate(part.column(1).to_pylist()):
+                    own = _frames(text or "", least, strands, shifts)
+                    at += [i] * len(own)
+                    rows += own
+                if rows:
+                    cols = [pa.array(c, f.type) for c, f in zip(zip(*rows, strict=True), schema, strict=True)]
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at, pa.int32())), *cols], ["name", *schema.names])
 
-    found = F.aggregate(F.split("aa", r"\*"), start, step, lambda a: a["out"])
-    out = frames.select(*keys, F.explode(found).alias("o")).select(*keys, "o.first", "o.last", "o.aa")
-    return out.where(F.length("aa") >= least)
+    kind = seqs.schema["name"].dataType.simpleString()
+    return seqs.select("name", "seq").mapInArrow(kernel, f"name {kind}, {ORF}")
 
 
 def frame_zero(seqs: DataFrame, least: int = 25) -> DataFrame:
     """(name, beg, end, aa): stretches in frame 0 with nucleotide coordinates."""
-    found = _stretches(seqs.select("name", translate_seq(F.col("seq")).alias("aa")), least)
-    return found.select("name", (3 * F.col("first") - 2).cast("long").alias("beg"), (3 * F.col("last")).cast("long").alias("end"), "aa")
+    return _found(seqs, least, "+", 1).select("name", "beg", "end", "aa")
 
 
 def six_frames(seqs: DataFrame, least: int = 25) -> DataFrame:
     """(name, strand, shift, beg, end, len, aalen, aa) in all six frames; beg > end on the minus strand."""
-    both = seqs.select("name", F.length("seq").alias("n"), F.explode(F.create_map(F.lit("+"), F.col("seq"), F.lit("-"), rev_compl(F.col("seq")))).alias("strand", "s"))
-    frames = both.withColumn("shift", F.explode(F.array(*[F.lit(k) for k in range(3)])))
-    found = _stretches(frames.select("name", "n", "strand", "shift", translate_seq(F.substr("s", F.col("shift") + 1)).alias("aa")), least)
-    beg, end = 3 * F.col("first") - 2 + F.col("shift"), 3 * F.col("last") + F.col("shift")
-    mirrored = lambda x: F.when(F.col("strand") == "-", F.col("n") - x + 1).otherwise(x).cast("long")
-    return found.select("name", "strand", F.col("shift").cast("long").alias("shift"), mirrored(beg).alias("beg"), mirrored(end).alias("end"), (end - beg + 1).cast("long").alias("len"), F.length("aa").cast("long").alias("aalen"), "aa")
+    return _found(seqs, least, "+-", 3)
 
 
 def best(orfs: DataFrame, n: int = 1) -> DataFrame:

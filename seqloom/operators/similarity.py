@@ -2,26 +2,52 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from seqloom.functions import codes
 from seqloom.functions.sequence import rev_compl, words
 from seqloom.operators.components import connected_components
+from seqloom.plans.groups import pair_blocks
 
 
 def dots(pairs: DataFrame, size: int = 10, matches: int = 9) -> DataFrame:
     """(id, i, j, n): windows of s1 and s2 that agree in ``matches`` or more of ``size`` places.
 
-    Equal symbols of a diagonal meet first; only windows that hold one are counted.
+    Each pair is compared where it lies, with sums along diagonals; symbols may be nucleotides or amino acids.
     """
-    at = lambda s, p: F.posexplode(F.split(s, "")).alias(p, "c")
-    a = pairs.select("id", F.length("s1").alias("n1"), F.length("s2").alias("n2"), at("s1", "x"))
-    b = pairs.select("id", at("s2", "y"))
-    hit = a.join(b, ["id", "c"]).select("id", "n1", "n2", "x", "y")
-    shifted = hit.withColumn("k", F.explode(F.sequence(F.lit(0), F.lit(size - 1))))
-    win = shifted.select("id", (F.col("x") - F.col("k") + 1).alias("i"), (F.col("y") - F.col("k") + 1).alias("j"), "n1", "n2")
-    win = win.where((F.col("i") >= 1) & (F.col("j") >= 1) & (F.col("i") + size - 1 <= F.col("n1")) & (F.col("j") + size - 1 <= F.col("n2")))
-    return win.groupBy("id", "i", "j").agg(F.count("*").alias("n")).where(F.col("n") >= matches).select("id", F.col("i").cast("long").alias("i"), F.col("j").cast("long").alias("j"), "n")
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                found = [codes.windows(a or "", b or "", size, matches) for a, b in zip(part.column(1).to_pylist(), part.column(2).to_pylist(), strict=True)]
+                at = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+                if len(at):
+                    cols = [pa.array(np.concatenate(c).astype(np.int64)) for c in zip(*found, strict=True)]
+                    yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(at)), *cols], ["id", "i", "j", "n"])
+
+    kind = pairs.schema["id"].dataType.simpleString()
+    return pairs.select("id", "s1", "s2").mapInArrow(kernel, f"id {kind}, i long, j long, n long")
+
+
+def self_dots(seqs: DataFrame, size: int = 15, matches: int = 12) -> DataFrame:
+    """(id, i, j, n): windows of each sequence (id, seq) that agree with another place of its own, either strand; i < j forward."""
+    pairs = seqs.select("id", F.col("seq").alias("s1"), F.col("seq").alias("s2"))
+    return dots_both_strands(pairs, size, matches).where((F.col("n") < 0) | (F.col("i") < F.col("j")))
+
+
+def dot_grid(seqs: DataFrame, size: int = 15, matches: int = 12) -> DataFrame:
+    """(id1, id2, i, j, n): dots of every pair of the sequences (grp, id, seq) of a group, id1 < id2."""
+    dealt = pair_blocks(seqs.select("grp", "id", "seq"), "grp", "id", 64)
+    a = dealt.select("grp", "lo", "hi", F.col("own").alias("oa"), F.col("id").alias("id1"), F.col("seq").alias("s1"))
+    b = dealt.select("grp", "lo", "hi", F.col("own").alias("ob"), F.col("id").alias("id2"), F.col("seq").alias("s2"))
+    both = a.join(b, ["grp", "lo", "hi"]).where("id1 < id2 and (lo = hi or oa <> ob)")
+    return dots(both.select(F.struct("id1", "id2").alias("id"), "s1", "s2"), size, matches).select("id.id1", "id.id2", "i", "j", "n")
 
 
 def dots_both_strands(pairs: DataFrame, size: int = 15, matches: int = 12) -> DataFrame:
@@ -61,18 +87,21 @@ def kmer_distance(rows: DataFrame, size: int = 7) -> DataFrame:
     shared = a.join(b, (F.col("a.aln") == F.col("b.aln")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.row") < F.col("b.row")))
     shared = shared.groupBy(F.col("a.aln").alias("aln"), F.col("a.row").alias("i"), F.col("b.row").alias("j")).agg(F.sum(F.least("a.n", "b.n")).alias("m"))
     own = s.select("aln", F.col("row"), F.length("seq").alias("len"), F.greatest(F.length("seq") - (size - 1), F.lit(0)).alias("k"))
-    i, j = own.toDF("aln", "i", "li", "ki"), own.toDF("aln", "j", "lj", "kj")
-    pairs = i.join(j, "aln").where("i < j").join(shared, ["aln", "i", "j"], "left")
+    # A large alignment's rows meet in pairs of blocks, so no task holds all its pairs.
+    dealt = pair_blocks(own, "aln", "row")
+    i = dealt.select("aln", "lo", "hi", F.col("own").alias("oi"), F.col("row").alias("i"), F.col("len").alias("li"), F.col("k").alias("ki"))
+    j = dealt.select("aln", "lo", "hi", F.col("own").alias("oj"), F.col("row").alias("j"), F.col("len").alias("lj"), F.col("k").alias("kj"))
+    pairs = i.join(j, ["aln", "lo", "hi"]).where("i < j and (lo = hi or oi <> oj)").join(shared, ["aln", "i", "j"], "left")
     return pairs.select("aln", "i", "j", F.round((F.col("ki") + F.col("kj") - 2 * F.coalesce("m", F.lit(0))) / F.greatest("li", "lj"), 9).alias("d"))
 
 
 def clusters(distances: DataFrame, cutoff: float) -> DataFrame:
     """(aln, row, cluster): components of the rows at most ``cutoff`` apart, named by their first row."""
-    key = lambda r: F.col("aln") * (1 << 20) + F.col(r)
-    near = distances.where(F.col("d") <= cutoff).select(key("i").alias("src"), key("j").alias("dst"))
+    node = lambda r: F.struct(F.col("aln").alias("aln"), F.col(r).cast("long").alias("row"))
+    near = distances.where(F.col("d") <= cutoff).select(node("i").alias("src"), node("j").alias("dst"))
     found = connected_components(near)
     rows = distances.select("aln", F.explode(F.array("i", "j")).alias("row")).distinct()
-    return rows.withColumn("node", key("row")).join(found, "node", "left").select("aln", "row", F.coalesce(F.col("component") % (1 << 20), F.col("row")).alias("cluster"))
+    return rows.withColumn("node", node("row")).join(found, "node", "left").select("aln", "row", F.coalesce("component.row", "row").alias("cluster"))
 
 
 def seed_hits(queries: DataFrame, targets: DataFrame, size: int = 11, gap: int = 20, least: int = 20) -> DataFrame:

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seqloom.functions.sequence import split_seq
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 CYCLED = ("ACGT" * 7)[:26]
 WIDTH = 100
@@ -30,8 +32,8 @@ def aligned(spark: SparkSession, d: str, width: int = WIDTH) -> DataFrame:
     text = F.regexp_replace(F.lower("text"), "[^a-z]", "-")
     gapped = F.translate(text, LETTERS, CYCLED)
     rows = _read(spark, d, "documents").select(F.col("doc_id").alias("aln"), gapped.alias("g")).where(F.length("g") > 0)
-    rows = rows.withColumn("row", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.length("g") - 1) / width))))
-    return rows.select("aln", "row", F.rpad(F.substr("g", (F.col("row") * width + 1).cast("int"), F.lit(width)), width, "-").alias("seq"))
+    rows = rows.select("aln", F.posexplode(split_seq(F.col("g"), width)).alias("row", "piece"))
+    return rows.select("aln", F.col("row").cast("long").alias("row"), F.rpad("piece", width, "-").alias("seq"))
 
 
 def positions(spark: SparkSession, d: str) -> DataFrame:

@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 def solve(df: DataFrame, keys: list[str], kernel: Callable[[tuple, list[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
@@ -38,3 +41,38 @@ def solve(df: DataFrame, keys: list[str], kernel: Callable[[tuple, list[tuple]],
 
     dealt = df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys)
     return dealt.mapInPandas(run, schema)
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int = 1) -> Iterator[pa.Table]:
+    """Rows that come sorted by their first ``keys`` columns, as one table for each key; one group is held at a time."""
+    held: list[pa.RecordBatch] = []
+    last: tuple = ()
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy(zero_copy_only=False) for k in range(keys)]
+        new = np.zeros(batch.num_rows, dtype=bool)
+        for c in cols:
+            new[1:] |= c[1:] != c[:-1]
+        at = [0, *np.flatnonzero(new).tolist(), batch.num_rows]
+        for lo, hi in zip(at[:-1], at[1:], strict=True):
+            key = tuple(c[lo] for c in cols)
+            if held and key != last:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(batch.slice(lo, hi - lo))
+            last = key
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def pair_blocks(rows: DataFrame, key: str, member: str, size: int = 256) -> DataFrame:
+    """``rows`` with (lo, hi, own): each member of a group goes to the pairs of blocks that hold its block.
+
+    Two members of one group meet in exactly one pair of blocks; a pair of blocks holds about
+    2 ``size`` members, however large the group is.
+    """
+    parts = rows.groupBy(key).agg(F.ceil(F.count("*") / size).cast("int").alias("parts"))
+    dealt = rows.join(parts, key).withColumn("own", F.pmod(F.xxhash64(member), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other", "parts")
