@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators.intervals import union_length
-from seqloom.plans.groups import solve
+from seqloom.plans.groups import row_numbers, solve
 
 PAIR = ["q_id", "s_id", "strand"]
 
@@ -126,8 +126,8 @@ def chain_pair(rows: list[tuple], q_len: int, coverage: float, similarity: float
     """Merged hits of one query, target and strand: (q_beg, q_end, s_beg, s_end, pident, cover).
 
     ``rows`` are partial hits (q_beg, q_end, s_beg, s_end, pident) on a forward target axis.
-    Nested hits fall, chains break where the target gap is too wide or the query order is not kept, and
-    a chain stays if its own cover, its identity and the span on the target fit.
+    Nested hits fall, chains break where the target gap is too wide, a hit ends before the one before it
+    begins or both its ends lie before those of that one on the query, and a chain stays if its own cover, its identity and the span on the target fit.
     """
     if len(rows) < 2:
         return []
@@ -139,7 +139,8 @@ def chain_pair(rows: list[tuple], q_len: int, coverage: float, similarity: float
     chains: list[list[tuple]] = []
     for i, r in enumerate(kept):
         p = kept[i - 1] if i else None
-        if p is None or r[2] - p[3] - 1 > q_len * (1 - coverage) or r[1] < p[0]:
+        back = p is not None and (r[1] < p[0] or (r[0] < p[0] and r[1] < p[1]))
+        if p is None or back or r[2] - p[3] - 1 > q_len * (1 - coverage):
             chains.append([])
         chains[-1].append(r)
     out = []
@@ -184,8 +185,8 @@ def merged_hits(hits: DataFrame, similarity: float, coverage: float | None = Non
 
 def to_gff(hits: DataFrame) -> DataFrame:
     """GFF rows of merged hits, ids numbered in the order of query, target and place, sorted by target and begin."""
-    number = F.row_number().over(Window.orderBy("q_id", "s_id", "q_beg", "s_beg", "s_end", "pident"))
-    note = F.format_string("ID=Q%d;query=%s;length=%d;similarity=%.2f;coverage=%.2f", number, F.col("q_id").cast("string"), F.col("q_len"), F.col("pident"), F.col("cover") / F.col("q_len"))
+    hits = row_numbers(hits, ["q_id", "s_id", "q_beg", "s_beg", "s_end", "pident"], "__number")
+    note = F.format_string("ID=Q%d;query=%s;length=%d;similarity=%.2f;coverage=%.2f", F.col("__number"), F.col("q_id").cast("string"), F.col("q_len"), F.col("pident"), F.col("cover") / F.col("q_len"))
     return hits.select(
         F.col("s_id").cast("string").alias("chrom"), F.lit("seqloom").alias("source"), F.lit("hit").alias("type"), F.least("s_beg", "s_end").alias("beg"), F.greatest("s_beg", "s_end").alias("end"),
         F.lit(".").alias("score"), "strand", F.lit(".").alias("phase"), note.alias("attributes"),

@@ -74,24 +74,33 @@ def greedy(hits: list[Hit], most: float = 0.2) -> list[Hit]:
     return out
 
 
+def middle(h: Hit) -> tuple:
+    """The order in which hits may follow each other: by their centres (twice them) on both axes."""
+    return h[0] + h[1], h[2] + h[3], h
+
+
 def gap_cost(a: Hit, b: Hit, share: float = 0.5) -> float:
-    """The sum of both gaps from ``a`` to a later ``b``, 1 at least; infinite if they do not go up together or overlap by over ``share``."""
-    if not (a[0] <= b[0] and a[2] <= b[2]) or a == b:
+    """The sum of both gaps from ``a`` to ``b``, 1 at least; a gap is the distance of the centres less both half lengths.
+
+    Infinite if a centre goes back, or if an overlap (a gap below 0) is over ``share`` of either's length.
+    """
+    if a == b or a[0] + a[1] > b[0] + b[1] or a[2] + a[3] > b[2] + b[3]:
         return float("inf")
-    cost = 0
+    cost = 0.0
     for k in (0, 2):
-        gap = b[k] - a[k + 1] - 1
-        if -gap > share * min(a[k + 1] - a[k] + 1, b[k + 1] - b[k] + 1):
+        la, lb = a[k + 1] - a[k], b[k + 1] - b[k]
+        gap = (abs(b[k] + b[k + 1] - a[k] - a[k + 1]) - la - lb) / 2
+        if gap < 0 and -gap > share * min(la, lb):
             return float("inf")
-        cost += max(gap, 0)
-    return max(cost, 1)
+        cost += gap
+    return cost if cost > 0 else 1
 
 
 def shortest(hits: list[Hit]) -> list[Hit]:
-    """The chain of least total gap from before the first to after the last hit: hits in order of their begins form an acyclic graph."""
+    """The chain of least total gap from before the first to after the last hit: hits in order of their centres form an acyclic graph."""
     if not hits:
         return []
-    order = sorted(set(hits), key=lambda h: (h[0], h[2], h[1], h[3]))
+    order = sorted(set(hits), key=middle)
     lo, hi = (min(h[0] for h in order), min(h[2] for h in order)), (max(h[1] for h in order), max(h[3] for h in order))
     cost = [max(h[0] - lo[0] + h[2] - lo[1], 1) for h in order]
     last = [-1] * len(order)
@@ -134,36 +143,40 @@ def shortest_chains(hits: DataFrame) -> DataFrame:
 
 
 # --- long breaks ----------------------------------------------------------------------------------
+def _groups(members: list[tuple[int, int]]) -> list[list[int]]:
+    """[begin, end] of what intervals that share a position cover together."""
+    out: list[list[int]] = []
+    for b, e in sorted(members):
+        if out and b <= out[-1][1]:
+            out[-1][1] = max(out[-1][1], e)
+        else:
+            out.append([b, e])
+    return out
+
+
 def excluded(members: list[tuple[int, int]], most: int) -> list[tuple[int, int]]:
-    """Of intervals that merge into a group longer than ``most``: those to leave out so that all groups fit.
+    """Of intervals that merge into a group longer than ``most``: those to leave out so that groups stay below it.
 
-    The longest fall one by one until the rest fits; then those are taken back, shortest
-    first, with which it still does.
+    The longest fall one by one, one at least, until all groups of the rest are shorter than ``most``.  Then
+    those come back, longest first, that meet no group, or meet one that stays shorter than ``most`` with
+    them; so an interval that is too long by itself stays if it stands alone.
     """
-
-    def fits(rows: list[tuple[int, int]]) -> bool:
-        lo = hi = None
-        for b, e in sorted(rows):
-            if hi is not None and b <= hi:
-                hi = max(hi, e)
-            else:
-                lo, hi = b, e
-            if hi - lo + 1 > most:
-                return False
-        return True
-
-    kept, out = sorted(members, key=lambda m: (m[1] - m[0], m)), []
-    while kept and not fits(kept):
-        out.append(kept.pop())
-    for m in reversed(list(out)):
-        if fits([*kept, m]):
-            kept.append(m)
-            out.remove(m)
+    order = sorted(members, key=lambda m: (m[0] - m[1], m))
+    n = next((k for k in range(1, len(order)) if all(e - b + 1 < most for b, e in _groups(order[k:]))), len(order))
+    groups, out = _groups(order[n:]), []
+    for b, e in order[:n]:
+        met = [g for g in groups if g[0] <= e and g[1] >= b]
+        if not met:
+            groups.append([b, e])
+        elif len(met) == 1 and max(met[0][1], e) - min(met[0][0], b) + 1 < most:
+            met[0][:] = [min(met[0][0], b), max(met[0][1], e)]
+        else:
+            out.append((b, e))
     return sorted(out)
 
 
 def solve_long(intervals: DataFrame, most: int) -> DataFrame:
-    """(key, beg, end) of distinct intervals that are left out so that merged groups have at most ``most`` positions."""
+    """(key, beg, end) of distinct intervals that are left out so that merged groups have fewer than ``most`` positions."""
     by = Window.partitionBy("key").orderBy("beg", "end")
     reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
     g = intervals.select("key", "beg", "end").distinct().withColumn("new", F.when(F.col("beg") <= reach, 0).otherwise(1))
@@ -272,29 +285,24 @@ def star_alignments(rows: DataFrame) -> DataFrame:
 
 # --- masks and chromosomes --------------------------------------------------------------------------
 def unaligned(rows: list[str], most: float = 0.2) -> list[str]:
-    """Rows whose gap-free blocks fall, most diverse first, while over ``most`` of their columns hold other than one nucleotide.
+    """Rows whose gap-free blocks fall while over ``most`` of their columns hold other than one nucleotide.
 
-    After each block the columns are counted again; masked symbols become gaps.
+    Blocks are tried once each, in the order of that share at the start (ties by row and place); columns are
+    counted again after each block that falls.  Masked symbols become gaps.
     """
     mx = np.array([list(r) for r in rows]) if rows and rows[0] else np.zeros((0, 0), dtype="<U1")
     counts = np.array([(mx == x).sum(axis=0) for x in "ACGT"]) if mx.size else np.zeros((4, 0), int)
+    mixed = (counts > 0).sum(axis=0) != 1
     blocks = []
     for r in range(len(mx)):
         edges = np.flatnonzero(np.diff(np.concatenate(([0], (mx[r] != "-").astype(int), [0]))))
-        blocks += [(r, b, e) for b, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
-    begs, ends = np.array([b for _, b, _ in blocks], dtype=int), np.array([e for _, _, e in blocks], dtype=int)
-    live = np.ones(len(blocks), dtype=bool)
-    while live.any():
-        total = np.concatenate(([0], np.cumsum((counts > 0).sum(axis=0) != 1)))
-        share = np.where(live, (total[ends] - total[begs]) / (ends - begs), -1.0)
-        at = int(share.argmax())
-        if share[at] <= most:
-            break
-        live[at] = False
-        r, b, e = blocks[at]
-        for k, x in enumerate("ACGT"):
-            counts[k, b:e] -= mx[r, b:e] == x
-        mx[r, b:e] = "-"
+        blocks += [(-mixed[b:e].mean(), r, b, e) for b, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True)]
+    for share, r, b, e in sorted(blocks):
+        if -share > most and mixed[b:e].mean() > most:
+            for k, x in enumerate("ACGT"):
+                counts[k, b:e] -= mx[r, b:e] == x
+            mixed[b:e] = (counts[:, b:e] > 0).sum(axis=0) != 1
+            mx[r, b:e] = "-"
     return ["".join(r) for r in mx]
 
 

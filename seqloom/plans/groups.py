@@ -7,9 +7,11 @@ from collections.abc import Callable, Iterable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.plans.recovery import cut
+
 
 def solve(df: DataFrame, keys: list[str], kernel: Callable[[tuple, list[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
     """Rows that ``kernel(key, rows)`` gives for each group of ``keys``; ``rows`` hold the other columns in order.
@@ -76,3 +78,15 @@ def pair_blocks(rows: DataFrame, key: str, member: str, size: int = 256) -> Data
     dealt = rows.join(parts, key).withColumn("own", F.pmod(F.xxhash64(member), F.col("parts")).cast("int"))
     dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
     return dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("other", "parts")
+
+
+def row_numbers(df: DataFrame, order: list, name: str) -> DataFrame:
+    """``df`` with its rows numbered from 1 by ``order``: ranges are sorted on their own and counted, so no task holds all rows."""
+    ranged = cut(df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("__at", F.monotonically_increasing_id()))
+    part, here = F.shiftright("__at", 33), F.col("__at").bitwiseAND(F.lit((1 << 33) - 1))
+    # One row a partition.
+    counts = ranged.groupBy(part.alias("__part")).agg(F.count("*").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    base = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__base"))
+    out = ranged.withColumn("__part", part).join(F.broadcast(base), "__part")
+    return out.withColumn(name, F.col("__base") + here + 1).drop("__part", "__base", "__at")

@@ -13,6 +13,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from seqloom.plans.groups import row_numbers
+
 HITS = "q_id string, q_beg long, q_end long, s_beg long, s_end long, pident double, aln_len long, s_id string, q_len long, s_len long"
 GFF = "chrom string, source string, type string, beg long, end long, score string, strand string, phase string, attributes string"
 BED = "chrom string, beg long, end long, name string, score string, strand string"
@@ -31,27 +33,34 @@ def _has_empty_file(spark: SparkSession, path: str) -> bool:
 
 
 def read_fasta(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
-    """(file, number, name, seq): records of FASTA files, a file to a task; blanks and tabs in names become ``_``.
+    """(file, number, name, seq): records of FASTA files of any size; blanks and tabs in names become ``_``.
 
+    Files are read in splits: headers are counted for each split, and a record's lines meet by its number.
     ``strict`` raises on an empty file, text before the first header and records without a
     sequence; otherwise these give no record, or an empty sequence.
     """
     if strict and _has_empty_file(spark, path):
         raise ValueError(f"no records in an empty file below {path}")
-    raw = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("file"), F.regexp_replace("value", "\r", "").alias("value"))
-    raw = raw.withColumn("parts", F.split(F.concat(F.lit("\n"), F.col("value")), "\n>"))
-    parts = raw.select("file", F.size("parts").alias("n"), F.posexplode("parts").alias("number", "part"))
-    lines = F.split("part", "\n", 2)
-    seq = F.regexp_replace(F.coalesce(F.get(lines, F.lit(1)), F.lit("")), "\\s", "")
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("at"), F.regexp_replace("value", "\r", "").alias("value"))
+    head = F.col("value").startswith(">").cast("long")
+    here = F.sum(head).over(Window.partitionBy("file", "split").orderBy("at").rowsBetween(Window.unboundedPreceding, 0))
+    before = F.sum("n").over(Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1))
+    base = lines.groupBy("file", "split").agg(F.sum(head).alias("n")).select("file", "split", F.coalesce(before, F.lit(0)).alias("base"))
+    known = lines.withColumn("here", here).join(base, ["file", "split"]).withColumn("number", F.col("base") + F.col("here"))
+    held = F.transform(F.array_sort(F.collect_list(F.struct("split", "at", "value"))), lambda x: x["value"])
+    parts = known.groupBy("file", "number").agg(held.alias("held"))
+    name = F.regexp_replace(F.substr(F.get("held", F.lit(0)), F.lit(2)), "[ \t]", "_")
+    body = F.when(F.col("number") > 0, F.slice("held", 2, F.size("held"))).otherwise(F.col("held"))
+    parts = parts.select("file", "number", name.alias("name"), F.regexp_replace(F.array_join(body, ""), "\\s", "").alias("seq"))
     keep = F.col("number") > 0
     if strict:  # guards stand in the filter, where the optimizer has to evaluate them
         fail = lambda what: F.raise_error(F.concat(F.lit(f"{what} in "), F.col("file"))).cast("boolean")
-        keep = F.when(F.col("n") == 1, fail("no header")).when((F.col("number") == 0) & (F.regexp_replace("part", "\\s", "") != ""), fail("no header at the start")).when((F.col("number") > 0) & (seq == ""), fail("no sequence")).otherwise(keep)
-    return parts.where(keep).select("file", F.col("number").cast("long").alias("number"), F.regexp_replace(F.get(lines, F.lit(0)), "[ \t]", "_").alias("name"), seq.alias("seq"))
+        keep = F.when((F.col("number") == 0) & (F.col("seq") != ""), fail("no header at the start")).when((F.col("number") > 0) & (F.col("seq") == ""), fail("no sequence")).otherwise(keep)
+    return parts.where(keep)
 
 
 def _text(lines: DataFrame, head: str, path: str, mode: str) -> None:
-    """Lines of one string column as text; every part file that has any begins with ``head``."""
+    """Lines of one string column as text; every part file that a task writes begins with ``head``."""
 
     def kernel(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         first = True
@@ -60,6 +69,8 @@ def _text(lines: DataFrame, head: str, path: str, mode: str) -> None:
                 first = False
                 yield pd.DataFrame({"value": [head]})
             yield pd.DataFrame({"value": pdf.iloc[:, 0]})
+        if first:
+            yield pd.DataFrame({"value": [head]})
 
     lines.toDF("value").mapInPandas(kernel, "value string").write.mode(mode).text(path)
 
@@ -71,12 +82,12 @@ def write_fasta(df: DataFrame, path: str, mode: str = "overwrite", name: str = "
 
 def named(df: DataFrame, prefix: str = "seq_", order: str = "number") -> DataFrame:
     """Sequences without names as prefix1, prefix2, .. by ``order``."""
-    return df.withColumn("name", F.concat(F.lit(prefix), F.row_number().over(Window.orderBy(order)).cast("string")))
+    return row_numbers(df, [order], "__number").withColumn("name", F.concat(F.lit(prefix), F.col("__number").cast("string"))).drop("__number")
 
 
 def read_hits(spark: SparkSession, path: str) -> DataFrame:
-    """A tabular hit file; an empty one gives no rows."""
-    return spark.read.csv(path, sep="\t", schema=HITS, comment="#")
+    """A tabular hit file, every line of it a row; an empty one gives no rows."""
+    return spark.read.csv(path, sep="\t", schema=HITS)
 
 
 def write_hits(df: DataFrame, path: str, mode: str = "overwrite") -> None:
@@ -88,7 +99,7 @@ def read_gff(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_gff(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Nine tab-separated columns; every part file starts with the version line."""
+    """Nine tab-separated columns; every part file that a task writes starts with the version line."""
     cols = [F.coalesce(F.col(c.split(" ")[0]).cast("string"), F.lit(".")) for c in GFF.split(", ")]
     _text(df.select(F.concat_ws("\t", *cols)), "##gff-version 3", path, mode)
 

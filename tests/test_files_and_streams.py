@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -25,10 +27,29 @@ def test_fasta(spark, tmp_path):
     assert [r["name"] for r in fs.named(df.drop("name")).collect()] == ["seq_1", "seq_2"]
 
 
+def test_fasta_in_splits(spark, tmp_path):
+    rng = random.Random(2)
+    want = {}
+    for f in ("a", "b"):
+        records = [(f"{f}{i}", ["".join(rng.choice("ACGT") for _ in range(60)) for _ in range(rng.randrange(1, 12))]) for i in range(80)]
+        (tmp_path / f"{f}.fasta").write_text("".join(f">{n}\n" + "\n".join(x) + "\n" for n, x in records))
+        want |= {(f, i): (n, "".join(x)) for i, (n, x) in enumerate(records, 1)}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1500")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    got = fs.read_fasta(spark, str(tmp_path / "*.fasta")).collect()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert {(r.file[-7], r.number): (r["name"], r.seq) for r in got} == want and len(got) == len(want)
+
+
 def test_tables(spark, tmp_path):
     gff = spark.createDataFrame([("c1", "s", "gene", 5, 9, ".", "+", ".", "ID=a;k=v")], fs.GFF)
     fs.write_gff(gff, str(tmp_path / "g"))
-    assert "##gff-version 3" in next((tmp_path / "g").glob("*.txt")).read_text()
+    for n, df in enumerate((gff, gff.repartition(3), gff.where("beg > 99"))):
+        fs.write_gff(df, str(tmp_path / f"g{n}"))
+        parts = list((tmp_path / f"g{n}").glob("*.txt"))
+        assert parts and all(p.read_text().startswith("##gff-version 3\n") for p in parts)
+        assert fs.read_gff(spark, str(tmp_path / f"g{n}")).count() == df.count()
     assert fs.attributes(fs.read_gff(spark, str(tmp_path / "g"))).first().fields == {"ID": "a", "k": "v"}
     vcf = spark.createDataFrame([("1", 7, "A", "C,G", "0/0\t2/2")], "chrom string, pos long, ref string, alt string, gts string")
     fs.write_vcf(vcf, str(tmp_path / "v"), ["x", "y"])

@@ -30,7 +30,7 @@ def test_shortest_chain_is_best():
     from itertools import combinations
 
     for _ in range(60):
-        hits = sorted(set(random_hits(rng, 6)), key=lambda h: (h[0], h[2], h[1], h[3]))
+        hits = sorted(set(random_hits(rng, 6)), key=ke.middle)
         lo, hi = (min(h[0] for h in hits), min(h[2] for h in hits)), (max(h[1] for h in hits), max(h[3] for h in hits))
 
         def cost(chain, lo=lo, hi=hi):
@@ -45,16 +45,114 @@ def test_greedy():
     assert ke.greedy([(1, 10, 1, 10), (2, 9, 30, 37), (11, 20, 5, 14), (11, 20, 11, 20)]) == [(1, 10, 1, 10), (11, 20, 11, 20)]
 
 
-def test_excluded_groups_fit():
+def test_gap_cost():
+    assert ke.gap_cost((1, 10, 1, 10), (15, 20, 13, 18)) == 5 + 3
+    assert ke.gap_cost((1, 10, 1, 10), (10, 20, 10, 20)) == 1
+    assert ke.gap_cost((1, 11, 1, 11), (8, 18, 31, 41)) == 20 - 3
+    assert ke.gap_cost((1, 11, 1, 11), (5, 15, 31, 41)) == float("inf")  # over half of it overlaps
+    assert ke.gap_cost((1, 10, 50, 60), (15, 20, 13, 18)) == float("inf")
+
+
+def plain_excluded(members, most):
+    """By painted positions: what meets is what shares a painted run."""
+
+    def runs(rows):
+        cells = {x for b, e in rows for x in range(b, e + 1)}
+        return [(b, min(x for x in range(b, max(cells) + 2) if x not in cells) - 1) for b in sorted(cells) if b - 1 not in cells]
+
+    rest, taken = sorted(members, key=lambda m: (-(m[1] - m[0]), m)), []
+    while True:
+        taken.append(rest.pop(0))
+        if all(e - b + 1 < most for b, e in runs(rest) if rest):
+            break
+    boxes, out = [list(x) for x in merged_by_touch(rest)], []
+    for b, e in taken:
+        hit = [x for x in boxes if set(range(x[0], x[1] + 1)) & set(range(b, e + 1))]
+        if len(hit) == 0:
+            boxes.append([b, e])
+        elif len(hit) == 1 and len(range(min(b, hit[0][0]), max(e, hit[0][1]) + 1)) < most:
+            hit[0][0], hit[0][1] = min(b, hit[0][0]), max(e, hit[0][1])
+        else:
+            out.append((b, e))
+    return sorted(out)
+
+
+def merged_by_touch(rows):
+    groups = [set(range(b, e + 1)) for b, e in rows]
+    while any(x & y for i, x in enumerate(groups) for y in groups[i + 1 :]):
+        x = next(x for i, x in enumerate(groups) if any(x & y for y in groups[i + 1 :]))
+        groups.remove(x)
+        y = next(y for y in groups if x & y)
+        y |= x
+    return [(min(g), max(g)) for g in groups]
+
+
+def test_excluded_by_brute_force():
     rng = random.Random(3)
-    for _ in range(60):
+    for _ in range(200):
         members = sorted({(b := rng.randrange(60), b + rng.randrange(12)) for _ in range(14)})
-        gone = ke.excluded(members, 15)
-        reach, start = None, None
-        for b, e in sorted(set(members) - set(gone)):
-            start, reach = (start, max(reach, e)) if reach is not None and b <= reach else (b, e)
-            assert reach - start + 1 <= 15
-    assert ke.excluded([(1, 5), (3, 9)], 100) == []
+        assert all(e - b + 1 < 15 for b, e in members)
+        # Adjacent runs of painted positions that share none are groups of their own, so place members apart by doubling.
+        spread = [(2 * b, 2 * e) for b, e in members]
+        assert ke.excluded(spread, 30) == plain_excluded(spread, 30)
+    assert ke.excluded([(1, 20), (30, 32), (31, 34)], 15) == []
+
+
+def plain_chains(rows, q_len, coverage, similarity):
+    """The rule step by step over a table: one list of rows, neighbours looked at in every pass."""
+    rows = sorted(rows, key=lambda r: (r[2], -r[3], r[0], r[1]))
+    if len(rows) < 2:
+        return []
+    while True:
+        nested = {i for i in range(1, len(rows)) if rows[i][0] >= rows[i - 1][0] and rows[i][1] <= rows[i - 1][1] and rows[i][2] >= rows[i - 1][2] and rows[i][3] <= rows[i - 1][3]}
+        if not nested:
+            break
+        rows = [r for i, r in enumerate(rows) if i not in nested]
+    number, chains = 0, {}
+    for i, r in enumerate(rows):
+        if i:
+            p = rows[i - 1]
+            number += int(r[2] - p[3] - 1 > q_len * (1 - coverage) or r[1] < p[0] or (r[0] < p[0] and r[1] < p[1]))
+        chains.setdefault(number, []).append(r)
+    out = []
+    for own in chains.values():
+        if len(own) == 1:
+            continue
+        own = sorted(own, key=lambda r: (r[0], -r[1], r[2], r[3]))
+        while True:
+            nested = {i for i in range(1, len(own)) if own[i][0] >= own[i - 1][0] and own[i][1] <= own[i - 1][1]}
+            if not nested:
+                break
+            own = [r for i, r in enumerate(own) if i not in nested]
+        cover = [r[1] - r[0] + 1 for r in own]
+        for i in range(len(own) - 1):
+            cover[i] += min(0, own[i + 1][0] - own[i][1] - 1)
+        ident = sum(r[4] / 100 * c for r, c in zip(own, cover, strict=True)) / sum(cover) * 100
+        lo, hi = min(r[2] for r in own), max(r[3] for r in own)
+        if sum(cover) / q_len > coverage and ident > similarity * 100 and (hi - lo + 1) / q_len > coverage and q_len / (hi - lo + 1) > coverage:
+            out.append((min(r[0] for r in own), max(r[1] for r in own), lo, hi, ident, sum(cover)))
+    return out
+
+
+def test_chains_by_brute_force():
+    rng = random.Random(9)
+    some = 0
+    for _ in range(4000):
+        rows = [(a, a + k, c := max(1, a + rng.randrange(-15, 30)), c + k + rng.randrange(-3, 4), float(rng.randrange(70, 100))) for a, k in ((rng.randrange(1, 80), rng.randrange(5, 40)) for _ in range(rng.randrange(7)))]
+        got, want = ht.chain_pair(rows, 80, 0.5, 0.8), plain_chains(rows, 80, 0.5, 0.8)
+        some += len(want)
+        assert len(got) == len(want)
+        assert all(g[:4] == w[:4] and g[5] == w[5] and abs(g[4] - w[4]) < 1e-9 for g, w in zip(got, want, strict=True))
+    assert some > 200
+    assert ht.chain_pair([(40, 80, 1, 41, 95.0), (20, 60, 42, 82, 95.0)], 80, 0.6, 0.8) == []
+
+
+def test_numbers_of_rows(spark):
+    from seqloom.plans.groups import row_numbers
+
+    df = spark.range(1000).selectExpr("(id * 7919) % 1009 AS v").repartition(6)
+    got = [(r.v, r.n) for r in row_numbers(df, ["v"], "n").orderBy("v").collect()]
+    assert [n for _, n in got] == list(range(1, 1001))
 
 
 def plain_score(a, b):
