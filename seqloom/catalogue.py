@@ -6,8 +6,6 @@ sequences, alignments, intervals, hits, coordinate maps and graphs.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,24 +23,11 @@ from seqloom.operators import similarity as si
 from seqloom.operators import variants as va
 from seqloom.operators.components import connected_components
 from seqloom.plans import fixtures as fx
+from seqloom.registry import ORACLES, QUERIES, add, on  # noqa: F401
 
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLES: dict[str, str] = {}
 GENOMES = list(range(fx.ACCESSIONS))
 
 
-def add(name: str, run: Query, sql: str | None = None, *needs: str) -> None:
-    """Register ``run``; ``sql`` follows the recipes named by ``needs``."""
-    QUERIES[name] = run
-    if sql is not None:
-        ORACLES[name] = ("WITH RECURSIVE " + ",\n ".join(fx.SQL.get(n, n) for n in needs) + "\n" if needs else "") + sql
-
-
-def on(fixture, then) -> Query:
-    return lambda spark, d: then(fixture(spark, d))
-
-
 def wide(spark: SparkSession, d: str) -> DataFrame:
     return fx.aligned(spark, d, fx.WIDE)
 

@@ -101,7 +101,7 @@ def windows(a: str, b: str, size: int, least: int, rows: int = 1 << 12) -> tuple
         part = x[at : at + min(rows, max(1, (1 << 24) // m)) + size - 1]
         k = len(part) - size + 1
         same = part[:, None] == y[None, :]
-        agree = np.zeros((k, m), dtype=np.uint16)
+        agree = np.zeros((k, m), dtype=np.uint8 if size < 256 else np.uint32)
         for s in range(size):
             agree += same[s : s + k, s : s + m]
         i, j = np.nonzero(agree >= least)

@@ -102,10 +102,12 @@ def repeat_score(seq: Column, size: int = 11, cutoff: int = 2) -> Column:
     return codes.of_text("double", pa.float64(), lambda text: codes.repeated_share(text, size, cutoff))(seq)
 
 
-def complexity(seq: Column, sizes: tuple[int, ...] = (2, 4, 6, 8)) -> Column:
-    """The product over ``sizes`` of the share of distinct words among all that a sequence could hold; null where it is shorter than a word."""
-    out = F.lit(1.0)
-    for k in sizes:
-        n = F.length(seq) - (k - 1)
-        out = out * F.when(n > 0, F.size(F.array_distinct(words(F.upper(seq), k))) / F.least(F.lit(float(4**k)), n.cast("double")))
-    return out
+def single_symbols(seq: Column) -> Column:
+    """The symbols of a sequence as an array."""
+    return F.filter(F.split(seq, ""), lambda x: x != "")
+
+
+def checked_symbols(symbols: Column) -> Column:
+    """An array of symbols as it is; an element that is not one symbol raises."""
+    bad = F.exists(symbols, lambda x: F.length(x) != 1)
+    return F.when(bad, F.raise_error(F.lit("an element is not a single symbol")).cast("array<string>")).otherwise(symbols)

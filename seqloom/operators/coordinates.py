@@ -167,3 +167,53 @@ def translocated(items: DataFrame, axis: Column | str = "pan") -> DataFrame:
     by = Window.partitionBy("chr").orderBy(axis)
     new = F.when(F.col("id") == F.lag("id").over(by), 0).otherwise(1)
     return items.withColumn("__new", new).groupBy("chr", "id").agg(F.sum("__new").alias("runs")).where("runs > 1")
+
+
+def to_pan(items: DataFrame, aln: DataFrame, acc: int) -> DataFrame:
+    """(chr, id, beg, end, strand) of one genome's intervals on the pan axis; both ends must be mapped.
+
+    Where the genome is inverted ends and strand turn; ends of different directions are lost.
+    """
+    m = aln.where(F.col("acc") == acc).select("chr", F.abs("own").alias("x"), "pan", F.signum("own").cast("int").alias("d"))
+    b = m.select("chr", F.col("x").alias("beg"), F.col("pan").alias("pb"), F.col("d").alias("db"))
+    e = m.select("chr", F.col("x").alias("end"), F.col("pan").alias("pe"), F.col("d").alias("de"))
+    both = items.join(b, ["chr", "beg"]).join(e, ["chr", "end"]).where("db = de")
+    turned = F.when(F.col("db") > 0, F.col("strand")).when(F.col("strand") == "+", "-").otherwise("+")
+    return both.select("chr", "id", F.least("pb", "pe").alias("beg"), F.greatest("pb", "pe").alias("end"), turned.alias("strand"))
+
+
+def sampled(aln: DataFrame, acc: int, step: int = 10_000) -> DataFrame:
+    """(chr, pan, own): every ``step``-th pan position from the first on that a genome holds."""
+    return aln.where((F.col("acc") == acc) & ((F.col("pan") - 1) % step == 0)).select("chr", "pan", "own")
+
+
+def break_kinds(found: DataFrame, short: int = 50, large: int = 15_000) -> DataFrame:
+    """``found`` (single, idx_beg, idx_end, len_acc, len_mean) with kind: singleton, short, large or extra; others have none."""
+    one, inner = F.col("single") == 1, F.col("idx_end") - F.col("idx_beg") - 1
+    kind = F.when(one & (inner == 0), "singleton").when(~one & (F.col("len_mean") > large), "extra").when(~one & (F.col("len_acc") <= short), "short").when(~one & (F.col("len_acc") > short), "large")
+    return found.withColumn("kind", kind)
+
+
+def directed(found: DataFrame) -> DataFrame:
+    """Blocks (pan_b, pan_e, own_b, own_e, dir) with both pairs of ends swapped where ``dir`` is 1."""
+    back = F.col("dir") == 1
+    pick = lambda a, b: F.when(back, F.col(b)).otherwise(F.col(a))
+    return found.withColumns({"pan_b": pick("pan_b", "pan_e"), "pan_e": pick("pan_e", "pan_b"), "own_b": pick("own_b", "own_e"), "own_e": pick("own_e", "own_b")})
+
+
+def split_edges(found: DataFrame, n: int = 5) -> DataFrame:
+    """Blocks cut into ``n`` parts of equal share on both axes, as (.., part, pan_b, pan_e, own_b, own_e) by linear interpolation."""
+    at = found.withColumn("part", F.explode(F.sequence(F.lit(1), F.lit(n))))
+    on = lambda a, b, k: F.col(a) + (F.col(b) - F.col(a)) * k / n
+    lo, hi = F.col("part") - 1, F.col("part")
+    return at.withColumns({"pan_b": on("pan_b", "pan_e", lo), "pan_e": on("pan_b", "pan_e", hi), "own_b": on("own_b", "own_e", lo), "own_e": on("own_b", "own_e", hi)})
+
+
+def split_turns(found: DataFrame, n: int = 5) -> DataFrame:
+    """``split_edges`` of the blocks whose direction differs from that of the block before them on a genome's axis; others stay whole as part 1."""
+    turn = F.col("dir") != F.lag("dir").over(Window.partitionBy(*AXIS).orderBy("pan_b"))
+    marked = found.withColumn("__turn", F.coalesce(turn, F.lit(False)))
+    whole = marked.where("NOT __turn").withColumn("part", F.lit(1))
+    cols = ["pan_b", "pan_e", "own_b", "own_e"]
+    whole = whole.withColumns({c: F.col(c).cast("double") for c in cols})
+    return split_edges(marked.where("__turn"), n).unionByName(whole).drop("__turn")

@@ -41,6 +41,12 @@ def self_dots(seqs: DataFrame, size: int = 15, matches: int = 12) -> DataFrame:
     return dots_both_strands(pairs, size, matches).where((F.col("n") < 0) | (F.col("i") < F.col("j")))
 
 
+def self_score(seqs: DataFrame, size: int = 10, matches: int = 9) -> DataFrame:
+    """(id, score): all dots of a sequence (id, seq) with itself, both strands and every window with itself, over its length."""
+    n = dots_both_strands(seqs.select("id", F.col("seq").alias("s1"), F.col("seq").alias("s2")), size, matches).groupBy("id").agg(F.count("*").alias("k"))
+    return seqs.join(n, "id", "left").select("id", F.round(F.coalesce("k", F.lit(0)) / F.nullif(F.length("seq"), F.lit(0)), 9).alias("score"))
+
+
 def dot_grid(seqs: DataFrame, size: int = 15, matches: int = 12) -> DataFrame:
     """(id1, id2, i, j, n): dots of every pair of the sequences (grp, id, seq) of a group, id1 < id2."""
     dealt = pair_blocks(seqs.select("grp", "id", "seq"), "grp", "id", 64)

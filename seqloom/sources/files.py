@@ -175,3 +175,56 @@ def common_prefix(texts: list[str]) -> str:
     lo, hi = min(texts), max(texts)
     n = next((i for i, (a, b) in enumerate(zip(lo, hi, strict=False)) if a != b), min(len(lo), len(hi)))
     return lo[:n]
+
+
+def _store(spark: SparkSession, path: str) -> tuple:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
+
+
+def check_file(spark: SparkSession, path: str) -> str:
+    """``path`` if it is a file of any store that Spark reads, else it raises."""
+    store, at = _store(spark, path)
+    if not store.exists(at) or not store.getFileStatus(at).isFile():
+        raise FileNotFoundError(path)
+    return path
+
+
+def check_dir(spark: SparkSession, path: str) -> str:
+    """``path`` if it is a folder, else it raises."""
+    store, at = _store(spark, path)
+    if not store.exists(at) or not store.getFileStatus(at).isDirectory():
+        raise NotADirectoryError(path)
+    return path
+
+
+def is_done(spark: SparkSession, log: str, word: str = "Done") -> bool:
+    """Whether a line of a step's log holds ``word`` in any case; a table that Spark has written is done by its marker file."""
+    store, at = _store(spark, log)
+    if not store.exists(at):
+        return False
+    if store.getFileStatus(at).isDirectory():
+        return bool(store.exists(spark._jvm.org.apache.hadoop.fs.Path(log + "/_SUCCESS")))
+    return not spark.read.text(log).where(F.contains(F.lower("value"), F.lit(word.lower()))).isEmpty()
+
+
+def prefixes(spark: SparkSession, path: str) -> list[str]:
+    """The names of a folder's files up to the first dot, sorted, each once."""
+    store, at = _store(spark, path)
+    return sorted({f.getPath().getName().split(".")[0] for f in store.listStatus(at) if f.isFile() and f.getPath().getName()[0] not in "._"})
+
+
+def write_map(aln: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """A coordinate map as a store with one folder a genome, so that reading one touches no other."""
+    aln.write.mode(mode).partitionBy("acc").parquet(path)
+
+
+def read_map(spark: SparkSession, path: str, acc=None) -> DataFrame:
+    """(chr, acc, pan, own) of a store, or of one genome of it."""
+    found = spark.read.parquet(path).select("chr", "acc", "pan", "own")
+    return found if acc is None else found.where(F.col("acc") == acc)
+
+
+def map_genomes(spark: SparkSession, path: str) -> list:
+    """The genomes of a store, from its folders alone."""
+    return sorted(r.acc for r in spark.read.parquet(path).select("acc").distinct().collect())

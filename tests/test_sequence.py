@@ -56,10 +56,11 @@ def test_repeat_score(spark):
             assert r.x == want if want is None else r.x == pytest.approx(want)
 
 
-def test_complexity(spark):
-    assert one(spark, lambda s: sq.complexity(s, (1, 2)), "AACC") == (2 / 4) * (3 / 3)
-    assert one(spark, lambda s: sq.complexity(s, (2, 4)), "AAAAAAAA") == pytest.approx((1 / 7) * (1 / 5))
-    assert one(spark, sq.complexity, "ACG") is None
+def test_symbols(spark):
+    assert one(spark, sq.single_symbols, "GAT") == ["G", "A", "T"] and one(spark, sq.single_symbols, "") == []
+    assert one(spark, lambda s: sq.checked_symbols(sq.single_symbols(s)), "GAT") == ["G", "A", "T"]
+    with pytest.raises(Exception, match="single symbol"):
+        one(spark, lambda s: sq.checked_symbols(F.array(s)), "GAT")
 
 
 @pytest.mark.parametrize("bad", ["ACX", "A-C"])
