@@ -86,7 +86,7 @@ def _batch(held: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(v, pa.int64()) for v in values], ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
 
 
-def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, quantum: int = 512, weights: dict | None = None, lanes: int | None = None, remember: int = 500_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, quantum: int = 512, weights: dict | None = None, lanes: int | None = None, remember: int = 1_500_000, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row for each piece of a document: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     ``weights`` gives sources' target shares of the tokens; by default each source has the
@@ -104,7 +104,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, q
         enc = encoder(tokenizer, remember)
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         for batch in sliced(batches, 3, 4 << 20):
-            data = [d + end for d in enc.encode(batch.column(3).to_pylist())]
+            data = [d + end for d in enc.encode(batch.column(3))]
             sizes = pa.array([len(d) // enc.dtype.itemsize for d in data], pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], sizes, pa.array(data, pa.binary())], ["lane", "doc_id", "source", "n", "ids"])
 

@@ -24,6 +24,8 @@ from seqloom.llm.common import sliced
 from seqloom.llm.tokens import encoder
 
 NULL_ID = -(1 << 63)
+#: Pieces of text that a worker remembers with their ids, at about 200 bytes each.
+REMEMBER = 1_000_000
 
 
 def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str = "doc_id", text_col: str = "text", parts: int | None = None) -> dict:
@@ -37,13 +39,13 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
     rows = rows.repartitionByRange(parts or max(1, docs.rdd.getNumPartitions()), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, part = encoder(tokenizer), TaskContext.get().partitionId()
+        enc, part = encoder(tokenizer, REMEMBER), TaskContext.get().partitionId()
         end = np.array([end_id], dtype=enc.dtype).tobytes()
         name = f"{path}/part-{part:06d}"
         ids, starts, out, at = [], [0], None, 0
         for batch in sliced(batches, 1, 4 << 20):
             out = out or storage.Writer(f"{name}.bin")
-            for data in enc.encode(batch.column(1).to_pylist()):
+            for data in enc.encode(batch.column(1)):
                 out.write(data + end)
                 at += len(data) // enc.dtype.itemsize + 1
                 starts.append(at)

@@ -15,6 +15,8 @@ import os
 from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Invisible characters that some definitions of white space hold, besides str.isspace().
 ODD = "\u180e\u200b\u2060\ufeff"
@@ -74,9 +76,6 @@ class Encoder:
         ids = np.frombuffer(data, dtype=self.dtype)
         return int((self.ends if self.ends.any() else self.starts)[ids].sum())
 
-    def _is_plain(self, w: str) -> bool:
-        return w.isalpha() and (w.isascii() or self.plain.issuperset(w))
-
     def _ids(self, texts: list[str]) -> list[bytes]:
         code = self.code
         return [array(code, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -97,12 +96,24 @@ class Encoder:
         return out
 
     def _learn(self, new: set[str]) -> None:
-        known, words, others, ended, folded = self.known, set(), [], [], []
-        self._meet(set("".join(w for w in new if not w.isascii())) - self.met)
-        for w in new:
-            if self._is_plain(w):
+        known, stops, words, others, ended, folded = self.known, self.stops, set(), [], [], []
+        wide = [w for w in new if not w.isascii()]
+        self._meet(set("".join(wide)) - self.met)
+        plain = self.plain.issuperset
+        for w in new.difference(wide):
+            if w.isalpha():
+                words.add(w)
+            elif w[-1:] in stops and w[:-1].isalpha():
+                ended.append(w)
+                words.add(w[:-1])
+            elif _fit(w):
+                others.append(w)
+            else:
+                known[w] = None
+        for w in wide:
+            if plain(w):
                 words.add(w)
-            elif w[-1:] in self.stops and self._is_plain(w[:-1]):
+            elif w[-1] in stops and plain(w[:-1]) and len(w) > 1:
                 ended.append(w)
                 words.add(w[:-1])
             elif _fit(w):
@@ -121,45 +132,68 @@ class Encoder:
         for w in ended:
             known[w] = known[w[:-1]] + self.stops[w[-1]]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
         was = gc.isenabled()
         gc.disable()  # the many small objects here hold no cycles
         try:
-            return self._encode(texts)
+            return self._encode(pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string()))
         finally:
             if was:
                 gc.enable()
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " \n").split(" ") for t in texts]
-        first = [ws.pop(0) for ws in split]
-        new: set[str] = set()
-        for ws in split:
-            new.update(ws)
+    def _pieces(self, words: list[str]) -> list[bytes | None]:
+        """ids of distinct pieces, each after a space; None where the rule does not hold at a piece's ends."""
         if len(self.known) > self.limit:
-            self.known = {w: self.known[w] for w in new if w in self.known}
-        known = self.known
-        new = {w for w in new if w not in known}  # one look-up for each of the few new ones, not for each known one
+            self.known = {w: self.known[w] for w in words if w in self.known}
+        new = set(words).difference(self.known)
         self._learn(new)
+        out = list(map(self.known.__getitem__, words))
+        for w in new:
+            if len(w) > 40:
+                del self.known[w]
+        return out
+
+    def _first(self, words: list[str]) -> list[bytes]:
+        """ids of distinct first pieces."""
         if len(self.heads) > self.limit // 8:
             self.heads = {}
-        heads = self.heads
-        order = list({w for w in first if w not in heads})
-        heads.update(zip(order, self._ids(order), strict=True))
-        out: list[bytes] = []
-        for text, one, ws in zip(texts, first, split, strict=True):
-            try:
-                if ws and not _fit(one):
-                    raise TypeError
-                out.append(heads[one] + b"".join(map(known.__getitem__, ws)))
-            except TypeError:  # a piece at whose ends the rule does not hold
-                out.append(self._ids([text])[0])
+        new = [w for w in words if w not in self.heads]
+        self.heads.update(zip(new, self._ids(new), strict=True))
+        out = list(map(self.heads.__getitem__, words))
         for w in new:
             if len(w) > 40:
-                del known[w]
-        for w in order:
-            if len(w) > 40:
-                del heads[w]
+                del self.heads[w]
+        return out
+
+    def _encode(self, texts: pa.Array) -> list[bytes]:
+        """Pieces are split off, numbered by what they are and put together again as ids in arrays; Python sees each distinct one."""
+        if not len(texts):
+            return []
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        at = split.offsets.to_numpy()
+        coded = split.flatten().dictionary_encode()
+        code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        head = np.zeros(len(code), dtype=bool)
+        head[at[:-1]] = True
+        used, rest = np.unique(code[~head], return_inverse=True)
+        first, ones = np.unique(code[head], return_inverse=True)
+        firsts = names.take(pa.array(first)).to_pylist()
+        ids = self._pieces(names.take(pa.array(used)).to_pylist())
+        lost = np.array([x is None for x in ids], dtype=bool)
+        bad = np.zeros(len(code), dtype=bool)
+        if len(ids):
+            bad[~head] = lost[rest]
+        alone = np.diff(at) == 1
+        bad[at[:-1]] = ~np.array([_fit(w) for w in firsts], dtype=bool)[ones] & ~alone
+        whole = np.logical_or.reduceat(bad, at[:-1])
+        place = np.empty(len(code), dtype=np.int64)
+        place[~head], place[head] = rest, len(ids) + ones
+        joined = pa.array([x or b"" for x in ids] + self._first(firsts), pa.large_binary()).take(pa.array(place))
+        ends = np.frombuffer(joined.buffers()[1], dtype=np.int64)[at].tolist()
+        data = memoryview(joined.buffers()[2]) if ends[-1] else b""
+        out = [bytes(data[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        for i in np.flatnonzero(whole).tolist():  # a piece at whose ends the rule does not hold
+            out[i] = self._ids([texts[i].as_py()])[0]
         return out
 
 
