@@ -14,6 +14,7 @@ from seqloom.operators import families as fa
 from seqloom.operators import gaps as gp
 from seqloom.operators import hits as ht
 from seqloom.operators import intervals as iv
+from seqloom.operators import orfs as of
 from seqloom.operators import similarity as si
 from seqloom.operators import variants as va
 from seqloom.plans import fixtures as fx
@@ -554,3 +555,57 @@ def in_rows(i: DataFrame) -> DataFrame:
     h = i.where(F.col("end") - F.col("beg") >= 3).distinct().select("*", F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("k"))
     b = (10 * F.col("beg") + 3 * F.col("k")).cast("long")
     return h.select((F.col("beg") * 100 + F.col("end")).alias("q_id"), F.col("key").alias("s_id"), b.alias("q_beg"), (b + 2).alias("q_end"), (b + 5).alias("s_beg"), (b + 7).alias("s_end"), F.lit(99.0).alias("pident"))
+
+
+# --- tables behind plots, long frames, rows within blocks ---------------------------------------------
+add(
+    "long_orfs",
+    on(fx.seqs, lambda s: of.at_least(s, 65)),
+    f""", {ca._SIX} SELECT name, name || '|ORF|' || beg || '|' || "end" || '|' || strand || '|aaLEN' || aalen AS orf, aa FROM orf WHERE aalen >= 65""",
+    "seqs",
+)
+add(
+    "family_orfs",
+    on(fx.seqs, lambda s: of.at_least(s, 100, True)),
+    f""", {ca._SIX} SELECT name, name || '|ORF|' || beg || '|' || "end" || '|' || strand || '|aaLEN' || aalen AS orf, aa FROM orf WHERE aalen > 100""",
+    "seqs",
+)
+
+
+def presence(spark: SparkSession, d: str) -> DataFrame:
+    """(chr, pan, a0 .. ): which genomes have each position."""
+    here = [F.max((F.col("acc") == k).cast("int")).alias(f"a{k}") for k in range(fx.ACCESSIONS)]
+    return fx.positions(spark, d).groupBy("chr", "pan").agg(*here)
+
+
+_HERE = [f"a{k}" for k in range(fx.ACCESSIONS)]
+add(
+    "presence_patterns",
+    on(presence, lambda p: tb.patterns(p, _HERE)),
+    f""", here AS (SELECT chr, pan, {", ".join(f"max((acc = {k})::INT) AS a{k}" for k in range(fx.ACCESSIONS))} FROM pos GROUP BY chr, pan)
+SELECT {", ".join(_HERE)}, count(*) AS n FROM here GROUP BY ALL""",
+    "positions",
+)
+for _by in ("row", "col"):
+    add(
+        f"heat_by_{_by}",
+        on(fx.vectors, lambda v, by=_by: tb.heat(v, by)),
+        f"""SELECT row, col, (value - min(value) OVER w) / nullif(max(value) OVER w - min(value) OVER w, 0) AS value, value AS label
+FROM vec WINDOW w AS (PARTITION BY {_by})""",
+        "vectors",
+    )
+
+
+def spans(spark: SparkSession, d: str) -> DataFrame:
+    """(chr, acc, beg, end): a span at every third position of each genome."""
+    return fx.positions(spark, d).where("pan % 3 = 0").select("chr", "acc", F.col("pan").alias("beg"), (F.col("pan") + F.col("pan") % 11).alias("end"))
+
+
+add(
+    "spans_within_blocks",
+    lambda spark, d: co.within_blocks(spans(spark, d), fx.positions(spark, d)),
+    f""", {ca._BLOCK}
+SELECT b.chr, b.acc, b.pan AS beg, e.pan AS "end" FROM bl b
+JOIN bl e ON e.chr = b.chr AND e.acc = b.acc AND e.block = b.block AND e.pan = b.pan + b.pan % 11 WHERE b.pan % 3 = 0""",
+    "positions",
+)

@@ -39,6 +39,13 @@ def merged_blocks(aln: DataFrame, gap: int = 10_000) -> DataFrame:
     return b.groupBy(*AXIS, "__g").agg(F.min("pan_b").alias("pan_b"), F.max("pan_e").alias("pan_e"), F.sum("n").alias("n")).drop("__g")
 
 
+def within_blocks(items: DataFrame, aln: DataFrame) -> DataFrame:
+    """``items`` (chr, acc, beg, end, ..) on the pan axis that begin and end in one block; those with an end outside all blocks go."""
+    b = with_blocks(aln).select(*AXIS, F.col("pan").alias("beg"), F.col("block").alias("__block"))
+    begun = items.join(b, [*AXIS, "beg"])
+    return begun.join(b.withColumnRenamed("beg", "end"), [*AXIS, "end", "__block"], "left_semi").select(*items.columns)
+
+
 def breaks(aln: DataFrame) -> DataFrame:
     """(chr, acc, idx_beg, idx_end, val_beg, val_end, len_acc, len_comb): neighbours within a block that are not adjacent on both axes."""
     by = Window.partitionBy(*AXIS, "block").orderBy("pan")

@@ -79,6 +79,16 @@ def best(orfs: DataFrame, n: int = 1) -> DataFrame:
     return orfs.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
+def at_least(seqs: DataFrame, least: int, above: bool = False) -> DataFrame:
+    """(name, orf, aa): the frames of ``least`` amino acids or more (``above``: of more), named by sequence, frame and place.
+
+    Sequences that are null, empty or without such a frame give no row.
+    """
+    o = six_frames(seqs, least + int(above))
+    own = F.concat_ws("|", F.col("beg"), F.col("end"), "strand", F.concat(F.lit("aaLEN"), F.col("aalen")))
+    return o.select("name", F.concat_ws("|", F.col("name").cast("string"), F.lit("ORF"), own).alias("orf"), "aa")
+
+
 def packed_rows(orfs: DataFrame, buffer: int = 50) -> DataFrame:
     """(name, beg, end, line): a greedy layout in which features of a line keep ``buffer`` positions apart.
 

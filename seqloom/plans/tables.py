@@ -31,3 +31,27 @@ def combinations(spark: SparkSession, queries: int, references: int, kind: str =
     if kind != "all2all":
         raise ValueError(f"unknown kind: {kind}")
     return q.select("q", F.explode(F.sequence(F.lit(1).cast("long"), F.lit(references).cast("long"))).alias("r"))
+
+
+def patterns(df: DataFrame, columns: list[str]) -> DataFrame:
+    """(columns, n): each distinct pattern of ``columns`` with its number of rows; nulls make patterns of their own."""
+    return df.groupBy(*columns).agg(F.count("*").alias("n"))
+
+
+def heat(cells: DataFrame, by: str | None = None, binary: bool = False) -> DataFrame:
+    """(row, col, value, label): the cells of a matrix, scaled to 0..1 within each ``by`` (row or col).
+
+    ``label`` keeps the value as it was.  With ``binary`` a cell counts as 1 where it is not zero, before scaling.  A
+    row or column of one value has no scale, so its cells are null; null and NaN cells stay as they are and scale nothing.
+    """
+    if by not in (None, "row", "col"):
+        raise ValueError(f"cells scale by row or col, not by {by}")
+    v = F.col("value").cast("double")
+    shown = F.when(F.isnan(v) | v.isNull(), v).otherwise((v != 0).cast("double")) if binary else v
+    out = cells.select("row", "col", shown.alias("value"), v.alias("label"))
+    if by is None:
+        return out
+    real = F.when(~F.isnan("value"), F.col("value"))
+    ends = out.groupBy(F.col(by).alias("__by")).agg(F.min(real).alias("__lo"), F.max(real).alias("__hi"))
+    scaled = (F.col("value") - F.col("__lo")) / F.nullif(F.col("__hi") - F.col("__lo"), F.lit(0.0))
+    return out.join(ends, F.col(by).eqNullSafe(F.col("__by"))).select("row", "col", scaled.alias("value"), "label")
