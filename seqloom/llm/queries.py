@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from seqloom.llm import classifier, langid, mixing, packing, quality, sharding, simhash, spans, tokenfile, topk
+from seqloom.llm import classifier, divergence, langid, lexical, mixing, packing, pages, quality, sharding, simhash, spans, tokenfile, topk
 from seqloom.llm.common import documents
 from seqloom.plans.recovery import fresh_path
 
@@ -25,8 +25,13 @@ QUERIES = {
     "op8_mixing": lambda spark, d: mixing.query(documents(spark, d)),
     "op9_top_k": topk.query,
     "op10_packing": lambda spark, d: packing.query(documents(spark, d), tokenizer("word_bpe_49k.json")),
+    "op11_html_text": lambda spark, d: pages.query(spark.read.parquet(f"{d}/pages.parquet")),
+    "op12_divergence": lambda spark, d: divergence.query(documents(spark, d)),
+    "op13_lexical_search": lambda spark, d: lexical.query(documents(spark, d), spark.read.parquet(f"{d}/benchmark.parquet")),
 }
 ORACLES: dict[str, str] = {
     "op2_quality_rules": quality.ORACLE,
     "op9_top_k": topk.ORACLE,
+    "op12_divergence": divergence.ORACLE,
+    "op13_lexical_search": lexical.ORACLE,
 }
