@@ -15,6 +15,7 @@ from seqloom.operators import gaps as gp
 from seqloom.operators import hits as ht
 from seqloom.operators import intervals as iv
 from seqloom.operators import orfs as of
+from seqloom.operators import search as sr
 from seqloom.operators import similarity as si
 from seqloom.operators import variants as va
 from seqloom.plans import fixtures as fx
@@ -510,16 +511,41 @@ WHERE 6 - hamming(substr(a.s1, a.i::INT, 6), substr(b.s1, b.i::INT, 6)) >= 5 GRO
 )
 add(
     "seed_hits",
-    on(fx.pairs_of_text, lambda p: si.seed_hits(p.select(F.col("id").alias("name"), F.col("s1").alias("seq")).where("name % 3 = 0"), p.select(F.col("id").alias("name"), F.concat("s2", "s1").alias("seq")).where("name % 3 = 1"), 7, 3, 8).groupBy("q", "q_beg", "q_end").agg(F.count("*").alias("n"), F.sum("seeds").alias("seeds"))),
-    """, qw AS (SELECT id, i, substr(s1, i::INT, 7) AS w FROM (SELECT id, s1, unnest(range(1, length(s1) - 5)) AS i FROM pairs WHERE id % 3 = 0 AND length(s1) >= 7)),
- tw AS (SELECT id, i, substr(s, i::INT, 7) AS w FROM (SELECT id, s, unnest(range(1, length(s) - 5)) AS i FROM (SELECT id, s2 || s1 AS s FROM pairs WHERE id % 3 = 1) WHERE length(s) >= 7)),
- sd AS (SELECT q.id AS q, t.id AS s, q.i AS x, t.i - q.i AS diag FROM qw q JOIN tw t ON t.w = q.w),
+    on(fx.pairs_of_text, lambda p: si.seed_hits(p.select(F.col("id").alias("name"), F.col("s1").alias("seq")), p.select(F.col("id").alias("name"), F.concat("s2", "s1").alias("seq")), 7, 3, 8)
+       .groupBy("q", "q_beg", "q_end").agg(F.count("*").alias("n"), F.sum("seeds").alias("seeds"))),
+    """, qw AS (SELECT id, i, substr(s1, i::INT, 7) AS w FROM (SELECT id, s1, unnest(range(1, length(s1) - 5)) AS i FROM pairs WHERE length(s1) >= 7)),
+ tw AS (SELECT id, i, substr(s, i::INT, 7) AS w FROM (SELECT id, s, unnest(range(1, length(s) - 5)) AS i FROM (SELECT id, s2 || s1 AS s FROM pairs) WHERE length(s) >= 7)),
+ sd AS (SELECT q.id AS q, t.id AS s, q.i AS x, t.i - q.i AS diag FROM qw q JOIN tw t ON t.w = q.w AND q.id <> t.id),
  st AS (SELECT *, CASE WHEN x - lag(x) OVER (PARTITION BY q, s, diag ORDER BY x) <= 3 THEN 0 ELSE 1 END AS new FROM sd),
  gr AS (SELECT *, sum(new) OVER (PARTITION BY q, s, diag ORDER BY x ROWS UNBOUNDED PRECEDING) AS g FROM st),
  hi AS (SELECT q, s, min(x) AS q_beg, max(x) + 6 AS q_end, count(*) AS seeds FROM gr GROUP BY q, s, diag, g HAVING max(x) - min(x) + 7 >= 8)
 SELECT q, q_beg, q_end, count(*) AS n, sum(seeds)::BIGINT AS seeds FROM hi GROUP BY ALL""",
     "pairs",
-)
+)
+
+
+def _passages(spark, d):
+    """(name, seq): each benchmark passage over ACGT."""
+    text = F.regexp_replace(F.lower("text"), "[^a-z]", "")
+    return spark.read.parquet(f"{d}/benchmark.parquet").select(F.col("item_id").alias("name"), F.translate(text, fx.LETTERS, fx.CYCLED).alias("seq"))
+
+
+def _frames(seqs):
+    """(name, seq): amino acids of the three forward frames of (name, seq), named by sequence and frame."""
+    shifts = F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("shift")
+    cut = seqs.select("name", "seq", shifts).select(F.concat_ws("/", "name", "shift").alias("name"), F.substr("seq", F.col("shift") + 1).alias("seq"))
+    return cut.select("name", sq.translate_seq(F.col("seq")).alias("seq"))
+
+
+add("local_search", lambda spark, d: sr.local_hits(_passages(spark, d), fx.seqs(spark, d)))
+def _halves(seqs):
+    """(id, s1, s2): both halves of each sequence."""
+    half = (F.length("seq") / 2).cast("int")
+    return seqs.select(F.col("name").alias("id"), F.substr("seq", F.lit(1), half).alias("s1"), F.substr("seq", half + 1).alias("s2"))
+
+
+add("two_sequence_hits", on(fx.seqs, lambda s: sr.two_sequences(_halves(s))))
+add("protein_search", lambda spark, d: sr.protein_hits(_passages(spark, d).select("name", sq.translate_seq(F.col("seq")).alias("seq")), _frames(fx.seqs(spark, d)), least=60))
 _coarse = lambda e, a, b: e.select((F.col(a) % 70).alias("a"), (F.col(b) % 70).alias("b"))
 add(
     "common_rows",

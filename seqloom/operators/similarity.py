@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from seqloom.functions import codes
 from seqloom.functions.sequence import rev_compl, words
 from seqloom.operators.components import connected_components
-from seqloom.plans.groups import pair_blocks
+from seqloom.plans.groups import meet, pair_blocks
 
 
 def dots(pairs: DataFrame, size: int = 10, matches: int = 9) -> DataFrame:
@@ -110,16 +110,16 @@ def clusters(distances: DataFrame, cutoff: float) -> DataFrame:
     return rows.withColumn("node", node("row")).join(found, "node", "left").select("aln", "row", F.coalesce("component.row", "row").alias("cluster"))
 
 
-def seed_hits(queries: DataFrame, targets: DataFrame, size: int = 11, gap: int = 20, least: int = 20) -> DataFrame:
+def seed_hits(queries: DataFrame, targets: DataFrame, size: int = 11, gap: int = 20, least: int = 20, frequent: int = 20_000) -> DataFrame:
     """(q, s, q_beg, q_end, s_beg, s_end, seeds): diagonal chains of shared words between (name, seq) tables.
 
-    The stand-in for a local aligner: seeds meet by word, fall into diagonals, and seeds of a
-    diagonal at most ``gap`` apart form a hit.  Words that occur in many sequences make many seeds.
+    Without gaps and scores (``search.local_hits`` has both): seeds meet by word, fall into diagonals, and seeds of a
+    diagonal at most ``gap`` apart form a hit.  Words with over ``frequent`` places are dealt to several tasks.
     """
     from pyspark.sql import Window
 
     at = lambda df, n, p: df.select(F.col("name").alias(n), F.posexplode(words(F.col("seq"), size)).alias(p, "w"))
-    seeds = at(queries, "q", "x").join(at(targets, "s", "y"), "w").where("q <> s").withColumn("diag", F.col("y") - F.col("x"))
+    seeds = meet(at(queries, "q", "x"), at(targets, "s", "y"), "w", frequent).where("q <> s").withColumn("diag", F.col("y") - F.col("x"))
     by = Window.partitionBy("q", "s", "diag").orderBy("x")
     new = F.when(F.col("x") - F.lag("x").over(by) <= gap, 0).otherwise(1)
     runs = seeds.withColumn("__new", new).withColumn("__g", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, 0)))

@@ -90,3 +90,18 @@ def row_numbers(df: DataFrame, order: list, name: str) -> DataFrame:
     base = counts.select("__part", F.coalesce(before, F.lit(0)).alias("__base"))
     out = ranged.withColumn("__part", part).join(F.broadcast(base), "__part")
     return out.withColumn(name, F.col("__base") + here + 1).drop("__part", "__base", "__at")
+
+
+def small_or_keyed(df: DataFrame, most: int = 100_000) -> DataFrame:
+    """``df`` with a hint to broadcast it if it has at most ``most`` rows; a larger one is joined by its keys."""
+    return F.broadcast(df) if df.limit(most + 1).count() <= most else df
+
+
+def meet(left: DataFrame, right: DataFrame, key: str, frequent: int) -> DataFrame:
+    """``left`` joined with ``right`` on ``key``: of a key with over ``frequent`` rows on the right, these are dealt to several tasks and those on the left copied to each."""
+    often = right.groupBy(key).count().where(F.col("count") > frequent).select(key, F.ceil(F.col("count") / frequent).cast("int").alias("__parts"))
+    often, parts = small_or_keyed(often), F.coalesce("__parts", F.lit(1))
+    columns = [c for c in right.columns if c != key]
+    b = right.join(often, key, "left").withColumn("__part", F.pmod(F.xxhash64(*columns), parts).cast("int")).drop("__parts")
+    a = left.join(often, key, "left").withColumn("__part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("__parts")
+    return a.join(b, [key, "__part"]).drop("__part")
