@@ -91,14 +91,14 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, window: int = 2048, q
 
     ``weights`` gives sources' target shares of the tokens; by default each source has the
     share that it holds.  Null texts count as empty (one end token), null sources as one
-    source, null ids as one id.  Repeated rows are packed as often as they come.  Only the last window
+    source.  Rows of one id, or without one, go to lanes by their texts; repeated rows are packed as often as they come.  Only the last window
     of each lane may be short.  What a task holds is one lane's ids, and each worker ``remember``
     pieces of text with their ids.
     """
     lanes = lanes or 4 * max(1, docs.rdd.getNumPartitions())
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     doc_id = F.col(id_col).cast("long")
-    rows = docs.select(F.pmod(F.xxhash64(doc_id, F.lit("lane")), F.lit(lanes)).cast("int").alias("lane"), doc_id.alias("doc_id"), F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("")).alias("source"), text.alias("text"))
+    rows = docs.select(F.pmod(F.xxhash64(doc_id, text, F.lit("lane")), F.lit(lanes)).cast("int").alias("lane"), doc_id.alias("doc_id"), F.coalesce(F.concat(F.lit("s"), F.col(source_col).cast("string")), F.lit("")).alias("source"), text.alias("text"))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc = encoder(tokenizer, remember)

@@ -21,7 +21,7 @@ from seqloom.plans.recovery import cut
 
 SPAN = 8  # words in a window
 #: Rows of the planning sample and bytes of each of them, at most, and how often a rule runs over it when it is timed.
-SAMPLE, LONGEST, TIMES = 256, 1 << 20, 32
+SAMPLE, LONGEST, TIMES, ENOUGH = 256, 32 << 10, 64, 0.1
 
 
 def _let(value: Column, then) -> Column:
@@ -117,8 +117,8 @@ def estimate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "
     """The rules in the order in which they are to run, with their time on a row and the share that each rejects of what those before it leave.
 
     The sample holds up to ``sample`` texts that pass the base, of up to LONGEST bytes, which the driver
-    can hold; it decides on the order of rules and on nothing else.  A rule is timed over TIMES copies of the
-    sample against a pass that evaluates none, and the faster of two runs counts.
+    can hold; it decides on the order of rules and on nothing else.  A rule is timed over one copy of the sample, then four, and so
+    on up to TIMES, until that takes ENOUGH seconds more than a pass that evaluates none.
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     some = docs.select(text.alias("text")).where((F.octet_length("text") <= LONGEST) & (F.pmod(F.xxhash64("text"), F.lit(8)) == 0))
@@ -128,16 +128,24 @@ def estimate(docs: DataFrame, rules: tuple[Rule, ...] = RULES, text_col: str = "
     rows = docs.sparkSession.createDataFrame(passing, "text string").coalesce(1)
     rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), 0))
     verdicts = rows.select(*[r.rejects(F.col("text"), F.col("words")).alias(f"r{i}") for i, r in enumerate(rules)]).collect()
-    many = cut(rows).withColumn("time", F.explode(F.sequence(F.lit(1), F.lit(TIMES))))
+    held = cut(rows)
 
-    def seconds(condition: Column) -> float:
+    def seconds(condition: Column, copies: int) -> float:
+        # The condition holds the copy's number, so that no copy's work is shared with another's.
+        many = held.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(copies))))
         began = time.perf_counter()
-        many.agg(F.count_if(condition)).first()
+        many.agg(F.count_if(condition & (F.col("copy") > 0))).first()
         return time.perf_counter() - began
 
-    # The condition holds the time, so that no copy's work is shared with another's.
-    idle = min(seconds(F.size("words") + F.col("time") < 0) for _ in range(3))
-    cost = [max(min(seconds(r.rejects(F.col("text"), F.col("words")) & (F.col("time") > 0)) for _ in range(2)) - idle, 1e-4) / (TIMES * len(passing)) for r in rules]
+    idle = min(seconds(F.size("words") < 0, 1) for _ in range(3))
+
+    def cost(rule: Rule) -> float:
+        copies = 1
+        while (took := seconds(rule.rejects(F.col("text"), F.col("words")), copies) - idle) < ENOUGH and copies < TIMES:
+            copies *= 4
+        return max(took, 1e-4) / (copies * len(passing))
+
+    cost = [cost(r) for r in rules]
     out, left, rest = [], verdicts, list(range(len(rules)))
     while rest:
         share = {i: sum(bool(v[i]) for v in left) / max(1, len(left)) for i in rest}

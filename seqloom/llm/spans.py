@@ -13,10 +13,15 @@ which depends on the string alone.  Consecutive strings with one anchor form a c
 3. The bytes of what is left are fetched from their documents and meet by anchor in shards, each
    ordered by induced sorting; permuted common prefixes of ``WIDTH`` bytes or more show the
    repeats.  An anchor with over ``HOT`` contexts is cut into parts by how far a string reaches to
-   either side of it, and meets by what such strings have in common: no group grows with
-   the number of documents that hold one line.
+   either side of it, and meets by what such strings have in common.  Many documents may share a line of under
+   ``WIDTH`` bytes, and so all of these parts without a repeat.  An anchor with over ``CROWD`` contexts
+   is cut into its strings, which meet by 128 bits of hash, without their bytes: then only equal strings
+   meet, and of these each bucket of documents sends the first.
 4. Repeated ranges and texts meet by document, and the bytes are removed.
 
+In step 2 the records of one anchor (some 30 bytes for each different context) are in one task; nothing else grows with
+the number of documents that share a line.
+
 Documents move as compressed blobs of many documents; documents of any length are read in
 pieces.
 """
@@ -40,13 +45,14 @@ from seqloom.llm.suffixes import repeated
 from seqloom.llm.tokens import forget
 from seqloom.plans.recovery import table
 
-WIDTH, SEED, HOT = 100, 32, 512
+WIDTH, SEED, HOT, CROWD = 100, 32, 512, 1 << 14
 REACH = WIDTH - SEED  # a string begins up to this many bytes before its anchor
 PIECE, SHARD = 2 << 20, 2 << 20  # bytes that a task scans or orders at a time
 MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], dtype=np.uint64)
 RECORD = np.dtype([("low", "<u4"), ("high", "<u2"), ("context", "<u8"), ("doc", "<u4"), ("start", "<u4"), ("more", "u1")])
 RANGE = np.dtype([("uid", "<i8"), ("start", "<u4"), ("more", "<u4")])
 CHECK = np.dtype([("uid", "<i8"), ("start", "<u4"), ("more", "u1"), ("hot", "u1"), ("anchor", "<u8")])
+CHECKED = 8  # bytes of a string's second hash
 ROW = "bucket int, kind int, target int, data binary"
 DUP, ASK, TEXT, RECS = 0, 1, 2, 3
 
@@ -227,7 +233,7 @@ def _classes(buckets: int):
                 ask = first & (classes > 1)
                 want = np.empty(int(ask.sum()), dtype=CHECK)
                 want["uid"], want["start"], want["more"] = uid[ask], rec["start"][ask], rec["more"][ask]
-                want["hot"], want["anchor"] = classes[ask] > HOT, anchor[ask] * np.uint64(buckets) + np.uint64(bucket)
+                want["hot"], want["anchor"] = (classes[ask] > HOT).astype("u1") + (classes[ask] > CROWD), anchor[ask] * np.uint64(buckets) + np.uint64(bucket)
                 out += [(b, ASK, 0, x.tobytes()) for b, x in _dealt(want, home(want["uid"], buckets))]
             if out:
                 yield _rows(out)
@@ -288,6 +294,13 @@ def parts(text: bytes, start: int, more: int, anchor: int, at: int) -> Iterator[
                 yield xxhash.xxh3_64_intdigest(shared, anchor & 0xFFFFFFFFFFFFFFFF) ^ (16 * side + lo), a, b - a, text[a : b + WIDTH]
 
 
+def strings(text: bytes, start: int, more: int) -> Iterator[tuple[int, int, int, bytes]]:
+    """(key, start, 0, check) of each string of a context: two hashes in place of its bytes."""
+    for a in range(start, start + more + 1):
+        one = text[a : a + WIDTH]
+        yield xxhash.xxh3_64_intdigest(one), a, 0, xxhash.xxh64_digest(one)
+
+
 def _fetch(buckets: int):
     """Step 3a: the bytes of the contexts that are asked for, by key; equal parts in a bucket are sent once."""
 
@@ -309,7 +322,7 @@ def _fetch(buckets: int):
                             datas.append(text[start : start + more + WIDTH])
                             continue
                         lead = int(anchors(text[start : start + WIDTH])[1][0]) + start
-                        for key, a, n, data in parts(text, start, more, anchor, lead):
+                        for key, a, n, data in parts(text, start, more, anchor, lead) if hot == 1 else strings(text, start, more):
                             place, old = (uid, a, n), seen.get((key, data))
                             if old is None or place < old:
                                 seen[key, data], place = place, old
@@ -369,8 +382,10 @@ def _shards(buckets: int):
         size, plain = 0, []
         for group in sorted_groups(batches):
             cols = [c.to_pylist() for c in group.columns]
+            for _, own in groupby(sorted((d, u, s) for u, s, d in zip(*cols[1:], strict=True) if len(d) == CHECKED), key=itemgetter(0)):
+                plain += [(u, s, 0) for _, u, s in list(own)[1:]]  # all but the first of equal strings
             short = [len(d) < WIDTH for d in cols[3]]
-            plain += [(u, s, int(np.frombuffer(d, "<u4")[0])) for u, s, d, x in zip(*cols[1:], short, strict=True) if x]
+            plain += [(u, s, int(np.frombuffer(d, "<u4")[0])) for u, s, d, x in zip(*cols[1:], short, strict=True) if x and len(d) != CHECKED]
             keep = [i for i, x in enumerate(short) if not x]
             if len(keep) > 1:
                 for whole, own in zip(held, cols, strict=True):
@@ -443,7 +458,7 @@ def _identified(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     ids = rows.agg(F.count("*").alias("n"), F.countDistinct("doc_id").alias("u")).first()
     if ids.n == ids.u:
         return rows.select(F.col("doc_id").alias("uid"), "doc_id", "text")
-    ranged = rows.repartitionByRange(max(1, docs.rdd.getNumPartitions()), "doc_id").sortWithinPartitions("doc_id", "text")
+    ranged = rows.repartitionByRange(max(1, docs.rdd.getNumPartitions()), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
     return table(ranged.select(F.monotonically_increasing_id().alias("uid"), "doc_id", "text"), "numbered")
 
 
@@ -489,7 +504,7 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buc
     if ids.n == ids.u:
         rows = docs.select(rest.alias("rest"), doc_id.alias("uid"), text.alias("text"))
     else:
-        ranged = docs.repartitionByRange(max(1, docs.rdd.getNumPartitions()), doc_id, F.xxhash64(text)).sortWithinPartitions(doc_id, text)
+        ranged = docs.repartitionByRange(max(1, docs.rdd.getNumPartitions()), doc_id, F.xxhash64(text)).sortWithinPartitions(doc_id, F.xxhash64(text), text)
         rows = table(ranged.select(rest.alias("rest"), F.monotonically_increasing_id().alias("uid"), text.alias("text")), "numbered")
     kept = _solve(rows.select("uid", F.col("uid").alias("doc_id"), "text"), _text, TEXTS, "uid long, kept_text string, n_spans long", buckets or _buckets(docs))
     out = rows.select("uid", "rest").join(kept, "uid")

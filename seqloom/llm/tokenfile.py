@@ -36,7 +36,7 @@ def write(docs: DataFrame, path: str, tokenizer: str, end_id: int, id_col: str =
     """
     storage.make_dir(path)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    rows = rows.repartitionByRange(parts or max(1, docs.rdd.getNumPartitions()), "doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    rows = rows.repartitionByRange(parts or max(1, docs.rdd.getNumPartitions()), "doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", F.xxhash64("text"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = encoder(tokenizer, REMEMBER), TaskContext.get().partitionId()

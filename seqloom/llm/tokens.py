@@ -35,6 +35,12 @@ def _fit(w: str) -> bool:
     return bool(rest) and _visible(rest[0]) and _visible(rest[-1])
 
 
+def _numbered(code: np.ndarray, most: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct numbers below ``most``, and each number's place among them."""
+    found = np.bincount(code, minlength=most) > 0
+    return np.flatnonzero(found), (np.cumsum(found) - 1)[code]
+
+
 class Encoder:
     """ids of texts as bytes of ``dtype``; beyond ``limit`` pieces, only those of the text at hand stay."""
 
@@ -175,8 +181,8 @@ class Encoder:
         code, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
         head = np.zeros(len(code), dtype=bool)
         head[at[:-1]] = True
-        used, rest = np.unique(code[~head], return_inverse=True)
-        first, ones = np.unique(code[head], return_inverse=True)
+        used, rest = _numbered(code[~head], len(names))
+        first, ones = _numbered(code[head], len(names))
         firsts = names.take(pa.array(first)).to_pylist()
         ids = self._pieces(names.take(pa.array(used)).to_pylist())
         lost = np.array([x is None for x in ids], dtype=bool)

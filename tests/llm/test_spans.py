@@ -91,9 +91,10 @@ def test_odd_rows(both):
     assert got == plain([(r.doc_id, r.text) for r in both.collect()])
 
 
-@pytest.mark.parametrize("hot", [512, 3])
-def test_hot_lines(spark, monkeypatch, hot):
+@pytest.mark.parametrize("hot, crowd", [(512, 1 << 14), (3, 1 << 14), (3, 5)])
+def test_hot_lines(spark, monkeypatch, hot, crowd):
     monkeypatch.setattr(spans, "HOT", hot)
+    monkeypatch.setattr(spans, "CROWD", crowd)
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randrange(1, 9)))
     text = lambda n: " ".join(word() for _ in range(n))
@@ -105,6 +106,26 @@ def test_hot_lines(spark, monkeypatch, hot):
     assert Counter(tuple(r) for r in spans.spans(docs, buckets=7).collect()) == plain(rows)
 
 
+def test_groups_stay_small_under_a_short_common_line(spark, monkeypatch):
+    """Many documents share a line of 95 bytes, and a few longer passages around it: what meets by one key does not grow with them."""
+    monkeypatch.setattr(spans, "CROWD", 300)
+    rng = random.Random(9)
+    text = lambda n: "".join(rng.choice("abcdefgh ") for _ in range(n))
+    line, largest = text(95), []
+    for n in (600, 2400):
+        rows = [(i, text(120) + line + text(120)) for i in range(n)]
+        rows += [(n + i, rows[i][1][60:]) for i in range(20)] + [(n + 100, text(50) + rows[5][1][100:230] + text(50))]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+        assert Counter(tuple(r) for r in spans.spans(docs, buckets=5).collect()) == plain(rows)
+        texts = spans._identified(docs, "doc_id", "text")
+        scanned = texts.select("uid", "text").mapInArrow(spans._scan(5), spans.ROW)
+        classes = scanned.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(spans._classes(5), spans.ROW)
+        asked = classes.where(F.col("kind") == spans.ASK).unionByName(texts.mapInArrow(spans._blobs(5), spans.ROW)).repartition("bucket").sortWithinPartitions("bucket", "kind")
+        held = asked.mapInArrow(spans._fetch(5), "key long, uid long, start long, data binary")
+        largest.append(held.groupBy("key").count().agg(F.max("count")).first()[0])
+    assert max(largest) <= 300
+
+
 def test_pieces_of_long_texts(spark, monkeypatch):
     monkeypatch.setattr(spans, "PIECE", 700)
     rng = random.Random(6)
