@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators.coordinates import translocated
-from seqloom.operators.intervals import containment_join
-from seqloom.plans.groups import solve
+from seqloom.operators.intervals import containment_join, merged, overlap_join
 
 
 def chromosome_numbers(gff: DataFrame, mark: str = "Chr", least: float = 0.7) -> DataFrame:
@@ -102,56 +100,46 @@ def exon_groups(exons: DataFrame, blocks: DataFrame, bins: int = 1 << 12) -> Dat
     return one.unionByName(all_.select("chr", "strand", "acc", F.lit("mRNA").alias("type"), "beg", "end", F.col("parent").alias("id"), F.lit(None).cast("string").alias("parent")).select(*out))
 
 
-def split_group(members: list[tuple[str, int, int]]) -> list[tuple[int, int]]:
-    """(beg, end) of the parts of one group of items (acc, beg, end).
+def split_groups(items: DataFrame, bins: int = 1 << 12) -> DataFrame:
+    """(chr, strand, group, part, beg, end): groups (chr, strand, group, acc, beg, end) in which a genome has more than one item, cut into parts; others whole.
 
-    Parts begin at the last position before a genome's cover goes up, where the change before it was downward; a part
-    ends where cover last changes within it.  Parts of one position join the next one, and
-    neighbours stay together if the genomes that cover the gap are half as many as those of the larger of them, or more.
-    """
-    lo, n = min(b for _, b, _ in members), max(e for _, _, e in members)
-    n -= lo - 1
-    accs = sorted({a for a, _, _ in members}, key=str)
-    cover = np.zeros((len(accs), n + 1), dtype=bool)  # column 0 is before the group
-    for a, b, e in members:
-        cover[accs.index(a), b - lo + 1 : e - lo + 2] = True
-    up = np.flatnonzero((cover[:, 2:] & ~cover[:, 1:-1]).any(axis=0)) + 1
-    down = np.flatnonzero((~cover[:, 2:] & cover[:, 1:-1]).any(axis=0)) + 1
-    changes = sorted([(p, 0) for p in up.tolist()] + [(p, 1) for p in down.tolist()])
-    starts = [q for (_, was), (q, now) in zip(changes, changes[1:], strict=False) if was == 1 and now == 0]
-    if not starts:
-        return [(lo, lo + n - 1)]
-    parts = [[b, e] for b, e in zip([1, *starts], [*(q - 1 for q in starts), n], strict=True)]
-    falls = set(down.tolist())
-    for part in parts[:-1]:
-        for at in range(part[1], part[0], -1):
-            if at in falls or (cover[:, at] != cover[:, at - 1]).any():
-                break
-            part[1] = at - 1
-    while (k := next((i for i, x in enumerate(parts[:-1]) if x[0] == x[1]), None)) is not None:
-        parts[k + 1][0] = parts[k][0]
-        del parts[k]
-    held = lambda b, e: int(cover[:, min(b, e) : max(b, e) + 1].any(axis=1).sum())
-    out = [parts[0]]
-    for last, part in zip(parts, parts[1:], strict=False):
-        if 2 * held(last[1] + 1, part[0] - 1) >= max(held(*last), held(*part)):
-            out[-1] = [out[-1][0], part[1]]
-        else:
-            out.append(part)
-    return [(b + lo - 1, e + lo - 1) for b, e in out]
-
-
-def split_groups(items: DataFrame) -> DataFrame:
-    """(chr, strand, group, part, beg, end): groups in which a genome has more than one item cut by ``split_group``, others whole.
-
-    ``items`` is (chr, strand, group, acc, beg, end); a group is solved in one task.
+    A sweep over where some genome's cover begins and ends: a part begins at the last position before a begin that follows an
+    end, and ends where cover last changes within it.  A part of one position joins the next one, and two neighbours
+    stay one if the genomes that cover what lies between are half as many as those of the larger of them, or more.
     """
     keys = ["chr", "strand", "group"]
     several = items.groupBy(*keys, "acc").count().where("count > 1").select(*keys).distinct()
-
-    def kernel(key: tuple, rows: list[tuple]) -> list[tuple]:
-        return [(*key, k, b, e) for k, (b, e) in enumerate(split_group(rows), 1)]
-
-    cut = solve(items.select(*keys, "acc", "beg", "end").join(several, keys, "left_semi"), keys, kernel, "chr long, strand string, group long, part long, beg long, end long")
+    own = items.select(*keys, "acc", "beg", "end").join(several, keys, "left_semi")
+    cover = merged(own, [*keys, "acc"], touch=1).select(*keys, "acc", "beg", "end")
+    bounds = group_blocks(own).withColumnsRenamed({"beg": "lo", "end": "hi"})
+    by = Window.partitionBy(*keys)
+    # One row for each position and kind of change; a begin changes the position before it.
+    changes = cover.join(bounds, keys).select(*keys, "lo", "hi", F.explode(F.array(F.struct((F.col("beg") - 1).alias("at"), F.lit(0).alias("down")), F.struct(F.col("end").alias("at"), F.lit(1).alias("down")))).alias("x"))
+    changes = changes.select(*keys, "lo", "hi", "x.*").where("at >= lo AND at < hi").distinct()
+    begins = changes.withColumn("was", F.lag("down").over(by.orderBy("at", "down"))).where("down = 0 AND was = 1").select(*keys, F.col("at").alias("beg"))
+    begins = begins.unionByName(bounds.select(*keys, F.col("lo").alias("beg"))).distinct()
+    parts = begins.join(bounds, keys).withColumn("next", F.lead("beg").over(by.orderBy("beg"))).withColumn("end", F.coalesce(F.col("next") - 1, "hi"))
+    # Where a part may end: at an end of cover, or right after a change.
+    stops = changes.select(*keys, F.explode(F.when(F.col("down") == 1, F.array("at", F.col("at") + 1)).otherwise(F.array(F.col("at") + 1))).alias("at")).distinct()
+    swept = begins.select(*keys, F.col("beg").alias("at"), F.lit(0).alias("kind")).unionByName(stops.select(*keys, "at", F.lit(1).alias("kind")))
+    swept = swept.withColumn("beg", F.last(F.when(F.col("kind") == 0, F.col("at")), ignorenulls=True).over(by.orderBy("at", "kind").rowsBetween(Window.unboundedPreceding, 0)))
+    fitted = swept.where("kind = 1 AND at > beg").groupBy(*keys, "beg").agg(F.max("at").alias("stop"))
+    parts = parts.join(fitted, [*keys, "beg"], "left").withColumn("end", F.when(F.col("next").isNull(), F.col("end")).otherwise(F.coalesce("stop", "beg"))).select(*keys, "beg", "end", F.col("next").isNull().alias("final"))
+    # Of parts of one position in a row every other one joins its follower.
+    line = by.orderBy("beg")
+    one = (F.col("beg") == F.col("end")) & ~F.col("final")
+    parts = parts.withColumn("one", one.cast("int")).withColumn("run", F.sum(1 - F.col("one")).over(line))
+    number = F.row_number().over(Window.partitionBy(*keys, "run", "one").orderBy("beg"))
+    parts = parts.withColumn("gone", (F.col("one") == 1) & (number % 2 == 1))
+    parts = parts.withColumn("beg", F.when(F.lag("gone").over(line), F.lag("beg").over(line)).otherwise(F.col("beg"))).where("NOT gone").select(*keys, "beg", "end")
+    # How many genomes cover each part and what lies between it and the one before; parts that touch have their two ends between them.
+    parts = parts.withColumns({"k": F.row_number().over(line), "back": F.lag("end").over(line)})
+    between = parts.where("back IS NOT NULL").select(*keys, "k", F.lit(1).alias("gap"), F.least(F.col("back") + 1, F.col("beg") - 1).alias("beg"), F.greatest(F.col("back") + 1, F.col("beg") - 1).alias("end"))
+    asked = parts.select(*keys, "k", F.lit(0).alias("gap"), "beg", "end").unionByName(between)
+    held = overlap_join(asked, cover, keys, bins).groupBy(*keys, F.col("k_a").alias("k")).agg(F.countDistinct(F.when(F.col("gap_a") == 0, F.col("acc_b"))).alias("n"), F.countDistinct(F.when(F.col("gap_a") == 1, F.col("acc_b"))).alias("g"))
+    parts = parts.join(held, [*keys, "k"], "left").na.fill(0, ["n", "g"])
+    apart = F.when(2 * F.col("g") >= F.greatest("n", F.lag("n").over(by.orderBy("k"))), 0).otherwise(1)
+    parts = parts.withColumn("part", F.when(F.col("k") == 1, 1).otherwise(apart)).withColumn("part", F.sum("part").over(by.orderBy("k")))
+    cut = parts.groupBy(*keys, "part").agg(F.min("beg").alias("beg"), F.max("end").alias("end"))
     whole = group_blocks(items.join(several, keys, "left_anti"))
     return cut.unionByName(whole.select(*keys, F.lit(1).cast("long").alias("part"), "beg", "end"))

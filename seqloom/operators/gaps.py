@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from heapq import heapify, heappop, heappush
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -22,54 +24,71 @@ def first_hits(hits: DataFrame, order: str) -> DataFrame:
     return hits.withColumn("__last", F.lag("q_id").over(by)).where("__last IS NULL OR __last <> q_id").drop("__last")
 
 
-def _ranks(values: list) -> list[int]:
-    place = {v: k for k, v in enumerate(sorted(values), 1)}
-    return [place[v] for v in values]
-
-
-def skeleton(hits: list[tuple], least: int = 20_000) -> list[tuple]:
-    """(number, block) of the hits that keep their place; ``hits`` are (number, q_beg, s_lo, s_hi, len, dir), one a fragment.
+def in_order(blocks: list[tuple[int, int, int]], least: int) -> list[int]:
+    """The blocks that stay of (block, place along the query, length), given in their order along the target.
 
-    Along the target: hits that end within the one before fall, then hits out of place on both sides, then
-    blocks out of order, shortest first, while that is up to ``least`` long.  What is left is numbered in blocks
-    of neighbours of one direction.
+    A block is loose while a neighbour along the target is no neighbour along the query; the last one along the target never is.
+    The shortest loose block (ties: the first) falls as long as it is at most ``least`` long.  Neighbours are two
+    linked lists, and loose blocks wait in a heap, so a fall costs a logarithm.
     """
-    place = {h[0]: k for k, h in enumerate(sorted(hits, key=lambda h: (h[1], h[0])), 1)}
-    rows = sorted(hits, key=lambda h: (h[2], -h[4], place[h[0]]))
-    rows = [h for k, h in enumerate(rows) if not k or h[3] > rows[k - 1][3]]
-    ids = _ranks([place[h[0]] for h in rows])
-    jump = [k for k in range(len(ids) - 1) if abs(ids[k + 1] - ids[k]) > 1]
-    lost = set(jump) & {k + 1 for k in jump}
-    rows = [h for k, h in enumerate(rows) if k not in lost]
-    ids = _ranks([place[h[0]] for h in rows])
-    blocks: list[list[int]] = []
-    for k in range(len(rows)):
-        if k and abs(ids[k] - ids[k - 1]) == 1:
-            blocks[-1].append(k)
-        else:
-            blocks.append([k])
-    length = [abs(max(rows[k][3] for k in b) - min(rows[k][2] for k in b)) for b in blocks]
-    live = list(range(len(blocks)))
-    while True:
-        order = _ranks([ids[blocks[b][0]] for b in live])
-        off = [k for k in range(len(order) - 1) if abs(order[k + 1] - order[k]) > 1]
-        off = sorted({x for k in off for x in (k, k + 1) if x < len(live) - 1})
-        if not off or (low := min(length[live[k]] for k in off)) > least:
-            break
-        del live[next(k for k in off if length[live[k]] == low)]
-    rows = [rows[k] for b in live for k in blocks[b]]
-    ids = _ranks([place[h[0]] for h in rows])
-    out, number = [], 0
-    for k, h in enumerate(rows):
-        number += int(not k or abs(ids[k] - ids[k - 1]) != 1 or h[5] != rows[k - 1][5])
-        out.append((h[0], number))
-    return out
+    n = len(blocks)
+    along = [list(range(-1, n - 1)), [*range(1, n), -1]]  # before and after each block, along the target
+    across = [[-1] * n, [-1] * n]  # along the query
+    order = sorted(range(n), key=lambda k: blocks[k][1])
+    for k, m in zip(order, order[1:], strict=False):
+        across[1][k], across[0][m] = m, k
+    alive = [True] * n
+
+    def loose(k: int) -> bool:
+        if k < 0 or not alive[k] or along[1][k] < 0:
+            return False
+        near = (across[0][k], across[1][k])
+        return any(x >= 0 and x not in near for x in (along[0][k], along[1][k]))
+
+    wait = [(blocks[k][2], k) for k in range(n) if loose(k)]
+    heapify(wait)
+    while wait and wait[0][0] <= least:
+        _, k = heappop(wait)
+        if not loose(k):
+            continue
+        alive[k] = False
+        for before, after in (along, across):
+            x, y = before[k], after[k]
+            if x >= 0:
+                after[x] = y
+            if y >= 0:
+                before[y] = x
+        # Whose neighbours are others now, and whose neighbours' neighbours are.
+        touched = {along[0][k], along[1][k], across[0][k], across[1][k]} - {-1}
+        for m in touched:
+            if loose(m):
+                heappush(wait, (blocks[m][2], m))
+    return [blocks[k][0] for k in range(n) if alive[k]]
 
 
 def skeletons(hits: DataFrame, least: int = 20_000) -> DataFrame:
-    """(s_id, number, block) for hits (s_id, number, q_beg, s_beg, s_end, aln_len), one a fragment; a target is solved in one task."""
-    rows = hits.select("s_id", "number", "q_beg", F.least("s_beg", "s_end").alias("lo"), F.greatest("s_beg", "s_end").alias("hi"), F.col("aln_len").alias("len"), (F.col("s_beg") > F.col("s_end")).cast("long").alias("dir"))
-    return solve(rows, ["s_id"], lambda key, own: [(*key, *x) for x in skeleton(own, least)], "s_id long, number long, block long")
+    """(s_id, number, block): the hits of each target that keep the query's order, for hits (s_id, number, q_beg, s_beg, s_end, aln_len), one a fragment.
+
+    Along the target (ties: the longest first) a hit falls if it ends within the one before it, and then if both its neighbours are
+    no neighbours along the query.  What is left forms blocks of neighbours along both; loose blocks of up to ``least``
+    positions fall (``in_order``).  Blocks are numbered anew, and a turn of direction begins one.  A target's
+    hits are sorted in one task, and its blocks, one row each, are solved in one.
+    """
+    rows = hits.select("s_id", "number", "q_beg", F.least("s_beg", "s_end").alias("lo"), F.greatest("s_beg", "s_end").alias("hi"), F.col("aln_len").alias("len"), (F.col("s_beg") > F.col("s_end")).alias("back"))
+    rows = rows.withColumn("place", F.row_number().over(Window.partitionBy("s_id").orderBy("q_beg", "number")))
+    along, across = Window.partitionBy("s_id").orderBy("lo", F.desc("len"), "place"), Window.partitionBy("s_id").orderBy("place")
+    renumbered = lambda df: df.withColumn("place", F.row_number().over(across))
+    step = lambda fn: F.abs(fn("place").over(along) - F.col("place"))
+    rows = renumbered(rows.withColumn("last", F.lag("hi").over(along)).where("last IS NULL OR hi > last"))
+    rows = renumbered(rows.withColumns({"was": step(F.lag), "next": step(F.lead)}).where(~F.coalesce((F.col("was") > 1) & (F.col("next") > 1), F.lit(False))))
+    count = along.rowsBetween(Window.unboundedPreceding, 0)
+    rows = rows.withColumn("new", F.coalesce(step(F.lag) != 1, F.lit(True)).cast("long")).withColumn("own", F.sum("new").over(count))
+    blocks = rows.groupBy("s_id", "own").agg(F.max(F.when(F.col("new") == 1, F.col("place"))).alias("place"), (F.max("hi") - F.min("lo")).alias("length"))
+    kept = solve(blocks.select("s_id", "own", "place", "length"), ["s_id"], lambda key, own: [(*key, k) for k in in_order(sorted(own), least)], f"s_id {hits.schema['s_id'].dataType.simpleString()}, own long")
+    rows = renumbered(rows.drop("new").join(kept, ["s_id", "own"]))
+    same = (step(F.lag) == 1) & (F.lag("back").over(along) == F.col("back"))
+    rows = rows.withColumn("new", F.when(same, 0).otherwise(1))
+    return rows.select("s_id", F.col("number").cast("long").alias("number"), F.sum("new").over(count).alias("block"))
 
 
 # --- free segments ----------------------------------------------------------------------------------

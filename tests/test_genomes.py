@@ -35,20 +35,62 @@ def test_projected_genes(spark):
     assert {(r.id, r.beg, r.end, r.strand) for r in co.to_pan(genes, aln, 5).collect()} == {(1, 1, 3, "+"), (2, 4, 8, "+"), (3, 6, 7, "-"), (4, 9, 11, "-")}
 
 
-def test_groups_and_their_parts(spark):
-    assert an.split_group([("a", 1, 50), ("a", 60, 100), ("b", 1, 48), ("b", 62, 100)]) == [(1, 51), (59, 100)]
-    assert an.split_group([("a", 1, 50), ("a", 60, 100), ("b", 1, 100), ("c", 1, 100)]) == [(1, 100)]
-    assert an.split_group([("a", 5, 9)]) == [(5, 9)]
-    rng = random.Random(2)
-    for _ in range(300):
-        members = [(rng.choice("abc"), b := rng.randrange(1, 60), b + rng.randrange(2, 25)) for _ in range(rng.randrange(1, 8))]
-        parts = an.split_group(members)
-        lo, hi = min(b for _, b, _ in members), max(e for _, _, e in members)
-        assert parts[0][0] == lo and parts[-1][1] == hi
-        assert all(a[0] <= a[1] and a[1] < b[0] for a, b in zip(parts, parts[1:], strict=False))
-    f = spark.createDataFrame([(1, "+", a, b, e) for a, b, e in (("a", 1, 50), ("a", 60, 100), ("b", 1, 48), ("b", 62, 100), ("b", 49, 61), ("c", 300, 400))], "chr long, strand string, acc string, beg long, end long")
-    got = {(r.group, r.part, r.beg, r.end) for r in an.split_groups(an.grouped(f)).collect()}
-    assert (2, 1, 300, 400) in got and {g for g, _, _, _ in got} == {1, 2}
+def plain_parts(members):
+    """Parts of one group of (acc, beg, end), position by position."""
+    lo, hi = min(b for _, b, _ in members), max(e for _, _, e in members)
+    cov = {p: frozenset(a for a, b, e in members if b <= p <= e) for p in range(lo, hi + 1)}
+    starts, last = [lo], None
+    for p in range(lo, hi):
+        if cov[p + 1] - cov[p]:
+            if last == "down":
+                starts.append(p)
+            last = "up"
+        if cov[p] - cov[p + 1]:
+            last = "down"
+    starts = sorted(set(starts))
+    parts = []
+    for b, following in zip(starts, [*starts[1:], None], strict=True):
+        e = hi if following is None else following - 1
+        while following is not None and e > b and not cov[e] - cov[e + 1] and cov[e] == cov[e - 1]:
+            e -= 1
+        parts.append((b, e))
+    joined, carried = [], None
+    for k, (b, e) in enumerate(parts):
+        b, carried = (b if carried is None else carried), None
+        if b == e and k < len(parts) - 1:
+            carried = b
+        else:
+            joined.append((b, e))
+    held = lambda b, e: len(frozenset().union(*[cov[p] for p in range(min(b, e), max(b, e) + 1)]))
+    out = []
+    for k, (b, e) in enumerate(joined):
+        if k and 2 * held(joined[k - 1][1] + 1, b - 1) >= max(held(*joined[k - 1]), held(b, e)):
+            out[-1] = (out[-1][0], e)
+        else:
+            out.append((b, e))
+    return out
+
+
+def test_split_groups(spark):
+    """Groups with repeated genomes against the rule, position by position."""
+    assert plain_parts([("a", 1, 50), ("a", 60, 100), ("b", 1, 48), ("b", 62, 100)]) == [(1, 51), (59, 100)]
+    assert plain_parts([("a", 1, 50), ("a", 60, 100), ("b", 1, 100), ("c", 1, 100)]) == [(1, 100)]
+    rng, groups = random.Random(2), {}
+    for g in range(400):
+        span = rng.choice([12, 60])
+        groups[g] = [(rng.choice("abcde"), b := rng.randrange(1, span), b + rng.randrange(0, 25)) for _ in range(rng.randrange(1, 9))]
+    rows = [(1, "+", g, *m) for g, own in groups.items() for m in own]
+    rows += rows[:50]  # repeated rows
+    items = spark.createDataFrame(rows, "chr long, strand string, group long, acc string, beg long, end long")
+    got = {}
+    for r in an.split_groups(items).collect():
+        got.setdefault(r.group, []).append((r.part, r.beg, r.end))
+    for g in groups:
+        own = [m[3:] for m in rows if m[2] == g]
+        accs = [m[0] for m in own]
+        want = plain_parts(own) if len(set(accs)) < len(accs) else [(min(b for _, b, _ in own), max(e for _, _, e in own))]
+        assert sorted(got[g]) == [(k, b, e) for k, (b, e) in enumerate(want, 1)], own
+    assert an.split_groups(items.limit(0)).collect() == []
 
 
 def test_chromosome_names(spark):
@@ -58,18 +100,72 @@ def test_chromosome_names(spark):
     assert sorted(r.chr for r in an.chromosome_numbers(g, least=0.5).collect()) == [3, 12]
 
 
-def test_skeleton():
+def plain_order(blocks, least):
+    """Blocks that stay, all of them looked at again after each fall."""
+    live = list(blocks)
+    while True:
+        query = sorted(x[1] for x in live)
+        near = lambda x, y: abs(query.index(x[1]) - query.index(y[1])) == 1  # noqa: E731, B023
+        loose = [x for k, x in enumerate(live[:-1]) if not near(x, live[k + 1]) or (k and not near(x, live[k - 1]))]
+        loose = [x for x in loose if x[2] <= least]
+        every = [x for k, x in enumerate(live[:-1]) if not near(x, live[k + 1]) or (k and not near(x, live[k - 1]))]
+        if not loose or min(x[2] for x in every) > least:
+            return [x[0] for x in live]
+        live.remove(min(loose, key=lambda x: (x[2], live.index(x))))  # noqa: B023
+
+
+def plain_skeleton(hits, least):
+    """(number, block) of hits (number, q_beg, lo, hi, len, back)."""
+    by_query = lambda rows: {h[0]: k for k, h in enumerate(sorted(rows, key=lambda h: (h[1], h[0])))}
+    place = by_query(hits)
+    rows = sorted(hits, key=lambda h: (h[2], -h[4], place[h[0]]))
+    rows = [h for before, h in zip([None, *rows], rows, strict=False) if before is None or h[3] > before[3]]
+    place = by_query(rows)
+    far = lambda x, y: abs(place[x[0]] - place[y[0]]) > 1
+    rows = [h for k, h in enumerate(rows) if not (0 < k < len(rows) - 1 and far(rows[k - 1], h) and far(h, rows[k + 1]))]
+    place, blocks = by_query(rows), []
+    for k, h in enumerate(rows):
+        if k and not far(rows[k - 1], h):
+            blocks[-1].append(h)
+        else:
+            blocks.append([h])
+    kept = plain_order([(k, place[b[0][0]], max(h[3] for h in b) - min(h[2] for h in b)) for k, b in enumerate(blocks)], least)
+    rows = [h for k in kept for h in blocks[k]]
+    place, out = by_query(rows), []
+    for k, h in enumerate(rows):
+        new = not k or far(rows[k - 1], h) or h[5] != rows[k - 1][5]
+        out.append((h[0], (out[-1][1] if out else 0) + int(new)))
+    return out
+
+
+def test_blocks_in_order():
+    rng = random.Random(8)
+    for _ in range(400):
+        n = rng.randrange(0, 14)
+        places = rng.sample(range(100), n)
+        blocks = [(k, places[k], rng.randrange(1, 12)) for k in range(n)]
+        least = rng.choice([3, 8, 100])
+        assert gp.in_order(blocks, least) == plain_order(blocks, least)
+
+
+def test_skeletons(spark):
+    rng, rows, targets = random.Random(1), [], {}
     line = [(k, 100 * k, 1000 * k, 1000 * k + 400, 400, 0) for k in range(8)]
-    assert gp.skeleton(line) == [(k, 1) for k in range(8)]
-    # One hit out of place on both sides falls; a turn of direction begins a new block.
-    assert gp.skeleton([*line, (90, 250, 4500, 4700, 200, 0)]) == [(k, 1) for k in range(8)]
-    # Of blocks out of order the shortest fall, the last one being left alone.
-    assert [x[0] for x in gp.skeleton([*line, (90, 250, 20_000, 20_400, 400, 0)])] == [3, 4, 5, 6, 7, 90]
-    turned = [h if h[0] < 4 else (*h[:5], 1) for h in line]
-    assert [b for _, b in gp.skeleton(turned)] == [1] * 4 + [2] * 4
-    # A hit inside the one before it falls.
-    assert [x[0] for x in gp.skeleton([*line, (50, 10, 1100, 1200, 100, 0)])] == list(range(8))
-    assert gp.skeleton([]) == []
+    targets["line"], targets["place"] = line, [*line, (90, 250, 4500, 4700, 200, 0)]
+    targets["turn"], targets["inside"] = [h if h[0] < 4 else (*h[:5], 1) for h in line], [*line, (50, 10, 1100, 1200, 100, 0)]
+    for t in range(150):
+        targets[f"t{t}"] = [(k, rng.randrange(60), b := rng.randrange(200), b + rng.randrange(30), rng.randrange(1, 5), rng.randrange(2)) for k in range(rng.randrange(1, 16))]
+    for t, own in targets.items():
+        rows += [(t, n, q, *((lo, hi) if not back or lo == hi else (hi, lo)), size) for n, q, lo, hi, size, back in own]
+    hits = spark.createDataFrame(rows, "s_id string, number long, q_beg long, s_beg long, s_end long, aln_len long")
+    got = {}
+    for r in gp.skeletons(hits, 40).collect():
+        got.setdefault(r.s_id, []).append((r.number, r.block))
+    for t, own in targets.items():
+        own = [(*h[:5], int(h[5] and h[2] < h[3])) for h in own]
+        assert sorted(got.get(t, [])) == sorted(plain_skeleton(own, 40)), own
+    assert sorted(got["line"]) == [(k, 1) for k in range(8)] and sorted(got["place"]) == [(k, 1) for k in range(8)]
+    assert [b for _, b in sorted(got["turn"])] == [1] * 4 + [2] * 4 and sorted(n for n, _ in got["inside"]) == list(range(8))
 
 
 def test_free_segments_and_ends(spark):
