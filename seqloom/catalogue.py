@@ -18,6 +18,7 @@ from seqloom.operators import hits as ht
 from seqloom.operators import intervals as iv
 from seqloom.operators import kernels as ke
 from seqloom.operators import orfs as of
+from seqloom.operators import refine as rf
 from seqloom.operators import runs as rn
 from seqloom.operators import similarity as si
 from seqloom.operators import variants as va
@@ -267,3 +268,21 @@ add("pairwise_align", on(fx.pairs_of_text, ke.pairwise))
 add("local_msa", on(fx.pairs_of_text, lambda p: ke.star_alignments(p.select("id", F.explode(F.array("s1", "s2", F.concat("s1", "s2"))).alias("seq")))))
 add("mask_unaligned", on(fx.aligned, ke.mask_unaligned))
 add("best_chromosome", on(fx.positions, lambda a: ke.best_chromosomes(a, 5)))
+
+
+def _near(spark: SparkSession, d: str) -> DataFrame:
+    """(aln, i, j, d): word distances of the rows of each alignment."""
+    return si.kmer_distance(wide(spark, d))
+
+
+def _sides(rows: DataFrame) -> DataFrame:
+    """(id, side, row, seq): each alignment's odd and even rows as alignments of their own."""
+    return rows.select(F.col("aln").alias("id"), (F.col("row") % 2 + 1).alias("side"), "row", "seq")
+
+
+add("dendrogram", on(_near, lambda n: rf.dendrogram(n).withColumn("height", F.round("height", 9))))
+add("leaf_order", on(_near, rf.leaf_order))
+add("linkage_clusters", on(_near, lambda n: rf.linkage_clusters(n, 0.9)))
+add("merged_profiles", on(fx.aligned, lambda a: rf.merged_profiles(_sides(a))))
+add("shared_blocks", on(fx.aligned, lambda a: rf.shared_blocks(rf.merged_profiles(_sides(a)))))
+add("refined_alignments", on(fx.pairs_of_text, lambda p: rf.refined_alignments(p.select("id", F.posexplode(F.array("s1", "s2", F.concat("s1", "s2"), F.concat("s2", "s1"))).alias("row", "seq")))))

@@ -67,6 +67,40 @@ def repeated_share(text: str, size: int, cutoff: int) -> float | None:
     return float(counts[counts > cutoff].sum() / n)
 
 
+def word_codes(seq: np.ndarray, size: int) -> np.ndarray:
+    """All words of ``size`` (at most 8) symbols in order, a byte a symbol."""
+    n = max(len(seq) - size + 1, 0)
+    out = np.zeros(n, dtype=np.uint64)
+    for k in range(size):
+        out = (out << np.uint64(8)) | seq[k : k + n]
+    return out
+
+
+def shared_words(words: np.ndarray, row: np.ndarray, rows: int, chunk: int = 1 << 22) -> np.ndarray:
+    """(rows, rows): the sum over all words of the smaller of two rows' counts; only rows with a word in common meet, ``chunk`` meetings at a time."""
+    word = np.unique(words, return_inverse=True)[1].astype(np.int64)
+    key, count = np.unique(word * rows + row, return_counts=True)
+    word, row = key // max(rows, 1), key % max(rows, 1)
+    start = np.flatnonzero(np.diff(word, prepend=-1))
+    size = np.diff(np.append(start, len(word)))
+    upto = np.repeat(start + size, size)
+    follow = upto - np.arange(len(word)) - 1  # rows with the same word that come later
+    out = np.zeros(rows * rows, dtype=np.int64)
+    ends = np.cumsum(follow)
+    at = 0
+    while at < len(word):
+        past = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chunk, side="right")))
+        n = follow[at:past]
+        a = np.repeat(np.arange(at, past), n)
+        b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+        if len(a):
+            out += np.bincount(row[a] * rows + row[b], weights=np.minimum(count[a], count[b]), minlength=rows * rows).astype(np.int64)
+        at = past
+    out = out.reshape(rows, rows)
+    own = np.bincount(row, weights=count, minlength=rows).astype(np.int64)
+    return out + out.T + np.diag(own)
+
+
 def running(text: str, flank: int) -> list[int]:
     """Positions of the symbols from 1 on, less ``flank``; 0 at gaps and in ``flank`` symbols at each end."""
     here = symbols(text) != GAP

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 NONE = -(1 << 40)
@@ -86,3 +88,42 @@ def through(a: np.ndarray, b: np.ndarray, x: int, y: int, size: int, scores: np.
     right, _, _, on = extend(a[x + size :], b[y + size :], scores, opening, extension, drop)
     own = int(scores[a[x : x + size], b[y : y + size]].sum())
     return left + own + right, x - i, y - j, back[::-1] + "M" * size + on
+
+
+def whole(score: Callable[[int], np.ndarray], n: int, m: int, opening: int, extension: int) -> tuple[int, str]:
+    """(score, path) of the best alignment of all ``n`` with all ``m`` places; ``score(i)`` is the row of place ``i``'s scores with each of the others.
+
+    A gap of k costs opening + k * extension.  One byte a cell is kept.
+    """
+    ramp = extension * np.arange(m + 1)
+    side = -opening - ramp
+    h = side.copy()
+    h[0], side[0] = 0, NONE
+    v = np.full(m + 1, NONE)
+    flags = np.zeros((n + 1, m + 1), dtype=np.uint8)
+    for i in range(1, n + 1):
+        up, on = h - opening - extension, v - extension
+        pair = np.full(m + 1, NONE)
+        pair[1:] = h[:-1] + score(i - 1)
+        v = np.maximum(up, on)
+        t = np.maximum(pair, v)
+        side = np.full(m + 1, NONE)
+        side[1:] = np.maximum.accumulate(t + ramp)[:-1] - ramp[1:] - opening
+        flags[i] = (pair >= v) | (on > up) * np.uint8(2) | (side > t) * np.uint8(4)
+        flags[i, 1:] |= (side[1:] > t[:-1] - opening - extension) * np.uint8(8)
+        h = np.maximum(t, side)
+    path, i, j, state = [], n, m, ""
+    while i or j:
+        cell = flags[i, j]
+        if not i or state == "B" or not state and cell & 4:
+            path.append("B")
+            state = "B" if cell & 8 else "T"  # T: what the gap began from, which is no such gap itself
+            j -= 1
+        elif state != "A" and cell & 1:
+            path.append("M")
+            i, j, state = i - 1, j - 1, ""
+        else:
+            path.append("A")
+            state = "A" if cell & 2 else ""
+            i -= 1
+    return int(h[m]), "".join(path)[::-1]

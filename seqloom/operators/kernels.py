@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.functions import codes
 from seqloom.plans.groups import solve
 
 Hit = tuple[int, int, int, int]  # q_beg, q_end, s_beg, s_end on forward axes
@@ -242,14 +243,23 @@ def pairwise(pairs: DataFrame) -> DataFrame:
     return pairs.select("id", "s1", "s2").mapInPandas(kernel, "id long, a1 string, a2 string, score long")
 
 
+def word_distances(seqs: list[str], size: int = 7) -> np.ndarray:
+    """Distances of all pairs: differences of their counts of words over the longer length."""
+    found = [codes.word_codes(codes.symbols(s), size) for s in seqs]
+    row = np.repeat(np.arange(len(seqs)), [len(w) for w in found])
+    shared = codes.shared_words(np.concatenate([np.zeros(0, np.uint64), *found]), row, len(seqs))
+    words, length = np.array([len(w) for w in found]), np.array([len(s) for s in seqs])
+    longer = np.maximum(np.maximum(length[:, None], length[None, :]), 1)
+    return (words[:, None] + words[None, :] - 2 * shared) / longer
+
+
 def star(seqs: list[str]) -> list[str]:
-    """A multiple alignment around the sequence that is nearest to all: distinct sequences are aligned once."""
+    """A multiple alignment around the sequence whose words are nearest to those of all (ties: the longest, then the last): each distinct sequence is aligned with it once."""
     unique = sorted(set(s for s in seqs if s), key=lambda s: (-len(s), s))
     if not unique:
         return list(seqs)
-    scores = {(s, t): align(s, t)[2] for s in unique for t in unique if s < t}
-    total = {s: sum(v for k, v in scores.items() if s in k) for s in unique}
-    center = max(unique, key=lambda s: (total[s], len(s), s))
+    total = dict(zip(unique, word_distances(unique, 4).sum(axis=1).round(9), strict=True))
+    center = max(unique, key=lambda s: (-total[s], len(s), s))
     # How many symbols stand before each centre symbol, at most over all pairs.
     placed = {}
     before = [0] * (len(center) + 1)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from seqloom.functions import codes
 from seqloom.functions.sequence import rev_compl, words
 from seqloom.operators.components import connected_components
-from seqloom.plans.groups import meet, pair_blocks
+from seqloom.plans.groups import meet, pair_blocks, sorted_groups
 
 
 def dots(pairs: DataFrame, size: int = 10, matches: int = 9) -> DataFrame:
@@ -77,28 +77,33 @@ def dot_score(pairs: DataFrame, size: int = 10, matches: int = 9) -> DataFrame:
     return pairs.join(n, "id", "left").select("id", F.round(F.coalesce("k", F.lit(0)) / F.nullif(mean, F.lit(0)), 9).alias("score"))
 
 
-def kmer_counts(seqs: DataFrame, size: int, keys: list[str]) -> DataFrame:
-    """(keys, w, n)"""
-    return seqs.select(*keys, F.explode(words(F.col("seq"), size)).alias("w")).groupBy(*keys, "w").agg(F.count("*").alias("n"))
+def kmer_distance(rows: DataFrame, size: int = 7, block: int = 256) -> DataFrame:
+    """(aln, i, j, d): Manhattan distance of counts of words (at most 8 symbols) over the longer length, for pairs of ungapped rows i < j.
 
-
-def kmer_distance(rows: DataFrame, size: int = 7) -> DataFrame:
-    """(aln, i, j, d): Manhattan distance of word counts over the longer length, for pairs of ungapped rows i < j.
-
-    |a - b| summed over all words is |A| + |B| - 2 sum of min, so only shared words are joined.
+    |a - b| summed over all words is |A| + |B| - 2 sum of min, and only rows with a word in common meet.  Rows meet in pairs
+    of blocks of ``block``, so a task holds that many sequences twice, however large the alignment.
     """
-    s = rows.select("aln", "row", F.replace("seq", F.lit("-"), F.lit("")).alias("seq")).where(F.length("seq") > 0)
-    n = kmer_counts(s, size, ["aln", "row"])
-    a, b = n.alias("a"), n.alias("b")
-    shared = a.join(b, (F.col("a.aln") == F.col("b.aln")) & (F.col("a.w") == F.col("b.w")) & (F.col("a.row") < F.col("b.row")))
-    shared = shared.groupBy(F.col("a.aln").alias("aln"), F.col("a.row").alias("i"), F.col("b.row").alias("j")).agg(F.sum(F.least("a.n", "b.n")).alias("m"))
-    own = s.select("aln", F.col("row"), F.length("seq").alias("len"), F.greatest(F.length("seq") - (size - 1), F.lit(0)).alias("k"))
-    # A large alignment's rows meet in pairs of blocks, so no task holds all its pairs.
-    dealt = pair_blocks(own, "aln", "row")
-    i = dealt.select("aln", "lo", "hi", F.col("own").alias("oi"), F.col("row").alias("i"), F.col("len").alias("li"), F.col("k").alias("ki"))
-    j = dealt.select("aln", "lo", "hi", F.col("own").alias("oj"), F.col("row").alias("j"), F.col("len").alias("lj"), F.col("k").alias("kj"))
-    pairs = i.join(j, ["aln", "lo", "hi"]).where("i < j and (lo = hi or oi <> oj)").join(shared, ["aln", "i", "j"], "left")
-    return pairs.select("aln", "i", "j", F.round((F.col("ki") + F.col("kj") - 2 * F.coalesce("m", F.lit(0))) / F.greatest("li", "lj"), 9).alias("d"))
+    kind = rows.schema["aln"].dataType.simpleString()
+
+    def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in sorted_groups(batches, 3):
+            lo, hi, own, row = (group.column(k).to_numpy() for k in (1, 2, 3, 4))
+            left, right = np.flatnonzero(own == lo[0]), np.flatnonzero(own == hi[0])
+            if not len(left) or not len(right):
+                continue
+            seqs = [codes.symbols(t) for t in group.column(5).to_pylist()]
+            found = [codes.word_codes(s, size) for s in seqs]
+            words, length = np.array([len(w) for w in found]), np.array([len(s) for s in seqs])
+            shared = codes.shared_words(np.concatenate(found), np.repeat(np.arange(len(seqs)), words), len(seqs))
+            p, q = np.nonzero((row[left][:, None] < row[right][None, :]) | (lo[0] != hi[0]))
+            a, b = left[p], right[q]
+            a, b = np.where(row[a] < row[b], a, b), np.where(row[a] < row[b], b, a)
+            d = (words[a] + words[b] - 2 * shared[a, b]) / np.maximum(length[a], length[b])
+            yield pa.RecordBatch.from_arrays([pa.array([group.column(0)[0].as_py()] * len(a), group.column(0).type), pa.array(row[a]), pa.array(row[b]), pa.array(d)], ["aln", "i", "j", "d"])
+
+    own = rows.select("aln", F.col("row").cast("long").alias("row"), F.replace("seq", F.lit("-"), F.lit("")).alias("seq")).where(F.length("seq") > 0)
+    dealt = pair_blocks(own, "aln", "row", block).select("aln", "lo", "hi", "own", "row", "seq").repartition("aln", "lo", "hi").sortWithinPartitions("aln", "lo", "hi")
+    return dealt.mapInArrow(kernel, f"aln {kind}, i long, j long, d double").withColumn("d", F.round("d", 9))
 
 
 def clusters(distances: DataFrame, cutoff: float) -> DataFrame:
