@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from seqloom import catalogue as ca
 from seqloom.functions import sequence as sq
 from seqloom.operators import annotations as an
+from seqloom.operators import assembly as am
 from seqloom.operators import chromosomes as ch
 from seqloom.operators import coordinates as co
 from seqloom.operators import families as fa
 from seqloom.operators import gaps as gp
+from seqloom.operators import graphs as gr
 from seqloom.operators import hits as ht
 from seqloom.operators import intervals as iv
 from seqloom.operators import orfs as of
@@ -635,3 +637,58 @@ SELECT b.chr, b.acc, b.pan AS beg, e.pan AS "end" FROM bl b
 JOIN bl e ON e.chr = b.chr AND e.acc = b.acc AND e.block = b.block AND e.pan = b.pan + b.pan % 11 WHERE b.pan % 3 = 0""",
     "positions",
 )
+
+
+# --- the final axis ---------------------------------------------------------------------------------
+def _axis(pos: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A map with breaks of five columns, and alignments of the loci there: some wider, some that fail, some with a position that stands elsewhere."""
+    seg = F.floor((F.col("pan") - 1) / 50)
+    breaks = pos.select("chr", seg.alias("id")).distinct().select("chr", "id", (50 * F.col("id") + 10).alias("beg"), (50 * F.col("id") + 16).alias("end"), (F.col("id") % 5 + 4).alias("width"))
+    inside = pos.withColumn("id", seg).where("pan - 50 * id BETWEEN 11 AND 15")
+    loci = inside.select("chr", "id", "acc", (F.col("pan") - 50 * F.col("id") - 10 + F.col("acc") % (F.col("id") % 5 + 1)).alias("col"), (F.col("own") - F.when(F.col("id") % 11 == 3, 6).otherwise(0)).alias("own"))
+    return pos, breaks, loci
+
+
+AXIS = """seg AS (SELECT *, (pan - 1) // 50 AS id FROM pos),
+ brk AS (SELECT chr, id, 50 * id + 10 AS beg, 50 * id + 16 AS "end", id % 5 + 4 AS width, CASE WHEN id % 5 + 4 < 5 THEN 0 ELSE id % 5 - 1 END AS gain FROM (SELECT DISTINCT chr, id FROM seg)),
+ loc AS (SELECT chr, id, acc, pan - 50 * id - 10 + acc % (id % 5 + 1) AS col, own - CASE WHEN id % 11 = 3 THEN 6 ELSE 0 END AS own FROM seg WHERE pan - 50 * id BETWEEN 11 AND 15),
+ cum AS (SELECT *, coalesce(sum(gain) OVER (PARTITION BY chr ORDER BY beg ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS shift FROM brk),
+ kept AS (SELECT p.chr, p.acc, p.pan + c.shift + CASE WHEN p.pan >= c."end" THEN c.gain ELSE 0 END AS pan, p.own, 0 AS locus FROM seg p JOIN cum c ON c.chr = p.chr AND c.id = p.id WHERE p.own <> 0 AND p.pan - 50 * p.id NOT BETWEEN 11 AND 15),
+ added AS (SELECT l.chr, l.acc, c.beg + c.shift + l.col AS pan, l.own, 1 AS locus FROM loc l JOIN cum c ON c.chr = l.chr AND c.id = l.id WHERE l.own <> 0 AND c.width >= 5 AND l.col BETWEEN 1 AND c.width),
+ whole AS (SELECT chr, acc, pan::BIGINT AS pan, own, locus, row_number() OVER (PARTITION BY chr, acc, abs(own) ORDER BY locus, pan, own) AS k FROM (SELECT * FROM kept UNION ALL SELECT * FROM added))"""
+add("assembled_axis", on(fx.positions, lambda p: am.assembled(*_axis(p), doubles="zero")), f", {AXIS} SELECT chr, acc, pan, own FROM whole WHERE k = 1 OR locus = 0", "positions")
+add("assembled_coverage", on(fx.positions, lambda p: am.coverage(am.assembled(*_axis(p), doubles="zero"))), f", {AXIS} SELECT chr, acc, count(*) AS coverage FROM whole WHERE k = 1 OR locus = 0 GROUP BY chr, acc", "positions")
+
+
+def _lines(o: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Loci of a few genomes each, with some loci without any, and the genomes."""
+    text = F.repeat(F.lit("ACGT-"), (F.col("o_custkey") % 7).cast("int"))
+    return o.where("o_custkey % 9 <> 4").select(F.col("o_custkey").alias("locus"), (F.col("o_orderkey") % 20).alias("genome"), text.alias("seq")), o.select((F.col("o_orderkey") % 23).alias("genome"))
+
+
+add(
+    "genome_lines",
+    lambda spark, d: am.genome_lines(*_lines(spark.read.parquet(f"{d}/orders.parquet"))),
+    """WITH loc AS (SELECT DISTINCT o_custkey AS locus, o_orderkey % 20 AS genome, repeat('ACGT-', (o_custkey % 7)::INT) AS seq FROM orders WHERE o_custkey % 9 <> 4),
+ wanted AS (SELECT genome, locus FROM (SELECT DISTINCT o_orderkey % 23 AS genome FROM orders) g, (SELECT unnest(range(1, (SELECT max(locus) FROM loc) + 1)) AS locus) l),
+ wide AS (SELECT locus, max(length(seq)) AS n FROM loc GROUP BY locus)
+SELECT w.genome, w.locus, coalesce(l.seq, repeat('-', wide.n::INT), '') AS seq FROM wanted w LEFT JOIN wide ON wide.locus = w.locus LEFT JOIN loc l ON l.locus = w.locus AND l.genome = w.genome""",
+)
+add(
+    "inserted_back",
+    on(fx.positions, lambda p: am.inserted_back(p, p.where("acc = 1 OR pan % 7 <> 3").where("acc <> 1 OR pan % 5 <> 2").withColumn("pan", 2 * F.col("pan")), 1)),
+    """, fin AS (SELECT chr, acc, 2 * pan AS pan, own FROM pos WHERE (acc = 1 AND pan % 5 <> 2) OR (acc <> 1 AND pan % 7 <> 3))
+SELECT chr, acc, pan, own FROM fin
+UNION ALL SELECT p.chr, p.acc, f.pan, p.own FROM pos p JOIN pos r ON r.chr = p.chr AND r.pan = p.pan AND r.acc = 1 JOIN fin f ON f.chr = r.chr AND f.acc = 1 AND f.own = r.own
+WHERE p.acc <> 1 AND NOT EXISTS (SELECT 1 FROM fin x WHERE x.chr = p.chr AND x.acc = p.acc AND x.own = p.own)""",
+    "positions",
+)
+add(
+    "filtered_edges",
+    on(fx.edges, lambda e: gr.filtered_edges(e.unionByName(e.where("src % 3 = 0").select(F.col("dst").alias("src"), F.col("src").alias("dst"))).distinct(), least=3, paired=True)),
+    f""", {ca._CC}, two AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges WHERE src % 3 = 0),
+ big AS (SELECT two.* FROM two JOIN comp ON comp.node = two.src WHERE comp.component IN (SELECT component FROM comp GROUP BY component HAVING count(*) >= 3)),
+ pair AS (SELECT x.src, x.dst FROM big x JOIN big y ON y.src = x.dst AND y.dst = x.src), held AS (SELECT src AS v FROM pair UNION SELECT dst FROM pair)
+SELECT src, dst FROM big WHERE src IN (SELECT v FROM held)""",
+    "edges",
+)

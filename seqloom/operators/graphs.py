@@ -222,6 +222,39 @@ def bridges(edges: DataFrame) -> DataFrame:
     return tagged.select("src", "dst", "component").groupBy("component").applyInPandas(kernel, "src long, dst long")
 
 
+def between_communities(edges: DataFrame, groups: DataFrame) -> DataFrame:
+    """``edges`` without those whose ends are in different communities of ``groups`` (node, community), or in none."""
+    g = groups.select(F.col("node").alias("src"), F.col("community").alias("__a"))
+    h = groups.select(F.col("node").alias("dst"), F.col("community").alias("__b"))
+    return edges.join(g, "src").join(h, "dst").where("__a = __b").select(*edges.columns)
+
+
+def within_cycles(edges: DataFrame) -> DataFrame:
+    """``edges`` whose ends both have a link that is no bridge."""
+    cuts = bridges(edges).select(F.col("src").alias("a"), F.col("dst").alias("b"))
+    und = edges.select(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).where("a <> b").distinct()
+    held = und.join(cuts, ["a", "b"], "left_anti").select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    return edges.join(held.withColumnRenamed("node", "src"), "src", "left_semi").join(held.withColumnRenamed("node", "dst"), "dst", "left_semi").select(*edges.columns)
+
+
+def without_singletons(edges: DataFrame) -> DataFrame:
+    """``edges`` that begin at a node of a link that stands in both directions."""
+    back = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst")).distinct()
+    held = edges.join(back, ["src", "dst"], "left_semi").select(F.explode(F.array("src", "dst")).alias("src")).distinct()
+    return edges.join(held, "src", "left_semi").select(*edges.columns)
+
+
+def filtered_edges(edges: DataFrame, least: int | None = None, groups: DataFrame | None = None, cycles: bool = False, paired: bool = False) -> DataFrame:
+    """The filters of a graph in their order: components of ``least`` nodes, links within communities, nodes on cycles, nodes of links in both directions."""
+    if least is not None:
+        edges = without_small(edges, least)
+    if groups is not None:
+        edges = between_communities(edges, groups)
+    if cycles:
+        edges = within_cycles(cut(edges))
+    return without_singletons(cut(edges)) if paired else edges
+
+
 def communities(edges: DataFrame) -> DataFrame:
     """(node, community) by label propagation: each node takes its neighbours' most frequent label, ties to the smaller.
 
