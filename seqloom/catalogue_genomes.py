@@ -556,10 +556,15 @@ add(
     "edges",
 )
 add("row_keys", on(fx.edges, lambda e: tb.row_keys(e, ["src", "dst"])), "SELECT src, dst, src || '_' || dst AS key FROM edges", "edges")
+def _counted(spark: SparkSession, d: str, table: str, column: str) -> int:
+    return spark.read.parquet(f"{d}/{table}.parquet").agg(F.countDistinct(column)).first()[0]
+
+
 add(
     "combinations",
-    lambda spark, d: tb.combinations(spark, 4, 3, "all2all").unionByName(tb.combinations(spark, 5, 5)),
-    "SELECT q, r FROM range(1, 5) a(q), range(1, 4) b(r) UNION ALL SELECT q, q FROM range(1, 6) a(q)",
+    lambda spark, d: tb.combinations(spark, _counted(spark, d, "supplier", "s_suppkey"), _counted(spark, d, "customer", "c_nationkey"), "all2all").unionByName(tb.combinations(spark, *[_counted(spark, d, "part", "p_partkey")] * 2)),
+    """SELECT q, r FROM range(1, (SELECT count(DISTINCT s_suppkey) + 1 FROM supplier)) a(q), range(1, (SELECT count(DISTINCT c_nationkey) + 1 FROM customer)) b(r)
+UNION ALL SELECT q, q FROM range(1, (SELECT count(DISTINCT p_partkey) + 1 FROM part)) a(q)""",
 )
 add(
     "symbols",

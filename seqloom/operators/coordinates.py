@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.operators.intervals import overlap_join
+
 AXIS = ["chr", "acc"]
 
 
@@ -224,3 +226,23 @@ def split_turns(found: DataFrame, n: int = 5) -> DataFrame:
     cols = ["pan_b", "pan_e", "own_b", "own_e"]
     whole = whole.withColumns({c: F.col(c).cast("double") for c in cols})
     return split_edges(marked.where("__turn"), n).unionByName(whole).drop("__turn")
+
+
+def fragments(bases: DataFrame, wanted: DataFrame, bins: int = 1 << 12) -> DataFrame:
+    """(id, acc, pan_beg, pan_end, seq): every genome's aligned bases in regions (id, chr, acc, beg, end) of one genome's own coordinates.
+
+    ``bases`` is (chr, acc, pan, own, nt).  A column without a base is ``-``; a genome of the chromosome without any has gaps
+    alone.  Regions with an end that is not mapped are left out.  A region's row of one genome is one string.
+    """
+    at = lambda end: bases.select("chr", "acc", F.abs("own").alias(end), F.col("pan").alias(f"__{end}"))
+    ends = wanted.join(at("beg"), ["chr", "acc", "beg"]).join(at("end"), ["chr", "acc", "end"])
+    spans = ends.select("id", "chr", F.least("__beg", "__end").alias("beg"), F.greatest("__beg", "__end").alias("end"))
+    points = bases.select("chr", "acc", F.col("pan").alias("beg"), F.col("pan").alias("end"), "nt")
+    inside = overlap_join(points, spans, ["chr"], bins).select(F.col("id_b").alias("id"), F.col("acc_a").alias("acc"), F.col("beg_a").alias("pan"), F.col("nt_a").alias("nt"), F.col("beg_b").alias("lo"))
+    before = F.coalesce(F.lag("pan").over(Window.partitionBy("id", "acc").orderBy("pan")), F.col("lo") - 1)
+    piece = F.concat(F.repeat(F.lit("-"), (F.col("pan") - before - 1).cast("int")), "nt")
+    held = inside.withColumn("piece", piece).groupBy("id", "acc").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pan", "piece"))), lambda x: x["piece"]), "").alias("seq"))
+    genomes = bases.groupBy("chr").agg(F.collect_set("acc").alias("accs"))  # one row a chromosome
+    every = spans.join(genomes, "chr").select("id", "beg", "end", F.explode("accs").alias("acc"))
+    out = every.join(held, ["id", "acc"], "left")
+    return out.select("id", "acc", F.col("beg").alias("pan_beg"), F.col("end").alias("pan_end"), F.rpad(F.coalesce("seq", F.lit("")), (F.col("end") - F.col("beg") + 1).cast("int"), F.lit("-")).alias("seq"))

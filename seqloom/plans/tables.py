@@ -55,3 +55,14 @@ def heat(cells: DataFrame, by: str | None = None, binary: bool = False) -> DataF
     ends = out.groupBy(F.col(by).alias("__by")).agg(F.min(real).alias("__lo"), F.max(real).alias("__hi"))
     scaled = (F.col("value") - F.col("__lo")) / F.nullif(F.col("__hi") - F.col("__lo"), F.lit(0.0))
     return out.join(ends, F.col(by).eqNullSafe(F.col("__by"))).select("row", "col", scaled.alias("value"), "label")
+
+
+def shared_prefix(df: DataFrame, keys: list[str], column: str, most: int = 1000) -> DataFrame:
+    """(keys, prefix): the longest common prefix, of up to ``most`` characters, of each group's texts, null ones left out.
+
+    The first and the last text by order have no longer prefix in common than all have.
+    """
+    ends = df.groupBy(*keys).agg(F.min(column).alias("__lo"), F.max(column).alias("__hi"))
+    sizes = F.sequence(F.lit(0), F.least(F.length("__lo"), F.length("__hi"), F.lit(most)))
+    fits = F.filter(sizes, lambda k: F.substr("__lo", F.lit(1), k) == F.substr("__hi", F.lit(1), k))
+    return ends.select(*keys, F.substr("__lo", F.lit(1), F.array_max(fits)).alias("prefix"))

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from seqloom import catalogue, catalogue_genomes  # noqa: F401
+from seqloom import catalogue, catalogue_files, catalogue_genomes  # noqa: F401
 
 D = "/root/testdata/sf0.001"
 
