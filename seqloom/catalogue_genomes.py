@@ -630,8 +630,8 @@ FROM vec WINDOW w AS (PARTITION BY {_by})""",
 
 
 def spans(spark: SparkSession, d: str) -> DataFrame:
-    """(chr, acc, beg, end): a span at every third position of each genome."""
-    return fx.positions(spark, d).where("pan % 3 = 0").select("chr", "acc", F.col("pan").alias("beg"), (F.col("pan") + F.col("pan") % 11).alias("end"))
+    """(chr, acc, beg, end): a span at every position of each genome."""
+    return fx.positions(spark, d).select("chr", "acc", F.col("pan").alias("beg"), (F.col("pan") + F.col("pan") % 11).alias("end"))
 
 
 add(
@@ -639,7 +639,7 @@ add(
     lambda spark, d: co.within_blocks(spans(spark, d), fx.positions(spark, d)),
     f""", {ca._BLOCK}
 SELECT b.chr, b.acc, b.pan AS beg, e.pan AS "end" FROM bl b
-JOIN bl e ON e.chr = b.chr AND e.acc = b.acc AND e.block = b.block AND e.pan = b.pan + b.pan % 11 WHERE b.pan % 3 = 0""",
+JOIN bl e ON e.chr = b.chr AND e.acc = b.acc AND e.block = b.block AND e.pan = b.pan + b.pan % 11""",
     "positions",
 )
 

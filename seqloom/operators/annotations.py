@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from seqloom.operators.coordinates import translocated
 from seqloom.operators.intervals import containment_join, merged, overlap_join
+from seqloom.plans.scan import Scan
 
 
 def chromosome_numbers(gff: DataFrame, mark: str = "Chr", least: float = 0.7) -> DataFrame:
@@ -67,10 +68,8 @@ def stranded_blocks(items: DataFrame, aln: DataFrame, acc: int, bins: int = 1 <<
 
 def grouped(items: DataFrame) -> DataFrame:
     """``items`` (chr, strand, beg, end, ..) with group: those of a chromosome and strand that touch or overlap, numbered over all."""
-    by = Window.partitionBy("chr", "strand").orderBy("beg", "end")
-    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    own = items.withColumn("__new", F.when(F.col("beg") - 1 <= reach, 0).otherwise(1))
-    own = own.withColumn("__own", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    own = Scan(items, ["chr", "strand"], ["beg", "end"]).reach("__reach", "end")
+    own = own.with_column("__new", F.when(F.col("beg") - 1 <= F.col("__reach"), 0).otherwise(1)).running("__own", "__new").table.drop("__reach")
     # One row a chromosome and strand.
     counts = own.groupBy("chr", "strand").agg(F.max("__own").alias("__n"))
     before = F.sum("__n").over(Window.orderBy("chr", F.col("strand") != "+").rowsBetween(Window.unboundedPreceding, -1))

@@ -6,22 +6,23 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators.intervals import overlap_join
+from seqloom.plans.groups import small_or_keyed
+from seqloom.plans.scan import Scan
 
 AXIS = ["chr", "acc"]
 
 
 def ranked(aln: DataFrame) -> DataFrame:
     """``aln`` with rank: the signed ordinal of each own coordinate."""
-    n = F.row_number().over(Window.partitionBy(*AXIS).orderBy(F.abs("own")))
-    return aln.withColumn("rank", (n * F.signum("own").cast("long")).cast("long"))
+    n = Scan(aln, AXIS, [F.abs("own")]).number("__n").table
+    return n.withColumn("rank", (F.col("__n") * F.signum("own").cast("long")).cast("long")).drop("__n")
 
 
 def with_blocks(aln: DataFrame) -> DataFrame:
     """``aln`` with rank and block: maximal runs along pan whose signed ranks go up by one, numbered along pan."""
-    by = Window.partitionBy(*AXIS).orderBy("pan")
-    r = ranked(aln)
-    new = F.when(F.col("rank") - F.lag("rank").over(by) == 1, 0).otherwise(1)
-    return r.withColumn("__new", new).withColumn("block", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, 0))).drop("__new")
+    r = Scan(ranked(aln), AXIS, ["pan"]).before(__was="rank")
+    r = r.with_column("__new", F.when(F.col("rank") - F.col("__was") == 1, 0).otherwise(1)).running("block", "__new")
+    return r.table.drop("__was", "__new")
 
 
 def blocks(aln: DataFrame) -> DataFrame:
@@ -34,10 +35,9 @@ def blocks(aln: DataFrame) -> DataFrame:
 
 def merged_blocks(aln: DataFrame, gap: int = 10_000) -> DataFrame:
     """(chr, acc, pan_b, pan_e, n): neighbouring blocks of one direction as one while both gaps are under ``gap``."""
-    by = Window.partitionBy(*AXIS).orderBy("pan_b")
-    b = blocks(aln)
-    close = (F.col("dir") == F.lag("dir").over(by)) & (F.col("pan_b") - F.lag("pan_e").over(by) < gap) & (F.abs(F.col("own_b") - F.lag("own_e").over(by)) < gap)
-    b = b.withColumn("__new", F.when(close, 0).otherwise(1)).withColumn("__g", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    b = Scan(blocks(aln), AXIS, ["pan_b"]).before(__dir="dir", __pan="pan_e", __own="own_e")
+    close = (F.col("dir") == F.col("__dir")) & (F.col("pan_b") - F.col("__pan") < gap) & (F.abs(F.col("own_b") - F.col("__own")) < gap)
+    b = b.with_column("__new", F.when(close, 0).otherwise(1)).running("__g", "__new").table
     return b.groupBy(*AXIS, "__g").agg(F.min("pan_b").alias("pan_b"), F.max("pan_e").alias("pan_e"), F.sum("n").alias("n")).drop("__g")
 
 
@@ -50,9 +50,7 @@ def within_blocks(items: DataFrame, aln: DataFrame) -> DataFrame:
 
 def breaks(aln: DataFrame) -> DataFrame:
     """(chr, acc, idx_beg, idx_end, val_beg, val_end, len_acc, len_comb): neighbours within a block that are not adjacent on both axes."""
-    by = Window.partitionBy(*AXIS, "block").orderBy("pan")
-    b = with_blocks(aln).withColumns({"idx_end": F.lead("pan").over(by), "val_end": F.lead("own").over(by)})
-    b = b.where(F.col("idx_end").isNotNull())
+    b = Scan(with_blocks(aln), AXIS, ["pan"]).after(idx_end="pan", val_end="own", __block="block").table.where("block = __block")
     own, pan = F.abs(F.col("val_end") - F.col("own")) - 1, F.col("idx_end") - F.col("pan") - 1
     b = b.withColumns({"len_acc": own, "len_comb": pan}).where((F.col("len_acc") != 0) | (F.col("len_comb") != 0))
     return b.select(*AXIS, F.col("pan").alias("idx_beg"), "idx_end", F.col("own").alias("val_beg"), "val_end", "len_acc", "len_comb")
@@ -61,8 +59,9 @@ def breaks(aln: DataFrame) -> DataFrame:
 def without_short_blocks(aln: DataFrame, least: int = 100, passes: int = 2) -> DataFrame:
     """``aln`` without the positions of blocks of up to ``least`` in pan span; blocks are found anew in each pass."""
     for _ in range(passes):
-        span = F.max("pan").over(Window.partitionBy(*AXIS, "block")) - F.min("pan").over(Window.partitionBy(*AXIS, "block"))
-        aln = with_blocks(aln).withColumn("__span", span).where(F.col("__span") > least).select(*AXIS, "pan", "own")
+        b = with_blocks(aln)
+        long = b.groupBy(*AXIS, "block").agg((F.max("pan") - F.min("pan")).alias("__span")).where(F.col("__span") > least)
+        aln = b.join(small_or_keyed(long), [*AXIS, "block"], "left_semi").select(*AXIS, "pan", "own")
     return aln
 
 
@@ -119,11 +118,7 @@ def lift(items: DataFrame, aln: DataFrame, acc1: int, acc2: int, exact: bool = T
     # At one position, a mapped position stands after the begins and before the ends.
     begs = items.select("chr", F.col("beg").alias("at"), F.lit(0).alias("k"), none.alias("v"), "id")
     ends = items.select("chr", F.col("end").alias("at"), F.lit(2).alias("k"), none.alias("v"), "id")
-    by = Window.partitionBy("chr").orderBy("at", "k")
-    axis = marks.unionByName(begs).unionByName(ends)
-    nxt = F.first("v", ignorenulls=True).over(by.rowsBetween(1, Window.unboundedFollowing))
-    prv = F.last("v", ignorenulls=True).over(by.rowsBetween(Window.unboundedPreceding, -1))
-    axis = axis.withColumns({"nxt": nxt, "prv": prv})
+    axis = Scan(marks.unionByName(begs).unionByName(ends), ["chr"], ["at", "k"]).next("nxt", "v").last("prv", "v").table
     b = axis.where("k = 0").select("chr", "id", F.col("nxt.y").alias("y_b"), F.col("nxt.block").alias("block_b"))
     e = axis.where("k = 2").select("chr", "id", F.col("prv.y").alias("y_e"), F.col("prv.block").alias("block_e"))
     return _lifted(items.join(b, ["chr", "id"]).join(e, ["chr", "id"]))
@@ -173,9 +168,8 @@ def coverage_of(aln: DataFrame) -> DataFrame:
 
 def translocated(items: DataFrame, axis: Column | str = "pan") -> DataFrame:
     """Ids of (chr, pan, id) that come in more than one run along the axis."""
-    by = Window.partitionBy("chr").orderBy(axis)
-    new = F.when(F.col("id") == F.lag("id").over(by), 0).otherwise(1)
-    return items.withColumn("__new", new).groupBy("chr", "id").agg(F.sum("__new").alias("runs")).where("runs > 1")
+    new = F.when(F.col("id") == F.col("__was"), 0).otherwise(1)
+    return Scan(items, ["chr"], [axis]).before(__was="id").table.withColumn("__new", new).groupBy("chr", "id").agg(F.sum("__new").alias("runs")).where("runs > 1")
 
 
 def to_pan(items: DataFrame, aln: DataFrame, acc: int) -> DataFrame:
@@ -220,8 +214,8 @@ def split_edges(found: DataFrame, n: int = 5) -> DataFrame:
 
 def split_turns(found: DataFrame, n: int = 5) -> DataFrame:
     """``split_edges`` of the blocks whose direction differs from that of the block before them on a genome's axis; others stay whole as part 1."""
-    turn = F.col("dir") != F.lag("dir").over(Window.partitionBy(*AXIS).orderBy("pan_b"))
-    marked = found.withColumn("__turn", F.coalesce(turn, F.lit(False)))
+    marked = Scan(found, AXIS, ["pan_b"]).before(__was="dir").table
+    marked = marked.withColumn("__turn", F.coalesce(F.col("dir") != F.col("__was"), F.lit(False))).drop("__was")
     whole = marked.where("NOT __turn").withColumn("part", F.lit(1))
     cols = ["pan_b", "pan_e", "own_b", "own_e"]
     whole = whole.withColumns({c: F.col(c).cast("double") for c in cols})

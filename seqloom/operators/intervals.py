@@ -5,16 +5,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from seqloom.plans.scan import Scan
+
 
 def merged(df: DataFrame, keys: list[str], touch: int = 0) -> DataFrame:
     """(keys, beg, end, n, len): unions of intervals that overlap, with their members' count.
 
     ``touch`` = 0 joins intervals whose begin is at most the largest end so far; 1 also adjacent ones.
     """
-    by = Window.partitionBy(*keys).orderBy("beg", "end")
-    reach = F.max("end").over(by.rowsBetween(Window.unboundedPreceding, -1))
-    new = F.when(F.col("beg") <= reach + touch, 0).otherwise(1)
-    groups = df.withColumn("__new", new).withColumn("__g", F.sum("__new").over(by.rowsBetween(Window.unboundedPreceding, 0)))
+    groups = Scan(df, keys, ["beg", "end"]).reach("__reach", "end")
+    groups = groups.with_column("__new", F.when(F.col("beg") <= F.col("__reach") + touch, 0).otherwise(1)).running("__g", "__new").table
     out = groups.groupBy(*keys, "__g").agg(F.min("beg").alias("beg"), F.max("end").alias("end"), F.count("*").alias("n")).drop("__g")
     return out.withColumn("len", F.col("end") - F.col("beg") + 1)
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from seqloom.operators.coordinates import ranked
+from seqloom.plans.scan import Scan
 
 NT = ("A", "C", "G", "T")
 
@@ -76,8 +77,7 @@ def snp_distance(bases: DataFrame) -> DataFrame:
 
 def gaps(aln: DataFrame) -> DataFrame:
     """(chr, acc, beg, end): interior pan gaps of each genome whose flanks are consecutive in signed rank."""
-    by = Window.partitionBy("chr", "acc").orderBy("pan")
-    r = ranked(aln).withColumns({"np": F.lead("pan").over(by), "nr": F.lead("rank").over(by)})
+    r = Scan(ranked(aln), ["chr", "acc"], ["pan"]).after(np="pan", nr="rank").table
     return r.where("np > pan + 1 AND nr - rank = 1").select("chr", "acc", (F.col("pan") + 1).alias("beg"), (F.col("np") - 1).alias("end"))
 
 
@@ -107,8 +107,7 @@ def sv_genotypes(aln: DataFrame) -> DataFrame:
     both = g.join(at("beg"), ["chr", "beg"]).join(at("end"), ["chr", "acc", "end"])
     marks = g.select("chr", F.col("beg").alias("pan"), F.lit(0.1).alias("e")).unionByName(g.select("chr", F.col("end").alias("pan"), F.lit(-0.1).alias("e")))
     keyed = marks.join(aln, ["chr", "pan"]).withColumn("k", F.abs(F.col("own") + F.col("e")))
-    n = F.row_number().over(Window.partitionBy("chr", "acc").orderBy("k")) * F.signum("own")
-    keyed = keyed.withColumn("r", n).select("chr", "acc", "pan", "e", "r")
+    keyed = Scan(keyed, ["chr", "acc"], ["k"]).number("__n").table.withColumn("r", F.col("__n") * F.signum("own")).select("chr", "acc", "pan", "e", "r")
     rb = keyed.where("e > 0").select("chr", "acc", F.col("pan").alias("beg"), F.col("r").alias("rb"))
     re = keyed.where("e < 0").select("chr", "acc", F.col("pan").alias("end"), F.col("r").alias("re"))
     ok = both.join(rb, ["chr", "acc", "beg"]).join(re, ["chr", "acc", "end"]).where("re - rb = 1 AND own_b * own_e > 0")
@@ -130,7 +129,7 @@ def sv_classes(genotypes: DataFrame, genomes: int, cutoff: float = 0.9, phasing:
     c = known.withColumn("freq_min", F.col("low") + genomes - F.col("n")).withColumn("freq_sum", F.col("freq_min") + F.col("freq_max"))
     c = c.withColumn("single", (F.col("freq_sum") == genomes).cast("int"))
     c = c.where(~((F.col("freq_sum") == genomes) & ((F.col("freq_min") == 0) | (F.col("freq_max") == 0))))
-    number = F.row_number().over(Window.partitionBy("chr").orderBy("beg", "end"))
+    c, number = Scan(c, ["chr"], ["beg", "end"]).number("__n").table, F.col("__n")
     name = F.concat(F.lit("SVgr_"), F.col("chr").cast("string"), F.lit("_id_"), F.lpad(number.cast("string"), 6, "0"), F.lit("|"), F.col("len").cast("string"))
     kind = F.when(F.col("single") == 0, "complex").when(F.col("freq_max") <= phasing * genomes, "insertion").when(F.col("freq_max") >= (1 - phasing) * genomes, "deletion").otherwise("indel")
     return c.select("chr", "beg", "end", "len", "freq_min", "freq_max", "freq_sum", "single", name.alias("name"), kind.alias("type"))
