@@ -77,6 +77,11 @@ def dot_score(pairs: DataFrame, size: int = 10, matches: int = 9) -> DataFrame:
     return pairs.join(n, "id", "left").select("id", F.round(F.coalesce("k", F.lit(0)) / F.nullif(mean, F.lit(0)), 9).alias("score"))
 
 
+def kmer_counts(seqs: DataFrame, size: int, keys: list[str]) -> DataFrame:
+    """(keys, w, n)"""
+    return seqs.select(*keys, F.explode(words(F.col("seq"), size)).alias("w")).groupBy(*keys, "w").agg(F.count("*").alias("n"))
+
+
 def kmer_distance(rows: DataFrame, size: int = 7, block: int = 256) -> DataFrame:
     """(aln, i, j, d): Manhattan distance of counts of words (at most 8 symbols) over the longer length, for pairs of ungapped rows i < j.
 
