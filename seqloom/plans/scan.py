@@ -16,9 +16,12 @@ SMALL, ROWS = 1 << 30, 4_000_000
 RANGE = "__range"
 
 
-def is_large(df: DataFrame) -> bool:
-    """Whether one task may not be able to sort ``df``; the optimizer's size of a table is too large where it cannot tell, so rows decide then."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) > SMALL and df.limit(ROWS + 1).count() > ROWS
+def measured(df: DataFrame) -> tuple[DataFrame, bool]:
+    """``df`` and whether one task may not be able to sort it; the optimizer's size of a table is too large where it cannot tell, so it is written and its rows decide then."""
+    if int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()) <= SMALL:
+        return df, False
+    held = cut(df)
+    return held, held.count() > ROWS
 
 
 class Scan:
@@ -30,7 +33,7 @@ class Scan:
     def __init__(self, df: DataFrame, keys: list[str], order: list[str | Column], split: bool | None = None) -> None:
         self.keys = keys
         self.order = [F.col(c) if isinstance(c, str) else c for c in order]
-        self.split = is_large(df) if split is None else split
+        df, self.split = measured(df) if split is None else (df, split)
         if self.split:
             self.df = cut(df.repartitionByRange(*keys, *self.order).withColumn(RANGE, F.spark_partition_id()))
         else:
