@@ -219,35 +219,42 @@ def two_sequences(pairs: DataFrame, size: int = 28, match: int = 1, mismatch: in
 _PAIR = "id KIND, strand string, beg1 long, end1 long, beg2 long, end2 long, identity double, length long, score long, aln1 string, aln2 string"
 
 # --- proteins -------------------------------------------------------------------------------------
-# The BLOSUM62 scores, over the symbols of RESIDUES in both directions.
-RESIDUES = "ARNDCQEGHILKMFPSTWYVBZX*"
+# The BLOSUM62 scores of the standard residues with those up to themselves, in the order of RESIDUES.
+RESIDUES = "ARNDCQEGHILKMFPSTWYVX*"
 BLOSUM62 = """
- 4 -1 -2 -2  0 -1 -1  0 -2 -1 -1 -1 -1 -2 -1  1  0 -3 -2  0 -2 -1  0 -4
--1  5  0 -2 -3  1  0 -2  0 -3 -2  2 -1 -3 -2 -1 -1 -3 -2 -3 -1  0 -1 -4
--2  0  6  1 -3  0  0  0  1 -3 -3  0 -2 -3 -2  1  0 -4 -2 -3  3  0 -1 -4
--2 -2  1  6 -3  0  2 -1 -1 -3 -4 -1 -3 -3 -1  0 -1 -4 -3 -3  4  1 -1 -4
- 0 -3 -3 -3  9 -3 -4 -3 -3 -1 -1 -3 -1 -2 -3 -1 -1 -2 -2 -1 -3 -3 -2 -4
--1  1  0  0 -3  5  2 -2  0 -3 -2  1  0 -3 -1  0 -1 -2 -1 -2  0  3 -1 -4
--1  0  0  2 -4  2  5 -2  0 -3 -3  1 -2 -3 -1  0 -1 -3 -2 -2  1  4 -1 -4
- 0 -2  0 -1 -3 -2 -2  6 -2 -4 -4 -2 -3 -3 -2  0 -2 -2 -3 -3 -1 -2 -1 -4
--2  0  1 -1 -3  0  0 -2  8 -3 -3 -1 -2 -1 -2 -1 -2 -2  2 -3  0  0 -1 -4
--1 -3 -3 -3 -1 -3 -3 -4 -3  4  2 -3  1  0 -3 -2 -1 -3 -1  3 -3 -3 -1 -4
--1 -2 -3 -4 -1 -2 -3 -4 -3  2  4 -2  2  0 -3 -2 -1 -2 -1  1 -4 -3 -1 -4
--1  2  0 -1 -3  1  1 -2 -1 -3 -2  5 -1 -3 -1  0 -1 -3 -2 -2  0  1 -1 -4
--1 -1 -2 -3 -1  0 -2 -3 -2  1  2 -1  5  0 -2 -1 -1 -1 -1  1 -3 -1 -1 -4
--2 -3 -3 -3 -2 -3 -3 -3 -1  0  0 -3  0  6 -4 -2 -2  1  3 -1 -3 -3 -1 -4
--1 -2 -2 -1 -3 -1 -1 -2 -2 -3 -3 -1 -2 -4  7 -1 -1 -4 -3 -2 -2 -1 -2 -4
- 1 -1  1  0 -1  0  0  0 -1 -2 -2  0 -1 -2 -1  4  1 -3 -2 -2  0  0  0 -4
- 0 -1  0 -1 -1 -1 -1 -2 -2 -1 -1 -1 -1 -2 -1  1  5 -2 -2  0 -1 -1  0 -4
--3 -3 -4 -4 -2 -2 -3 -2 -2 -3 -2 -3 -1  1 -4 -3 -2 11  2 -3 -4 -3 -2 -4
--2 -2 -2 -3 -2 -1 -2 -3  2 -1 -1 -2 -1  3 -3 -2 -2  2  7 -1 -3 -2 -1 -4
- 0 -3 -3 -3 -1 -2 -2 -3 -3  3  1 -2  1 -1 -2 -2  0 -3 -1  4 -3 -2 -1 -4
--2 -1  3  4 -3  0  1 -1  0 -3 -4  0 -3 -3 -2  0 -1 -4 -3 -3  4  1 -1 -4
--1  0  0  1 -3  3  4 -2  0 -3 -3  1 -1 -3 -1  0 -1 -3 -2 -2  1  4 -1 -4
- 0 -1 -1 -1 -2 -1 -1 -1 -1 -1 -1 -1 -1 -1 -2  0  0 -2 -1 -1 -1 -1 -1 -4
--4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4 -4  1
+ 4
+-1  5
+-2  0  6
+-2 -2  1  6
+ 0 -3 -3 -3  9
+-1  1  0  0 -3  5
+-1  0  0  2 -4  2  5
+ 0 -2  0 -1 -3 -2 -2  6
+-2  0  1 -1 -3  0  0 -2  8
+-1 -3 -3 -3 -1 -3 -3 -4 -3  4
+-1 -2 -3 -4 -1 -2 -3 -4 -3  2  4
+-1  2  0 -1 -3  1  1 -2 -1 -3 -2  5
+-1 -1 -2 -3 -1  0 -2 -3 -2  1  2 -1  5
+-2 -3 -3 -3 -2 -3 -3 -3 -1  0  0 -3  0  6
+-1 -2 -2 -1 -3 -1 -1 -2 -2 -3 -3 -1 -2 -4  7
+ 1 -1  1  0 -1  0  0  0 -1 -2 -2  0 -1 -2 -1  4
+ 0 -1  0 -1 -1 -1 -1 -2 -2 -1 -1 -1 -1 -2 -1  1  5
+-3 -3 -4 -4 -2 -2 -3 -2 -2 -3 -2 -3 -1  1 -4 -3 -2 11
+-2 -2 -2 -3 -2 -1 -2 -3  2 -1 -1 -2 -1  3 -3 -2 -2  2  7
+ 0 -3 -3 -3 -1 -2 -2 -3 -3  3  1 -2  1 -1 -2 -2  0 -3 -1  4
 """
-AMINO_SCORES = np.array(BLOSUM62.split(), dtype=np.int64).reshape(24, 24)
+
+
+def _amino_scores() -> np.ndarray:
+    """The table in both directions; X, which stands for every other symbol, scores -1 with all, and a stop -4, or 1 with a stop."""
+    out = np.full((22, 22), -1, dtype=np.int64)
+    for k, line in enumerate(BLOSUM62.strip().split("\n")):
+        out[k, : k + 1] = out[: k + 1, k] = [int(x) for x in line.split()]
+    out[21, :], out[:, 21], out[21, 21] = -4, -4, 1
+    return out
+
+
+AMINO_SCORES = _amino_scores()
 _RESIDUE = np.full(256, RESIDUES.index("X"), dtype=np.uint8)
 for _k, _c in enumerate(RESIDUES):
     _RESIDUE[[ord(_c), ord(_c.lower())]] = _k
