@@ -17,6 +17,7 @@ from seqloom.operators import graphs as gr
 from seqloom.operators import hits as ht
 from seqloom.operators import intervals as iv
 from seqloom.operators import kernels as ke
+from seqloom.operators import modularity as mo
 from seqloom.operators import orfs as of
 from seqloom.operators import refine as rf
 from seqloom.operators import runs as rn
@@ -242,6 +243,7 @@ add("bridges", on(fx.edges, gr.bridges))
 add("attribute_nodes", on(fx.edges, lambda e: gr.attributed(e, connected_components(gr.without_shortcuts(e)), 0.6)))
 add("families", on(fx.edges, gr.families))
 add("communities", on(fx.edges, gr.communities))
+add("modular_communities", on(fx.edges, mo.modular_communities))
 
 # --- similarity ----------------------------------------------------------------------------------
 _DOTS = """wx AS (SELECT id, s1, s2, unnest(range(1, length(s1) - 4)) AS i FROM pairs WHERE length(s1) >= 6), wy AS (SELECT id, s1, s2, i, unnest(range(1, length(s2) - 4)) AS j FROM wx WHERE length(s2) >= 6),

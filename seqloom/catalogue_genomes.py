@@ -16,12 +16,14 @@ from seqloom.operators import gaps as gp
 from seqloom.operators import graphs as gr
 from seqloom.operators import hits as ht
 from seqloom.operators import intervals as iv
+from seqloom.operators import loci as lo
 from seqloom.operators import orfs as of
 from seqloom.operators import search as sr
 from seqloom.operators import similarity as si
 from seqloom.operators import variants as va
 from seqloom.plans import fixtures as fx
 from seqloom.plans import tables as tb
+from seqloom.plans.dealing import by_cost
 from seqloom.registry import add, on
 
 K = ["key"]
@@ -697,3 +699,25 @@ add(
 SELECT src, dst FROM big WHERE src IN (SELECT v FROM held)""",
     "edges",
 )
+
+
+# --- loci dealt by cost -----------------------------------------------------------------------------
+def texts_by_cost(spark: SparkSession, d: str) -> DataFrame:
+    texts = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.length("text").alias("n"))
+    return by_cost(texts, "n", 16, ["doc_id"]).select("doc_id", "task", F.col("cost").cast("long").alias("cost"))
+
+
+add(
+    "tasks_by_cost", texts_by_cost,
+    """, ahead AS (SELECT doc_id, cost, sum(cost) OVER (ORDER BY cost DESC, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before, sum(cost) OVER () AS total FROM priced)
+SELECT doc_id, least(floor(coalesce(before, 0)::DOUBLE * 16 / total::DOUBLE), 15)::INT AS task, cost FROM ahead""",
+    "priced AS (SELECT doc_id, coalesce(length(text), 0) AS cost FROM documents)",
+)
+
+
+def loci_by_cost(spark: SparkSession, d: str) -> DataFrame:
+    rows = fx.pairs_of_text(spark, d).select("id", F.posexplode(F.array("s1", "s2", F.concat("s1", "s2"))).alias("row", "seq"))
+    return lo.aligned_loci(rows, int(spark.conf.get("spark.sql.shuffle.partitions")))
+
+
+add("aligned_loci", loci_by_cost)
