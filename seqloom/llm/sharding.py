@@ -30,7 +30,7 @@ def jump(keys: np.ndarray, shards: int) -> np.ndarray:
 
 
 def shard_of(key: Column, shards: int) -> Column:
-    """The shard of a long column; null keys count as key 0."""
+    """The shard of a long column; null keys count as key 0, and equal keys share a shard."""
 
     @F.pandas_udf("int")
     def of(keys: pd.Series) -> pd.Series:

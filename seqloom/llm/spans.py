@@ -513,5 +513,6 @@ def removed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", buc
 
 
 def query(docs: DataFrame) -> DataFrame:
+    """``spans`` with its own columns; nulls, repeated ids and empty tables are as there."""
     return spans(docs)
 

@@ -77,7 +77,11 @@ def documents_of(path: str, part: dict) -> Iterator[tuple[int | None, int, np.nd
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:
-    """(doc_id, start, n_tokens, ids_crc32) of every document of a folder, from its files."""
+    """(doc_id, start, n_tokens, ids_crc32) of every document of a folder, from its files.
+
+    A null or empty text has its end id alone.  Rows with a null or a repeated id come back as often as they were
+    written; a folder of no documents gives no rows.
+    """
     parts = json.loads(storage.get(f"{path}/manifest.json"))["parts"]
     rows = [(p["part"], p["width"], p["first_token"]) for p in parts]
     table = spark.createDataFrame(rows, "part long, width long, first_token long")
