@@ -132,14 +132,21 @@ def _per_pair(hits: DataFrame, find) -> DataFrame:
 
 
 def clean_overlaps(hits: DataFrame) -> DataFrame:
+    """(q_id, s_id, strand, q_beg, q_end, s_beg, s_end) without overlaps on either axis, by ``cleaned``.
+
+    Repeated hits count once; null names are names of their own; no hits give no rows.  A query, target and strand is
+    solved in one task.
+    """
     return _per_pair(hits, cleaned)
 
 
 def greedy_chains(hits: DataFrame) -> DataFrame:
+    """The hits of each query, target and strand that ``greedy`` takes; columns, repeats, nulls and tasks are as in ``clean_overlaps``."""
     return _per_pair(hits, greedy)
 
 
 def shortest_chains(hits: DataFrame) -> DataFrame:
+    """The hits of each query, target and strand on the chain of ``shortest``; columns, repeats, nulls and tasks are as in ``clean_overlaps``."""
     return _per_pair(hits, shortest)
 
 

@@ -16,32 +16,43 @@ from seqloom.plans.recovery import cut
 def solve(df: DataFrame, keys: list[str], kernel: Callable[[tuple, list[tuple]], Iterable[tuple]], schema: str) -> DataFrame:
     """Rows that ``kernel(key, rows)`` gives for each group of ``keys``; ``rows`` hold the other columns in order.
 
-    Rows come sorted by the keys and one group is held at a time.
+    Rows come sorted by the keys and one group is held at a time.  Nulls of a key are one value of it, given as None.
     """
     rest = [c for c in df.columns if c not in keys]
     names, n = [c.split(" ")[0] for c in schema.split(", ")], len(keys)
+    whole = [k for k, kind in df.dtypes if kind in ("tinyint", "smallint", "int", "bigint")]
+    # Whole numbers would come as floats beside nulls, so nulls travel as 0 with a bit of their own.
+    nil = sum((F.when(F.col(k).isNull(), 1 << i).otherwise(0) for i, k in enumerate(keys)), F.lit(0))
+    filled = [F.coalesce(F.col(k), F.lit(0)).alias(k) if k in whole else F.col(k) for k in keys]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[tuple] = []
         out: list[tuple] = []
         now: tuple | None = None
+
+        def solved() -> Iterable[tuple]:
+            return kernel(tuple(None if now[n] >> i & 1 else k for i, k in enumerate(now[:n])), held)
+
+        def frame() -> pd.DataFrame:
+            return pd.DataFrame(out, columns=names, dtype=object if any(None in row for row in out) else None)
+
         for pdf in batches:
             for row in pdf.itertuples(index=False, name=None):
-                key = row[:n]
+                key = row[: n + 1]
                 if key != now and held:
-                    out.extend(kernel(now, held))
+                    out.extend(solved())
                     held = []
                 now = key
-                held.append(row[n:])
+                held.append(row[n + 1 :])
             if len(out) >= 8192:
-                yield pd.DataFrame(out, columns=names)
+                yield frame()
                 out = []
         if held:
-            out.extend(kernel(now, held))
+            out.extend(solved())
         if out:
-            yield pd.DataFrame(out, columns=names)
+            yield frame()
 
-    dealt = df.select(*keys, *rest).repartition(*keys).sortWithinPartitions(*keys)
+    dealt = df.select(*filled, nil.alias("__nil"), *rest).repartition(*keys).sortWithinPartitions(*keys, "__nil")
     return dealt.mapInPandas(run, schema)
 
 

@@ -232,3 +232,14 @@ def test_graphs(spark):
     known = spark.createDataFrame([(1, 9), (2, 9)], "node long, component long")
     assert {tuple(r) for r in gr.attributed(e((1, 2), (3, 1), (3, 2), (4, 3), (4, 7)), known, 0.6).collect()} == {(1, 9), (2, 9), (3, 9)}
     assert gr.strong_components(e((1, 2)).limit(0)).count() == 0
+
+
+def test_hits_of_null_names_and_repeats(spark):
+    schema = "q_id long, s_id long, q_beg long, q_end long, s_beg long, s_end long"
+    far = (1 << 60) + 1  # no float holds it
+    rows = [(None, 1, 1, 100, 1, 100), (None, 1, 1, 100, 1, 100), (None, 1, 11, 30, 11, 30), (far, 1, 5, 9, 9, 5), (0, 1, 11, 30, 11, 30)]
+    df = spark.createDataFrame(rows, schema)
+    for find in (ke.clean_overlaps, ke.greedy_chains, ke.shortest_chains):
+        got = sorted(map(tuple, find(df).collect()), key=str)
+        assert got == [(0, 1, "+", 11, 30, 11, 30), (far, 1, "-", 5, 9, 9, 5), (None, 1, "+", 1, 100, 1, 100)]
+        assert find(df.where("q_id < 0")).collect() == []
