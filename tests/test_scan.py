@@ -50,3 +50,12 @@ def test_many_ranges_give_what_one_gives(spark, monkeypatch):
         many = make()
         assert sorted(map(str, many.collect())) == one and one, name
         monkeypatch.undo()
+
+
+def test_equal_rows_share_their_group(spark):
+    """Rows that are equal by key and order stay in one group however a later sort turns them."""
+    rows = [("a", 10 * (k // 9), 10 * (k // 9) + 3, int(k % 9 == 4)) for k in range(900)]
+    df = spark.createDataFrame(rows, "key string, beg long, end long, new int").repartition(7)
+    for split in (True, False):
+        got = sc.Scan(df, ["key"], ["beg", "end"], split).running("g", "new", peers=True).table.groupBy("beg").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).collect()
+        assert {(r.beg, r.lo, r.hi) for r in got} == {(10 * k, k + 1, k + 1) for k in range(100)}
