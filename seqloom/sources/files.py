@@ -153,7 +153,11 @@ def write_maf(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def chromosomes(seqs: DataFrame, accession: str, most: int) -> DataFrame:
-    """(acc, chr, len, name, seq): the first ``most`` records of a genome, in upper case."""
+    """(acc, chr, len, name, seq): the first ``most`` records of a genome, in upper case; one in several files goes on from file to file by name."""
+    # One row a file.
+    before = F.sum("__n").over(Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1))
+    base = seqs.groupBy("file").agg(F.max("number").alias("__n")).select("file", F.coalesce(before, F.lit(0)).alias("__base"))
+    seqs = seqs.where(F.col("number") <= most).join(base, "file").withColumn("number", F.col("__base") + F.col("number")).where(F.col("number") <= most)
     return seqs.where(F.col("number") <= most).select(F.lit(accession).alias("acc"), F.col("number").alias("chr"), F.length("seq").cast("long").alias("len"), "name", F.upper("seq").alias("seq"))
 
 
