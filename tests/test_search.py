@@ -3,6 +3,7 @@ import random
 import numpy as np
 import pytest
 
+from seqloom.functions import dynamic
 from seqloom.functions.dynamic import extend, strings, through
 from seqloom.operators import search as se
 
@@ -220,3 +221,35 @@ def test_stretches_without_gaps():
             want.append(reach)
         got = se.ungapped(np.concatenate((end, a, end)), np.concatenate((end, b, end)), np.array([x + 1]), np.array([y + 1]), 7)
         assert [int(got[0][0]), x + 1 - int(got[1][0]), int(got[2][0]) - (x + 4)] == want
+
+
+def test_scores_of_many_extensions():
+    """Extended together, pairs score what each scores alone; the other sequence's far end is never needed."""
+    rng = random.Random(8)
+    scores = se.AMINO_SCORES
+    for _ in range(20):
+        made = []
+        for _ in range(30):
+            a = [rng.randrange(22) for _ in range(rng.choice([0, 1, 7, 40]))]
+            b = [c if rng.random() < 0.8 else rng.randrange(22) for c in a if rng.random() < 0.95] + [rng.randrange(22) for _ in range(rng.choice([0, 3, 900]))]
+            made.append((np.array(a, dtype=np.uint8), np.array(b, dtype=np.uint8)))
+        opening, extension, drop = rng.choice([(11, 1, 38), (5, 2, 20), (0, 3, 200)])
+        got = dynamic.extend_scores([a for a, _ in made], [b for _, b in made], scores, opening, extension, drop)
+        assert got.tolist() == [dynamic.extend(a, b, scores, opening, extension, drop)[0] for a, b in made]
+        whole = [(a, b, len(a) // 2, len(b) // 2) for a, b in made if min(len(a), len(b)) > 8]
+        assert dynamic.through_scores(whole, 3, scores, opening, extension, drop, cells=500) == [through(a, b, x, y, 3, scores, opening, extension, drop)[0] for a, b, x, y in whole]
+
+
+def test_queries_meet_a_block_at_once():
+    """All queries of a table have what each has alone, however few meetings are sorted at once; words of neighbours in a table do not pair."""
+    rng = random.Random(12)
+    queries, targets = planted(rng, se.RESIDUES[:20], 5, 8, 0.2)
+    block = se.ProteinBlock([n for n, _ in targets], [t for _, t in targets])
+    asked = (25, 40, 11, 1, 38, 16)
+    alone = sorted(h for n, t in queries for h in block.hits(se.QueryTable([n], [t]), *asked))
+    held, se.MEETINGS = se.MEETINGS, 50
+    try:
+        together = sorted(h for part in se._tables([n for n, _ in queries], [t for _, t in queries], 11, 40, 150) for h in block.hits(part, *asked))
+    finally:
+        se.MEETINGS = held
+    assert alone == together == sorted(block.hits(se.QueryTable(*map(list, zip(*queries, strict=True))), *asked)) and alone
