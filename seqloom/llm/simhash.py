@@ -29,6 +29,14 @@ from seqloom.plans.recovery import cut
 BITS = 64
 
 
+def voted(hashes: np.ndarray, chunk: int = 1 << 16) -> int:
+    """The bits that are set in over half of 64-bit hashes; 0 without any."""
+    counts = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), chunk):
+        counts += np.unpackbits(hashes[at : at + chunk].astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<u8")[0])
+
+
 def fingerprint(text: bytes, words: int = 4, chunk: int = 1 << 16) -> int:
     """Unsigned SimHash of the word shingles of ``text``; 0 without words.
 
