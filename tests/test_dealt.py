@@ -1,7 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from seqloom.operators import hits as ht
 from seqloom.operators import intervals as iv
+from seqloom.operators import kernels as ke
 from seqloom.plans import fixtures as fx
 from seqloom.plans import groups as gr
 from seqloom.plans import scan as sc
@@ -10,11 +12,14 @@ D = "/root/testdata/sf0.001"
 
 
 def made(spark, name):
-    """A result of intervals that are read from files."""
-    return iv.merged(fx.intervals(spark, D).select((F.col("beg") % 100).alias("key"), (F.col("key") * 1000 + F.col("beg")).alias("beg"), (F.col("key") * 1000 + F.col("end")).alias("end")), ["key"])
+    """A result of intervals or hits that are read from files."""
+    if name == "scan":
+        return iv.merged(fx.intervals(spark, D).select((F.col("beg") % 100).alias("key"), (F.col("key") * 1000 + F.col("beg")).alias("beg"), (F.col("key") * 1000 + F.col("end")).alias("end")), ["key"])
+    h = fx.hits(spark, D)
+    return ht.glued(h) if name == "glued" else ke.clean_overlaps(h)
 
 
-@pytest.mark.parametrize("name", ["scan"])
+@pytest.mark.parametrize("name", ["scan", "glued", "solved"])
 def test_tasks_grow_with_the_files(spark, monkeypatch, name):
     """A shuffle of its own has as many tasks as the session says; with larger files a task's rows stay as many, and the result is the same."""
     few = made(spark, name)
