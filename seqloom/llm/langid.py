@@ -14,13 +14,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from seqloom.llm.common import if_small, remainder, sliced
+from seqloom.llm.common import remainder, sliced
 from seqloom.llm.tokens import forget
-from seqloom.plans.recovery import cut
 
 TOP = 400
-#: Training texts for each language, about: they are chosen by the hash of their ids.
-TRAIN = 2000
 UNKNOWN = "und"
 _GAP = np.uint64(1)
 _LETTER = np.fromiter((chr(c).isalpha() for c in range(0x110000)), dtype=bool, count=0x110000)
@@ -83,19 +80,16 @@ class Profiles:
         return self.names[order[0]], 1.0 - first / second if second else 0.0
 
 
-def learn(docs: DataFrame, held_out: int = 2, modulus: int = 4, top: int = TOP, train: int = TRAIN, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
-    """Profiles from about ``train`` texts of each language, chosen by the hash of their ids.
+def learn(docs: DataFrame, held_out: int = 2, modulus: int = 4, top: int = TOP, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Profiles:
+    """Profiles from all texts of each language.
 
     Rows whose crc32(id as text) mod ``modulus`` is ``held_out``, and null texts or languages,
     are not used.  The profiles, ``top`` n-grams for each language, are all that
     reaches the driver.  N-grams of one count stand by their codes.  An empty table, or texts without
     letters, give no profiles, and then every text is ``und``.
     """
-    doc_id = F.col(id_col)
-    rows = docs.where(remainder(doc_id, modulus) != held_out).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
-    rows = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), F.pmod(F.xxhash64(doc_id, F.lit("language")), F.lit(1 << 30)).alias("draw"))
-    sizes = rows.groupBy("lang").count().withColumn("below", F.ceil(F.lit(float(1 << 30)) * F.least(F.lit(1.0), F.lit(float(train)) / F.col("count"))))
-    chosen = rows.join(if_small(cut(sizes)), "lang").where("draw < below")
+    rows = docs.where(remainder(F.col(id_col), modulus) != held_out).where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
+    chosen = rows.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"))
 
     def kernel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in sliced(batches, 1, 4 << 20):
@@ -107,7 +101,7 @@ def learn(docs: DataFrame, held_out: int = 2, modulus: int = 4, top: int = TOP,
                     codes, counts = counted(codes)
                     yield pa.RecordBatch.from_arrays([pa.array([lang] * len(codes), pa.string()), pa.array(codes.view(np.int64)), pa.array(counts.astype(np.int64))], ["lang", "code", "n"])
 
-    totals = chosen.select("lang", "text").mapInArrow(kernel, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
+    totals = chosen.mapInArrow(kernel, "lang string, code long, n long").groupBy("lang", "code").agg(F.sum("n").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
     best: dict[str, list[tuple[int, int]]] = {}
     for r in totals.withColumn("rank", rank).where(F.col("rank") <= top).collect():

@@ -55,3 +55,11 @@ def test_empty_and_unlearned(empty, odd):
     assert langid.query(empty).collect() == []
     nothing = langid.learn(empty)
     assert {r.lang_pred for r in langid.identify(odd, nothing).collect()} == {"und"}
+
+
+def test_all_texts_are_learned_from(spark):
+    """No text is drawn: of 3000 texts with a letter of their own the profile has the first letters of all that may be learned from."""
+    rows = [(i, chr(0x4E00 + i), "zh") for i in range(3000)]
+    learned = [c for i, c, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2]
+    profiles = langid.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert sorted(chr(c) for c in profiles.codes.tolist()) == learned[: langid.TOP]
