@@ -3,8 +3,8 @@
 Suffixes are classified as smaller or larger than their followers; the leftmost smaller (LMS)
 substrings are sorted by one induction, named, and the text of their names is sorted in turn, as
 deep as names repeat; the order of its suffixes induces the order of all.  Induction is
-linear in the text at every level: over a small alphabet bucket by bucket with arrays, over the large
-alphabets of names item by item with one offset a bucket.
+linear in the text at every level over a small alphabet, bucket by bucket with arrays; over the large
+alphabets of names the suffixes of a kind are sorted at once by their runs and by what these end in.
 """
 
 from __future__ import annotations
@@ -82,40 +82,64 @@ def _by_buckets(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: in
     return np.concatenate(out)
 
 
-def _by_items(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) -> np.ndarray:
-    """``induce`` over one flat array with an offset for each bucket."""
+def _by_runs(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) -> np.ndarray:
+    """``induce`` with all suffixes of a kind at once: a suffix follows from its run, the suffixes of its kind up to the next one of the other, and that one's place."""
     n = len(text)
-    ends = np.cumsum(np.bincount(text, minlength=size))
-    starts = np.concatenate(([0], ends[:-1]))
-    symbols = text[heads]
-    order = np.argsort(symbols, kind="stable")
-    symbols = symbols[order]
-    place = np.full(n, n, dtype=np.int64)  # n: nothing here yet
-    place[ends[symbols] - np.searchsorted(symbols, symbols, side="right") + np.arange(len(heads))] = heads[order]
-    place[0] = n - 1
-    # By suffix, the bucket of the suffix before it, if that is of the kind that the scan looks for.
-    before = np.concatenate(([-1], text[:-1], [-1]))
-    is_small = np.concatenate(([False], small[:-1], [False]))
-    out, to, at = place.tolist(), np.where(is_small, -1, before).tolist(), starts.tolist()
-    for i in out:  # grows ahead of the scan
-        c = to[i]
-        if c >= 0:
-            k = at[c]
-            out[k] = i - 1
-            at[c] = k + 1
-    place = np.array(out, dtype=np.int64)
-    gone = np.concatenate((small, [True]))
-    place[gone[place]] = n  # the S-type suffixes are placed anew, all of them
-    place[0] = n - 1
-    place = place[::-1]
-    out, to, at = place.tolist(), np.where(is_small, before, -1).tolist(), (n - ends).tolist()
-    for i in out:
-        c = to[i]
-        if c >= 0:
-            k = at[c]
-            out[k] = i - 1
-            at[c] = k + 1
-    return np.array(out, dtype=np.int32)[::-1]
+    symbol = text.astype(np.int64) * 2 + small  # of equal symbols the larger kind comes first
+    place = np.zeros(n, dtype=np.int64)
+    place[heads[np.argsort(text[heads], kind="stable")]] = np.arange(len(heads))
+    larger = _ordered(symbol, np.flatnonzero(~small), _ends(~small), place, size)
+    place[larger] = np.arange(len(larger))
+    smaller = _ordered(symbol, np.flatnonzero(small[:-1]), _ends(small), place, size)
+    out = np.empty(n, dtype=np.int32)
+    out[0] = n - 1
+    out[1 + np.arange(len(larger)) + np.searchsorted(text[smaller], text[larger], side="left")] = larger
+    out[1 + np.arange(len(smaller)) + np.searchsorted(text[larger], text[smaller], side="right")] = smaller
+    return out
+
+
+def _ends(own: np.ndarray) -> np.ndarray:
+    """Where the next suffix stands that is not ``own``, for each one."""
+    at = np.where(own, len(own), np.arange(len(own)))
+    return np.minimum.accumulate(at[::-1])[::-1]
+
+
+def _ordered(symbol: np.ndarray, at: np.ndarray, ends: np.ndarray, place: np.ndarray, size: int) -> np.ndarray:
+    """The suffixes ``at`` in order, of which each run ends before ``ends``, where the suffixes are ordered by ``place``.
+
+    Some symbols at a time are one number; runs that go on in the same way are told apart by the order of what follows, over twice the length each time.
+    """
+    bits = (2 * size - 1).bit_length()
+    step = 63 // bits
+    end = ends[at]
+    key = np.zeros(len(at), dtype=np.int64)
+    for k in range(step):
+        key = (key << bits) | np.where(at + k <= end, symbol[np.minimum(at + k, end)], 0)
+    tie = np.where(end - at < step, place[end] + 1, 0)
+    order = np.lexsort((tie, key))
+    at, key, tie = at[order], key[order], tie[order]
+    # The rank of a group of equals is where it begins.
+    new = np.concatenate(([True], (key[1:] != key[:-1]) | (tie[1:] != tie[:-1])))[: len(at)]
+    first = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+    rank = np.zeros(len(symbol), dtype=np.int64)
+    rank[at] = first
+    equal = ~new
+    equal[:-1] |= ~new[1:]
+    left = np.flatnonzero(equal)
+    while len(left):
+        own, group = at[left], first[left]
+        follow = own + step
+        known = np.where(ends[own] == follow, place[follow], rank[follow])
+        order = np.lexsort((known, symbol[follow], group))
+        own, group, known, follow = own[order], group[order], known[order], follow[order]
+        at[left] = own
+        new = np.concatenate(([True], (group[1:] != group[:-1]) | (symbol[follow[1:]] != symbol[follow[:-1]]) | (known[1:] != known[:-1])))
+        first[left] = left[np.maximum.accumulate(np.where(new, np.arange(len(left)), 0))]
+        rank[own] = first[left]
+        equal = ~new
+        equal[:-1] |= ~new[1:]
+        left, step = left[equal], 2 * step
+    return at
 
 
 #: Alphabets up to this size are induced bucket by bucket.
@@ -128,7 +152,7 @@ def induce(text: np.ndarray, small: np.ndarray, heads: np.ndarray, size: int) ->
     The larger (L-type) suffixes follow from a scan upwards and the S-type ones from a scan
     downwards.
     """
-    return (_by_buckets if size <= BUCKETS else _by_items)(text, small, heads, size)
+    return (_by_buckets if size <= BUCKETS else _by_runs)(text, small, heads, size)
 
 
 def _names(text: np.ndarray, heads: np.ndarray, ordered: np.ndarray) -> np.ndarray:
